@@ -137,3 +137,105 @@ def q_perm_region(spark, d):
 def q_perm_summary(spark, d):
     return iv.permutation_summary(fx.intervals_a(spark, d), fx.intervals_b(spark, d),
                                   fx.chrom_sizes(spark, d), N_PERM, SEED)
+
+
+# ====================================================================== sequences / ORFs
+from locuspark.functions import dna as _dna  # noqa: E402
+from locuspark.operators import sequences as sq  # noqa: E402
+
+_CODON_MAP_SQL = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in sorted(_dna.CODON_TABLE.items())) + "}"
+_RC = f"reverse(translate({{x}}, '{_dna.COMPLEMENT_FROM}', '{_dna.COMPLEMENT_TO}'))"
+_STARTS = "('ATG', 'CTG', 'TTG')"
+_STOPS = "('TAA', 'TAG', 'TGA')"
+ORF_CTE = f"""S AS ({fx.SEQUENCES_SQL}), CM AS (SELECT {_CODON_MAP_SQL} AS cm),
+ST AS (SELECT record_no, '+' AS strand, seq AS sseq FROM S
+       UNION ALL SELECT record_no, '-' AS strand, {_RC.format(x='seq')} AS sseq FROM S),
+CH AS (SELECT record_no, strand, unnest(string_split(sseq, '')) AS ch,
+              unnest(range(0, length(sseq))) AS i FROM ST),
+P AS (SELECT * FROM (
+        SELECT record_no, strand, i AS pos, i % 3 AS frame,
+               ch || lead(ch, 1) OVER w || lead(ch, 2) OVER w AS codon
+        FROM CH WINDOW w AS (PARTITION BY record_no, strand ORDER BY i)) x
+      WHERE codon IN {_STARTS} OR codon IN {_STOPS}),
+STA AS (SELECT * FROM P WHERE codon IN {_STARTS}),
+STO AS (SELECT * FROM P WHERE codon IN {_STOPS}),
+NX AS (SELECT s.record_no, s.strand, s.frame, s.pos, s.codon AS start_codon, t.pos AS stop_pos, t.codon AS stop_codon
+       FROM STA s ASOF JOIN STO t
+         ON s.record_no = t.record_no AND s.strand = t.strand AND s.frame = t.frame AND t.pos > s.pos),
+SP AS (SELECT record_no, strand, frame, min(pos) AS start, arg_min(start_codon, pos) AS start_codon,
+              stop_pos AS stop, any_value(stop_codon) AS stop_codon
+       FROM NX GROUP BY record_no, strand, frame, stop_pos),
+O1 AS (SELECT sp.*, s.seqid, s.seq, CAST(sp.stop + 3 - sp.start AS BIGINT) AS nt_len,
+              CAST(CASE WHEN sp.strand = '+' THEN sp.start + 1 ELSE length(s.seq) - (sp.stop + 2) END AS BIGINT) AS start_1b,
+              CAST(CASE WHEN sp.strand = '+' THEN sp.stop + 3 ELSE length(s.seq) - sp.start END AS BIGINT) AS end_1b
+       FROM SP sp JOIN S s USING (record_no)),
+O2 AS (SELECT *, CASE WHEN strand = '+' THEN substr(seq, start_1b, nt_len)
+                      ELSE {_RC.format(x='substr(seq, start_1b, nt_len)')} END AS dna_seq FROM O1),
+ORFS AS (SELECT record_no, seqid, strand, CAST(frame AS INTEGER) AS frame, start_1b, end_1b, nt_len,
+                CAST(nt_len // 3 AS BIGINT) AS aa_len, start_codon, stop_codon,
+                CASE WHEN length(dna_seq) = 0 THEN 0.0
+                     ELSE (length(dna_seq) - length(regexp_replace(dna_seq, '[GCgc]', '', 'g'))) / length(dna_seq)::DOUBLE END AS gc,
+                dna_seq, translate(dna_seq, 'Tt', 'Uu') AS rna_seq,
+                split_part(array_to_string(list_transform(range(0, nt_len // 3),
+                    lambda k: coalesce(cm[upper(substr(dna_seq, 3 * k + 1, 3))], 'X')), ''), '*', 1) AS protein
+         FROM O2 CROSS JOIN CM)"""
+
+
+def _orfs(spark, d):
+    return sq.find_orfs(fx.sequences(spark, d))
+
+
+@query("orfs", f"WITH {ORF_CTE} SELECT record_no, seqid, strand, frame, start_1b, end_1b, nt_len, aa_len, "
+               "start_codon, stop_codon, round(gc, 6) AS gc, dna_seq, rna_seq, protein FROM ORFS")
+def q_orfs(spark, d):
+    return _orfs(spark, d).withColumn("gc", F.round("gc", 6))
+
+
+@query("orf_summary", f"""WITH {ORF_CTE}
+SELECT record_no, seqid, strand, frame, CAST(start_1b AS VARCHAR) || '..' || CAST(end_1b AS VARCHAR) AS coords,
+       nt_len, aa_len, start_codon, stop_codon, round_even(gc * 100, 1) AS gc_pct,
+       CASE WHEN length(protein) = 0 THEN '-' ELSE substr(protein, 1, 1) END AS protein_start,
+       CASE WHEN length(protein) = 0 THEN '-'
+            ELSE substr(protein, 1, 15) || CASE WHEN length(protein) > 15 THEN '…' ELSE '' END END AS protein_preview
+FROM ORFS""")
+def q_orf_summary(spark, d):
+    return sq.orf_summary(_orfs(spark, d))
+
+
+@query("orf_counts", f"""WITH {ORF_CTE}
+SELECT s.record_no, s.seqid, CAST(length(s.seq) AS BIGINT) AS seq_len, CAST(count(o.record_no) AS BIGINT) AS n_orfs
+FROM S s LEFT JOIN ORFS o USING (record_no) GROUP BY s.record_no, s.seqid, s.seq""")
+def q_orf_counts(spark, d):
+    s = fx.sequences(spark, d)
+    return sq.orf_counts(s, sq.find_orfs(s))
+
+
+@query("gc_content", f"""WITH S AS ({fx.SEQUENCES_SQL})
+SELECT record_no, CAST(length(seq) AS BIGINT) AS seq_len,
+       round(CASE WHEN length(seq) = 0 THEN 0.0
+             ELSE (length(seq) - length(regexp_replace(seq, '[GCgc]', '', 'g'))) / length(seq)::DOUBLE END, 6) AS gc
+FROM S""")
+def q_gc(spark, d):
+    s = fx.sequences(spark, d)
+    return s.select("record_no", F.length("seq").cast("bigint").alias("seq_len"),
+                    F.round(_dna.gc_fraction(F.col("seq")), 6).alias("gc"))
+
+
+@query("reverse_complement", f"""WITH S AS ({fx.SEQUENCES_SQL})
+SELECT record_no, md5({_RC.format(x='seq')}) AS rc_md5, md5(translate(seq, 'Tt', 'Uu')) AS rna_md5 FROM S""")
+def q_rc(spark, d):
+    s = fx.sequences(spark, d)
+    return s.select("record_no", F.md5(_dna.reverse_complement(F.col("seq"))).alias("rc_md5"),
+                    F.md5(_dna.to_rna(F.col("seq"))).alias("rna_md5"))
+
+
+@query("orf_fasta", f"""WITH {ORF_CTE}
+SELECT record_no, start_1b, end_1b, strand, frame,
+       '>' || seqid || '|strand:' || strand || '|frame:' || CAST(frame AS VARCHAR) || '|coords:' ||
+       CAST(start_1b AS VARCHAR) || '..' || CAST(end_1b AS VARCHAR) || '|len_nt:' || CAST(nt_len AS VARCHAR) ||
+       '|len_aa:' || CAST(aa_len AS VARCHAR) || '|start:' || start_codon || '|stop:' || stop_codon AS header,
+       array_to_string(list_transform(range(0, CAST(ceil(length(rna_seq) / 60) AS BIGINT)),
+                                      lambda i: substr(rna_seq, i * 60 + 1, 60)), chr(10)) AS body
+FROM ORFS""")
+def q_orf_fasta(spark, d):
+    return sq.orf_fasta_records(_orfs(spark, d))
