@@ -7,6 +7,7 @@ places on both sides; all queries read whole tables.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -239,3 +240,102 @@ SELECT record_no, start_1b, end_1b, strand, frame,
 FROM ORFS""")
 def q_orf_fasta(spark, d):
     return sq.orf_fasta_records(_orfs(spark, d))
+
+
+# ====================================================================== genotypes / HMM
+from locuspark.operators import genotypes as gt  # noqa: E402
+
+GENO_CTE = f"""G AS ({fx.GENOTYPES_SQL}),
+G2 AS (SELECT *, CASE WHEN strpos(gt, '/') > 0 THEN '/' WHEN strpos(gt, '|') > 0 THEN '|' END AS sep FROM G),
+G3 AS (SELECT *, CASE WHEN sep IS NOT NULL THEN substr(gt, 1, strpos(gt, sep) - 1) END AS a1,
+                 CASE WHEN sep IS NOT NULL THEN substr(gt, strpos(gt, sep) + 1) END AS a2 FROM G2),
+C AS (SELECT *, CASE WHEN gt IS NULL OR gt = '.' OR starts_with(gt, '.') OR sep IS NULL OR a1 = '.' OR a2 = '.'
+                     THEN NULL WHEN a1 = a2 THEN 'hom' ELSE 'het' END AS call FROM G3),
+C2 AS (SELECT *, CASE WHEN call IS NULL THEN 0 ELSE CAST(a1 = '0' AS INTEGER) + CAST(a2 = '0' AS INTEGER) END AS ref_n,
+                 CASE WHEN call IS NULL THEN 0 ELSE CAST(a1 = '1' AS INTEGER) + CAST(a2 = '1' AS INTEGER) END AS alt_n
+       FROM C),
+FQ AS (SELECT chrom, pos,
+              coalesce(max(CASE WHEN regexp_matches(info, '(?:^|;)AF=')
+                                THEN TRY_CAST(split_part(regexp_extract(info, '(?:^|;)AF=([^;]*)', 1), ',', 1) AS DOUBLE) END),
+                       CASE WHEN sum(ref_n) + sum(alt_n) > 0 THEN sum(ref_n) / (sum(ref_n) + sum(alt_n))::DOUBLE END,
+                       0.5) AS p
+       FROM C2 GROUP BY chrom, pos)"""
+
+
+def _dl(x: float) -> str:
+    return f"'{x!r}'::DOUBLE" if math.isfinite(x) else "'-inf'::DOUBLE"
+
+
+def _ln(expr: str) -> str:
+    return f"(CASE WHEN ({expr}) <= 0 THEN '-inf'::DOUBLE ELSE ln({expr}) END)"
+
+
+_PRI = gt._prior()
+_ONE = "1.0::DOUBLE"
+_RIO = f"({_ONE} / 1.5e6::DOUBLE)"
+_ROI = f"({_ONE} / 4e6::DOUBLE)"
+_ERR = f"({_ONE} / 1000.0::DOUBLE)"
+_PQ2 = f"(2.0::DOUBLE * p * ({_ONE} - p))"
+VITERBI_CTE = f"""{GENO_CTE},
+E AS MATERIALIZED (
+  SELECT c.sample, c.chrom, c.pos, c.call, f.p,
+         row_number() OVER (PARTITION BY c.sample, c.chrom ORDER BY c.pos) AS rn,
+         c.pos - lag(c.pos) OVER (PARTITION BY c.sample, c.chrom ORDER BY c.pos) AS d
+  FROM C2 c JOIN FQ f USING (chrom, pos)),
+E2 AS MATERIALIZED (
+  SELECT sample, chrom, pos, rn,
+    CASE WHEN call IS NULL THEN 0.0::DOUBLE WHEN call = 'hom' THEN {_ln(f'{_ONE} - {_ERR}')} ELSE {_ln(_ERR)} END AS eI,
+    CASE WHEN call IS NULL THEN 0.0::DOUBLE WHEN call = 'hom' THEN {_ln(f'{_ONE} - {_PQ2}')} ELSE {_ln(_PQ2)} END AS eO,
+    CASE WHEN d IS NULL OR d <= 0 THEN 0.0::DOUBLE ELSE {_ln(f'exp(-{_RIO} * d)')} END AS tII,
+    CASE WHEN d IS NULL OR d <= 0 THEN '-inf'::DOUBLE ELSE {_ln(f'{_ONE} - exp(-{_RIO} * d)')} END AS tIO,
+    CASE WHEN d IS NULL OR d <= 0 THEN '-inf'::DOUBLE ELSE {_ln(f'{_ONE} - exp(-{_ROI} * d)')} END AS tOI,
+    CASE WHEN d IS NULL OR d <= 0 THEN 0.0::DOUBLE ELSE {_ln(f'exp(-{_ROI} * d)')} END AS tOO
+  FROM E),
+R AS MATERIALIZED (
+  WITH RECURSIVE RR(sample, chrom, rn, scI, scO, bI, bO) AS (
+    SELECT sample, chrom, rn, {_dl(_PRI[0])} + eI, {_dl(_PRI[1])} + eO, 0, 0 FROM E2 WHERE rn = 1
+    UNION ALL
+    SELECT e.sample, e.chrom, e.rn,
+      (CASE WHEN r.scO + e.tOI > r.scI + e.tII THEN r.scO + e.tOI ELSE r.scI + e.tII END) + e.eI,
+      (CASE WHEN r.scO + e.tOO > r.scI + e.tIO THEN r.scO + e.tOO ELSE r.scI + e.tIO END) + e.eO,
+      CASE WHEN r.scO + e.tOI > r.scI + e.tII THEN 1 ELSE 0 END,
+      CASE WHEN r.scO + e.tOO > r.scI + e.tIO THEN 1 ELSE 0 END
+    FROM RR r JOIN E2 e ON e.sample = r.sample AND e.chrom = r.chrom AND e.rn = r.rn + 1)
+  SELECT * FROM RR),
+NN AS (SELECT sample, chrom, max(rn) AS n FROM E2 GROUP BY sample, chrom),
+BT AS MATERIALIZED (
+  WITH RECURSIVE B(sample, chrom, rn, state) AS (
+    SELECT r.sample, r.chrom, r.rn, CASE WHEN r.scI > r.scO THEN 0 ELSE 1 END
+    FROM R r JOIN NN n ON r.sample = n.sample AND r.chrom = n.chrom AND r.rn = n.n
+    UNION ALL
+    SELECT b.sample, b.chrom, b.rn - 1, CASE WHEN b.state = 0 THEN nx.bI ELSE nx.bO END
+    FROM B b JOIN R nx ON nx.sample = b.sample AND nx.chrom = b.chrom AND nx.rn = b.rn
+    WHERE b.rn > 1)
+  SELECT * FROM B),
+ST AS (SELECT e.sample, e.chrom, e.pos, e.rn, CAST(b.state AS INTEGER) AS state
+       FROM BT b JOIN E2 e ON e.sample = b.sample AND e.chrom = b.chrom AND e.rn = b.rn)"""
+
+
+@query("genotype_calls", f"""WITH {GENO_CTE}
+SELECT sample, chrom, pos, gt, call, CAST(ref_n AS INTEGER) AS ref_n, CAST(alt_n AS INTEGER) AS alt_n FROM C2""")
+def q_geno_calls(spark, d):
+    return gt.genotype_calls(fx.genotypes(spark, d)).select("sample", "chrom", "pos", "gt", "call", "ref_n", "alt_n")
+
+
+@query("site_frequency", f"WITH {GENO_CTE} SELECT chrom, pos, round(p, 6) AS p FROM FQ")
+def q_site_freq(spark, d):
+    f = gt.site_frequency(gt.genotype_calls(fx.genotypes(spark, d)))
+    return f.withColumn("p", F.round("p", 6))
+
+
+@query("viterbi_states", f"WITH {VITERBI_CTE} SELECT sample, chrom, pos, state FROM ST")
+def q_viterbi(spark, d):
+    return gt.viterbi_states(fx.genotypes(spark, d)).select("sample", "chrom", "pos", "state")
+
+
+@query("inbred_segments", f"""WITH {VITERBI_CTE},
+RUNS AS (SELECT *, rn - row_number() OVER (PARTITION BY sample, chrom, state ORDER BY rn) AS grp FROM ST)
+SELECT sample AS individual, chrom, min(pos) AS start_position, max(pos) AS stop_position
+FROM RUNS WHERE state = 0 GROUP BY sample, chrom, grp""")
+def q_inbred(spark, d):
+    return gt.inbred_segments(fx.genotypes(spark, d))
