@@ -339,3 +339,139 @@ SELECT sample AS individual, chrom, min(pos) AS start_position, max(pos) AS stop
 FROM RUNS WHERE state = 0 GROUP BY sample, chrom, grp""")
 def q_inbred(spark, d):
     return gt.inbred_segments(fx.genotypes(spark, d))
+
+
+# ====================================================================== population genetics
+from locuspark.operators import asof as asf  # noqa: E402
+from locuspark.operators import popgen as pg  # noqa: E402
+
+HAPS_CTE = f"H AS ({fx.HAPLOTYPES_SQL}), K AS (SELECT pop, site, count(DISTINCT hap) AS k FROM H WHERE allele = 1 GROUP BY pop, site)"
+
+
+def _a1_sql(n: str) -> str:
+    return f"(SELECT coalesce(sum(1.0::DOUBLE / i), 0.0) FROM range(1, {n}) t(i))"
+
+
+@query("allele_freq", f"""WITH {HAPS_CTE}
+SELECT pop, site, CAST(k AS BIGINT) AS k, round(k / {fx.N_HAPS}.0::DOUBLE, 6) AS freq FROM K""")
+def q_allele_freq(spark, d):
+    r = pg.allele_freq(fx.haplotypes(spark, d), ["pop"], fx.N_HAPS)
+    return r.withColumn("freq", F.round("freq", 6))
+
+
+@query("diversity", f"""WITH {HAPS_CTE}
+SELECT pop, CAST(sum(CASE WHEN k > 0 AND k < {fx.N_HAPS} THEN 1 ELSE 0 END) AS BIGINT) AS segregating_sites,
+       round(sum(2.0 * k * ({fx.N_HAPS} - k) / ({fx.N_HAPS} * ({fx.N_HAPS} - 1.0))) / {fx.SEQ_LEN}.0, 6) AS pi,
+       round(sum(CASE WHEN k > 0 AND k < {fx.N_HAPS} THEN 1 ELSE 0 END) / {_a1_sql(fx.N_HAPS)} / {fx.SEQ_LEN}.0, 6) AS theta_w
+FROM K GROUP BY pop""")
+def q_diversity(spark, d):
+    r = pg.diversity(fx.haplotypes(spark, d), ["pop"], fx.N_HAPS, fx.SEQ_LEN)
+    return r.withColumn("pi", F.round("pi", 6)).withColumn("theta_w", F.round("theta_w", 6))
+
+
+@query("asof_step", f"""WITH P AS ({fx.STEP_POINTS_SQL}), S AS ({fx.STEPS_SQL})
+SELECT p.l_orderkey, p.l_linenumber, round(p.t, 6) AS t,
+       coalesce(s.value, (SELECT value FROM S ORDER BY t LIMIT 1)) AS value
+FROM P p ASOF LEFT JOIN S s ON p.t >= s.t""")
+def q_asof(spark, d):
+    r = asf.asof_step(fx.step_points(spark, d), fx.steps_df(spark))
+    return r.select("l_orderkey", "l_linenumber", F.round("t", 6).alias("t"), "value")
+
+
+@query("asof_step_bucketed", f"""WITH P AS ({fx.STEP_POINTS_SQL}), S AS ({fx.STEPS_SQL})
+SELECT p.l_orderkey, p.l_linenumber, round(p.t, 6) AS t,
+       coalesce(s.value, (SELECT value FROM S ORDER BY t LIMIT 1)) AS value
+FROM P p ASOF LEFT JOIN S s ON p.t >= s.t""")
+def q_asof_b(spark, d):
+    pts = fx.step_points(spark, d)
+    steps = fx.steps_df(spark)
+    first = steps.orderBy("t").limit(1).select(F.col("value").alias("_first"))
+    r = asf.asof_join(pts, steps, "t", "t", ["value"], (), "backward", True, bucket_width=64.0)
+    r = r.crossJoin(F.broadcast(first)).withColumn("value", F.coalesce("value", "_first"))  # one-row value
+    return r.select("l_orderkey", "l_linenumber", F.round("t", 6).alias("t"), "value")
+
+
+@query("next_step", f"""WITH P AS ({fx.STEP_POINTS_SQL}), S AS ({fx.STEPS_SQL})
+SELECT p.l_orderkey, p.l_linenumber, round(p.t, 6) AS t, s.t AS next_t
+FROM P p ASOF LEFT JOIN S s ON s.t > p.t""")
+def q_next(spark, d):
+    r = asf.next_step(fx.step_points(spark, d), fx.steps_df(spark), bucket_width=64.0)
+    return r.select("l_orderkey", "l_linenumber", F.round("t", 6).alias("t"), "next_t")
+
+
+TREE_CTE = f"T AS ({fx.TREE_NODES_SQL})"
+DESC_CTE = f"""{TREE_CTE},
+LV AS (SELECT tree_id, node FROM T t WHERE NOT EXISTS (SELECT 1 FROM T c WHERE c.tree_id = t.tree_id AND c.parent = t.node)),
+D AS (WITH RECURSIVE W(tree_id, node, leaf) AS (
+        SELECT tree_id, node, node FROM LV
+        UNION ALL
+        SELECT w.tree_id, t.parent, w.leaf FROM W w JOIN T t ON t.tree_id = w.tree_id AND t.node = w.node
+        WHERE t.parent IS NOT NULL)
+      SELECT * FROM W)"""
+
+
+@query("branch_lengths", f"""WITH {TREE_CTE}
+SELECT c.tree_id, c.node, c.parent, round(greatest(p.time - c.time, 0.0), 6) AS branch_length
+FROM T c JOIN T p ON p.tree_id = c.tree_id AND p.node = c.parent""")
+def q_branch(spark, d):
+    return pg.branch_lengths(fx.tree_nodes(spark, d)).withColumn("branch_length", F.round("branch_length", 6))
+
+
+@query("tree_metrics", f"""WITH {DESC_CTE},
+BL AS (SELECT c.tree_id, sum(greatest(p.time - c.time, 0.0)) AS tl
+       FROM T c JOIN T p ON p.tree_id = c.tree_id AND p.node = c.parent GROUP BY c.tree_id)
+SELECT r.tree_id, round(coalesce(bl.tl, 0.0), 6) AS total_tree_length, round(r.time, 6) AS time_to_mrca,
+       CAST((SELECT count(*) FROM LV WHERE LV.tree_id = r.tree_id) AS BIGINT) AS n_leaves
+FROM T r LEFT JOIN BL bl USING (tree_id) WHERE r.parent IS NULL""")
+def q_tree_metrics(spark, d):
+    r = pg.tree_metrics(fx.tree_nodes(spark, d))
+    return r.select("tree_id", F.round("total_tree_length", 6).alias("total_tree_length"),
+                    F.round("time_to_mrca", 6).alias("time_to_mrca"), "n_leaves")
+
+
+@query("leaf_descendants", f"WITH {DESC_CTE} SELECT tree_id, node, leaf FROM D")
+def q_desc(spark, d):
+    return pg.leaf_descendants(fx.tree_nodes(spark, d))
+
+
+@query("tree_diversity", f"""WITH {DESC_CTE},
+M AS (SELECT t.tree_id, t.node, l_partkey % {fx.SEQ_LEN} AS site
+      FROM lineitem li JOIN T t ON li.l_orderkey = t.order_key),
+HP AS (SELECT DISTINCT m.tree_id, d.leaf AS hap, m.site FROM M m JOIN D d ON d.tree_id = m.tree_id AND d.node = m.node),
+NL AS (SELECT tree_id, count(*) AS n FROM LV GROUP BY tree_id),
+KK AS (SELECT tree_id, site, count(*) AS k FROM HP GROUP BY tree_id, site),
+AG AS (SELECT nl.tree_id, nl.n,
+              coalesce(sum(CASE WHEN kk.k > 0 AND kk.k < nl.n THEN 1 ELSE 0 END), 0) AS s,
+              coalesce(sum(CASE WHEN nl.n >= 2 THEN 2.0 * kk.k * (nl.n - kk.k) / (nl.n * (nl.n - 1.0)) ELSE 0.0 END), 0.0) AS pis
+       FROM NL nl LEFT JOIN KK kk USING (tree_id) GROUP BY nl.tree_id, nl.n),
+MC AS (SELECT tree_id, count(*) AS mutation_count FROM M GROUP BY tree_id)
+SELECT ag.tree_id, CAST(CASE WHEN n < 2 THEN 0 ELSE s END AS BIGINT) AS segregating_sites,
+       CAST(coalesce(mc.mutation_count, 0) AS BIGINT) AS mutation_count,
+       round(CASE WHEN n < 2 THEN 0.0 ELSE pis / {fx.SEQ_LEN}.0 END, 6) AS pi,
+       round(CASE WHEN n < 2 THEN 0.0 ELSE s / (SELECT sum(1.0::DOUBLE / i) FROM range(1, n) t(i)) / {fx.SEQ_LEN}.0 END, 6) AS theta_w
+FROM AG ag LEFT JOIN MC mc USING (tree_id)""")
+def q_tree_div(spark, d):
+    nodes = fx.tree_nodes(spark, d)
+    desc = pg.leaf_descendants(nodes)
+    muts = fx.mutations(spark, d, nodes)
+    haps = pg.mutations_to_haplotypes(muts, desc)
+    sizes = pg.leaf_nodes(nodes).groupBy("tree_id").agg(F.count(F.lit(1)).alias("n"))
+    div = pg.diversity(haps, ["tree_id"], "n", fx.SEQ_LEN, group_sizes=sizes)
+    mc = muts.groupBy("tree_id").agg(F.count(F.lit(1)).alias("mutation_count"))
+    r = div.join(mc, "tree_id", "left")
+    return r.select("tree_id", "segregating_sites",
+                    F.coalesce("mutation_count", F.lit(0)).cast("bigint").alias("mutation_count"),
+                    F.round("pi", 6).alias("pi"), F.round("theta_w", 6).alias("theta_w"))
+
+
+_HD = hash60_sql("7", "o_orderkey")
+
+
+@query("weighted_sample", f"""WITH W AS ({fx.WEIGHTS_SQL}),
+C AS (SELECT item, w, sum(w) OVER (ORDER BY item ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM W),
+TT AS (SELECT sum(w) AS total FROM W),
+DR AS (SELECT o_orderkey AS draw_id, 1 + {_HD} % (SELECT total FROM TT) AS u FROM orders)
+SELECT dr.draw_id, dr.u, c.item FROM DR dr ASOF LEFT JOIN (SELECT * FROM C WHERE w > 0) c ON c.cum >= dr.u""")
+def q_wsample(spark, d):
+    draws = fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("draw_id"))
+    return pg.weighted_sample(fx.weights(spark, d), draws, seed=7)
