@@ -475,3 +475,152 @@ SELECT dr.draw_id, dr.u, c.item FROM DR dr ASOF LEFT JOIN (SELECT * FROM C WHERE
 def q_wsample(spark, d):
     draws = fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("draw_id"))
     return pg.weighted_sample(fx.weights(spark, d), draws, seed=7)
+
+
+# ====================================================================== clustering
+from locuspark.operators import clustering as cl  # noqa: E402
+from locuspark.operators import decomposition as dc  # noqa: E402
+
+K_CLUSTERS = 10
+KM_SEED = 0
+_HV = hash60_sql(str(KM_SEED), "vec_id")
+VLONG_CTE = """V AS (SELECT vec_id, label, unnest(generate_series(0, len(embedding) - 1)) AS j,
+                    CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)"""
+INIT_CTE = f"""C0 AS (SELECT vec_id, CAST(row_number() OVER (ORDER BY h, vec_id) - 1 AS INTEGER) AS cluster
+       FROM (SELECT vec_id, {_HV} AS h FROM embeddings) x ORDER BY h, vec_id LIMIT {K_CLUSTERS}),
+CL0 AS (SELECT c.cluster, v.j, v.v AS c FROM C0 c JOIN V v USING (vec_id))"""
+
+
+def _km_round(r: int) -> str:
+    return f"""D{r} AS (SELECT v.vec_id, c.cluster, sum((v.v - c.c) * (v.v - c.c)) AS d
+        FROM V v JOIN CL{r - 1} c USING (j) GROUP BY v.vec_id, c.cluster),
+A{r} AS (SELECT vec_id, cluster FROM D{r} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) = 1),
+CL{r} AS (SELECT a.cluster, v.j, avg(v.v) AS c FROM A{r} a JOIN V v USING (vec_id) GROUP BY a.cluster, v.j)"""
+
+
+KM3_CTE = f"{VLONG_CTE}, {INIT_CTE}, " + ", ".join(_km_round(r) for r in (1, 2, 3))
+
+
+@query("initial_centroids", f"""WITH {VLONG_CTE}, {INIT_CTE} SELECT vec_id, cluster AS rank FROM C0""")
+def q_init(spark, d):
+    _, ids = cl.sample_k(fx.vectors(spark, d), K_CLUSTERS, KM_SEED)
+    return spark.createDataFrame([(int(i), r) for r, i in enumerate(ids)], "vec_id long, rank int")
+
+
+@query("nearest_centroid", f"WITH {KM3_CTE} SELECT vec_id, cluster FROM A1")
+def q_nearest(spark, d):
+    v = fx.vectors(spark, d)
+    cents, _ = cl.sample_k(v, K_CLUSTERS, KM_SEED)
+    return cl.assign_nearest(v, cents).select("vec_id", "cluster")
+
+
+@query("centroid_update", f"""WITH {KM3_CTE}
+SELECT cluster, CAST((SELECT count(*) FROM A1 WHERE A1.cluster = c.cluster) AS BIGINT) AS n,
+       list(round(c, 6) ORDER BY j) AS mean FROM CL1 c GROUP BY cluster""")
+def q_centroid_update(spark, d):
+    v = fx.vectors(spark, d)
+    cents, _ = cl.sample_k(v, K_CLUSTERS, KM_SEED)
+    m = cl.centroid_means(cl.assign_nearest(v, cents))
+    return m.select("cluster", "n", F.transform("mean", lambda x: F.round(x, 6)).alias("mean"))
+
+
+def _km3(spark, d):
+    labels, _, _ = cl.kmeans(fx.vectors(spark, d), K_CLUSTERS, max_iters=3, tol=0.0, seed=KM_SEED)
+    return labels
+
+
+@query("kmeans_3_rounds", f"WITH {KM3_CTE} SELECT a.vec_id, e.label, a.cluster FROM A3 a JOIN embeddings e USING (vec_id)")
+def q_km3(spark, d):
+    return _km3(spark, d).select("vec_id", "label", "cluster")
+
+
+@query("clustering_error", f"""WITH {KM3_CTE},
+CC AS (SELECT a.cluster, e.label, count(*) AS cnt FROM A3 a JOIN embeddings e USING (vec_id) GROUP BY 1, 2),
+PE AS (SELECT cluster, sum(cnt) - max(cnt) AS err FROM CC GROUP BY cluster)
+SELECT CAST(coalesce(sum(err), 0) AS BIGINT) AS error FROM PE""")
+def q_cl_err(spark, d):
+    return cl.clustering_error(_km3(spark, d))
+
+
+@query("kmeans")
+def q_kmeans(spark, d):
+    labels, _, _ = cl.kmeans(fx.vectors(spark, d), K_CLUSTERS, max_iters=300, tol=1e-4, seed=KM_SEED)
+    return labels.select("vec_id", "label", "cluster")
+
+
+@query("kmeans_error")
+def q_kmeans_err(spark, d):
+    labels, _, _ = cl.kmeans(fx.vectors(spark, d), K_CLUSTERS, max_iters=300, tol=1e-4, seed=KM_SEED)
+    return cl.clustering_error(labels)
+
+
+# ====================================================================== PCA
+@query("covariance", f"""WITH {VLONG_CTE}
+SELECT CAST(a.j AS INTEGER) AS i, CAST(b.j AS INTEGER) AS j, round(covar_samp(a.v, b.v), 6) + 0.0 AS cov
+FROM V a JOIN V b USING (vec_id) GROUP BY a.j, b.j""")
+def q_cov(spark, d):
+    return dc.covariance(fx.vectors(spark, d)).withColumn("cov", F.round("cov", 6) + F.lit(0.0))
+
+
+def _vec2(spark, d):
+    return fx.vectors(spark, d).withColumn("features", F.slice("features", 1, 2))
+
+
+P2_CTE = """X AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1 FROM embeddings),
+M AS (SELECT avg(x0) AS m0, avg(x1) AS m1, covar_samp(x0, x0) AS a, covar_samp(x0, x1) AS b, covar_samp(x1, x1) AS c FROM X),
+EV AS (SELECT *, (a + c) / 2 + sqrt(((a - c) / 2) ^ 2 + b * b) AS l1, (a + c) / 2 - sqrt(((a - c) / 2) ^ 2 + b * b) AS l2 FROM M),
+V1 AS (SELECT *, CASE WHEN a >= c THEN l1 - c ELSE b END AS u0, CASE WHEN a >= c THEN b ELSE l1 - a END AS u1 FROM EV),
+V2 AS (SELECT *, u0 / sqrt(u0 * u0 + u1 * u1) AS w0, u1 / sqrt(u0 * u0 + u1 * u1) AS w1 FROM V1),
+PC AS (SELECT *, CASE WHEN (CASE WHEN abs(w0) >= abs(w1) THEN w0 ELSE w1 END) < 0 THEN -1.0 ELSE 1.0 END AS sg1,
+              CASE WHEN (CASE WHEN abs(w1) >= abs(w0) THEN -w1 ELSE w0 END) < 0 THEN -1.0 ELSE 1.0 END AS sg2 FROM V2),
+PCV AS (SELECT *, sg1 * w0 AS v10, sg1 * w1 AS v11, sg2 * (-w1) AS v20, sg2 * w0 AS v21 FROM PC)"""
+
+
+@query("pca_2d", f"""WITH {P2_CTE}
+SELECT 1 AS pc, round(l1, 6) AS eigenvalue, round(l1 / (l1 + l2), 6) AS ratio FROM EV
+UNION ALL SELECT 2, round(l2, 6), round(l2 / (l1 + l2), 6) FROM EV""")
+def q_pca2d(spark, d):
+    _, comps, ev, ratio = dc.pca_fit(_vec2(spark, d), 2)
+    rows = [(i + 1, round(float(ev[i]), 6), round(float(ratio[i]), 6)) for i in range(2)]
+    return spark.createDataFrame(rows, "pc int, eigenvalue double, ratio double")
+
+
+@query("pca_scores_2d", f"""WITH {P2_CTE}
+SELECT x.vec_id, round((x.x0 - m0) * v10 + (x.x1 - m1) * v11, 6) AS pc1,
+       round((x.x0 - m0) * v20 + (x.x1 - m1) * v21, 6) AS pc2 FROM X x CROSS JOIN PCV""")
+def q_pca_scores(spark, d):
+    v = _vec2(spark, d)
+    mu, comps, _, _ = dc.pca_fit(v, 2)
+    s = dc.pca_transform(v, mu, comps)
+    return s.select("vec_id", F.round("pc1", 6).alias("pc1"), F.round("pc2", 6).alias("pc2"))
+
+
+@query("pca_reconstruct_2d", f"""WITH {P2_CTE}
+SELECT x.vec_id, round(m0 + ((x.x0 - m0) * v10 + (x.x1 - m1) * v11) * v10, 6) AS r0,
+       round(m1 + ((x.x0 - m0) * v10 + (x.x1 - m1) * v11) * v11, 6) AS r1 FROM X x CROSS JOIN PCV""")
+def q_pca_recon(spark, d):
+    v = _vec2(spark, d)
+    mu, comps, _, _ = dc.pca_fit(v, 1)
+    s = dc.pca_inverse(dc.pca_transform(v, mu, comps), mu, comps, ["pc1"])
+    return s.select("vec_id", F.round(F.col("reconstruction")[0], 6).alias("r0"),
+                    F.round(F.col("reconstruction")[1], 6).alias("r1"))
+
+
+@query("class_centroid_point", f"""WITH {P2_CTE},
+S AS (SELECT x.label, (x.x0 - m0) * v10 + (x.x1 - m1) * v11 AS z1, (x.x0 - m0) * v20 + (x.x1 - m1) * v21 AS z2
+      FROM X x CROSS JOIN PCV),
+Z AS (SELECT avg(z1) + 0.5 AS z1, avg(z2) - 0.5 AS z2 FROM S WHERE label = 1)
+SELECT round(m0 + z1 * v10 + z2 * v20, 6) AS x0, round(m1 + z1 * v11 + z2 * v21, 6) AS x1 FROM Z CROSS JOIN PCV""")
+def q_class_point(spark, d):
+    v = _vec2(spark, d)
+    mu, comps, _, _ = dc.pca_fit(v, 2)
+    s = dc.pca_transform(v, mu, comps)
+    z = s.where("label = 1").agg((F.avg("pc1") + 0.5).alias("pc1"), (F.avg("pc2") - 0.5).alias("pc2"))
+    r = dc.pca_inverse(z, mu, comps, ["pc1", "pc2"])
+    return r.select(F.round(F.col("reconstruction")[0], 6).alias("x0"), F.round(F.col("reconstruction")[1], 6).alias("x1"))
+
+
+@query("pca_fit")
+def q_pca_fit(spark, d):
+    _, comps, ev, ratio = dc.pca_fit(fx.vectors(spark, d), 5)
+    return dc.components_df(spark, comps, ev, ratio)
