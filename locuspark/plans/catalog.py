@@ -624,3 +624,102 @@ def q_class_point(spark, d):
 def q_pca_fit(spark, d):
     _, comps, ev, ratio = dc.pca_fit(fx.vectors(spark, d), 5)
     return dc.components_df(spark, comps, ev, ratio)
+
+
+# ====================================================================== prediction
+from locuspark.operators import prediction as pr  # noqa: E402
+
+LAB_CTE = f"LB AS ({fx.LABELLED_SQL})"
+NUM_FEATURES = ["n_chars", "n_spaces", "n_digits"]
+
+
+def _anova_sql(col: str) -> str:
+    return f"""SELECT '{col}' AS feature,
+  ((sum(sb) - sum(s) * sum(s) / sum(n)) / (count(*) - 1)) /
+  (((sum(q) - sum(s) * sum(s) / sum(n)) - (sum(sb) - sum(s) * sum(s) / sum(n))) / (sum(n) - count(*))) AS f_value
+FROM (SELECT y, count(*) AS n, sum({col}) AS s, sum({col} * {col}) AS q, sum({col}) * sum({col}) / count(*) AS sb
+      FROM LB GROUP BY y) g"""
+
+
+@query("anova_f", f"WITH {LAB_CTE} SELECT feature, round(f_value, 6) AS f_value FROM ("
+                  + " UNION ALL ".join(_anova_sql(c) for c in NUM_FEATURES) + ") x")
+def q_anova(spark, d):
+    return pr.anova_f(fx.labelled(spark, d), NUM_FEATURES, "y").withColumn("f_value", F.round("f_value", 6))
+
+
+@query("roc_auc", f"""WITH {LAB_CTE},
+R AS (SELECT y, rank() OVER (ORDER BY n_chars) + (count(*) OVER (PARTITION BY n_chars) - 1) / 2.0 AS rk FROM LB)
+SELECT round((sum(CASE WHEN y = 1 THEN rk ELSE 0 END) - sum(y) * (sum(y) + 1) / 2.0)
+             / (sum(y) * (count(*) - sum(y))), 6) AS auc FROM R""")
+def q_auc(spark, d):
+    return pr.roc_auc(fx.labelled(spark, d), "n_chars", "y").select(F.round("auc", 6).alias("auc"))
+
+
+_HS = hash60_sql("42", "doc_id")
+
+
+@query("stratified_split", f"""WITH {LAB_CTE},
+H AS (SELECT doc_id, y, {_HS} AS h FROM LB),
+M AS (SELECT y, CAST(round(count(*) * 0.2) AS BIGINT) AS m FROM LB GROUP BY y)
+SELECT h.doc_id, h.y, row_number() OVER (PARTITION BY h.y ORDER BY h.h) <= m.m AS is_val
+FROM H h JOIN M m USING (y)""")
+def q_split(spark, d):
+    return pr.stratified_split(fx.labelled(spark, d).select("doc_id", "y"), "y", "doc_id", 0.2, 42) \
+        .select("doc_id", "y", "is_val")
+
+
+@query("one_hot_index", f"""WITH {LAB_CTE},
+LG AS (SELECT lang, CAST(row_number() OVER (ORDER BY lang) - 1 AS DOUBLE) AS i FROM (SELECT DISTINCT lang FROM LB)),
+SR AS (SELECT source, CAST(row_number() OVER (ORDER BY source) - 1 AS DOUBLE) AS i FROM (SELECT DISTINCT source FROM LB))
+SELECT doc_id, lg.i AS lang_index, sr.i AS source_index,
+       CAST((SELECT count(*) FROM LG) AS INTEGER) AS lang_width, CAST((SELECT count(*) FROM SR) AS INTEGER) AS source_width
+FROM LB JOIN LG lg USING (lang) JOIN SR sr USING (source)""")
+def q_onehot(spark, d):
+    from pyspark.ml import Pipeline
+    lb = fx.labelled(spark, d)
+    m = Pipeline(stages=pr.one_hot_stages(["lang", "source"])).fit(lb)
+    out = m.transform(lb)
+    from pyspark.ml.functions import vector_to_array
+    return out.select("doc_id", F.col("lang__idx").alias("lang_index"), F.col("source__idx").alias("source_index"),
+                      F.size(vector_to_array("lang__ohe")).alias("lang_width"),
+                      F.size(vector_to_array("source__ohe")).alias("source_width"))
+
+
+@query("scaled_features", f"""WITH {LAB_CTE},
+SD AS (SELECT {", ".join(f"CASE WHEN coalesce(stddev_pop({c}), 0) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS {c}" for c in NUM_FEATURES)} FROM LB)
+SELECT doc_id, {", ".join(f"round(LB.{c} / SD.{c}, 6) AS {c}" for c in NUM_FEATURES)} FROM LB CROSS JOIN SD""")
+def q_scaled(spark, d):
+    lb = fx.labelled(spark, d)
+    s = pr.scale_columns(lb, NUM_FEATURES)
+    return s.select("doc_id", *[F.round(c, 6).alias(c) for c in NUM_FEATURES])
+
+
+@query("select_k_best", f"""WITH {LAB_CTE}, AF AS ({" UNION ALL ".join(_anova_sql(c) for c in NUM_FEATURES)})
+SELECT CAST(row_number() OVER (ORDER BY f_value DESC) AS INTEGER) AS rank, feature FROM AF
+QUALIFY row_number() OVER (ORDER BY f_value DESC) <= 2""")
+def q_kbest(spark, d):
+    names = pr.select_k_best(fx.labelled(spark, d), NUM_FEATURES, "y", 2)
+    return spark.createDataFrame([(i + 1, n) for i, n in enumerate(names)], "rank int, feature string")
+
+
+def _split_frames(spark, d):
+    from locuspark.session import cut_lineage
+    lb = cut_lineage(fx.labelled(spark, d))
+    sp = cut_lineage(pr.stratified_split(lb, "y", "doc_id", 0.2, 42))
+    return lb, sp.where(~F.col("is_val")).drop("is_val"), sp.where(F.col("is_val")).drop("is_val")
+
+
+@query("model_sweep")
+def q_sweep(spark, d):
+    _, tr, va = _split_frames(spark, d)
+    rows, _ = pr.sweep(tr.drop("doc_id"), va, NUM_FEATURES, ["lang", "source"], "y", [1, 3], [1e-4, 1e-3], "doc_id")
+    return spark.createDataFrame(rows, "k int, alpha double, auc double")
+
+
+@query("risk_scores")
+def q_scores(spark, d):
+    lb, tr, va = _split_frames(spark, d)
+    _, best = pr.sweep(tr.drop("doc_id"), va, NUM_FEATURES, ["lang", "source"], "y", [1, 3], [1e-4, 1e-3], "doc_id")
+    model, fac, _ = pr.fit_logistic(lb.drop("doc_id"), NUM_FEATURES, ["lang", "source"], "y", best[0], best[1])
+    sc = pr.predict_proba(model, fac, lb)
+    return sc.select(F.col("doc_id").alias("id"), F.col("score").alias("quality")).orderBy("id")
