@@ -122,3 +122,158 @@ def row_normalize(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     df = df.withColumn("_rs", F.aggregate(F.col(col), F.lit(0.0), lambda acc, v: acc + v))
     s = F.when(F.col("_rs") == 0, 1.0).otherwise(F.col("_rs"))
     return df.withColumn(out or col, F.transform(F.col(col), lambda v: v / s)).drop("_rs")
+
+
+# ---------------------------------------------------------------- NMF
+
+def _gram_and_sums(vectors: DataFrame, features: str):
+    """X^T X (uncentred), sum of squares and entry mean, from one distributed pass."""
+    def part(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = np.vstack(pdf[features].to_numpy()).astype(float)
+            g = x.T @ x
+            d = g.shape[0]
+            ii, jj = np.indices((d, d))
+            yield pd.DataFrame({"i": ii.ravel(), "j": jj.ravel(), "s": g.ravel(),
+                                "tot": np.where(ii.ravel() == 0, x.sum(axis=0)[jj.ravel()], 0.0),
+                                "n": np.where((ii.ravel() == 0) & (jj.ravel() == 0), len(pdf), 0)})
+    agg = (vectors.select(features).mapInPandas(part, "i int, j int, s double, tot double, n long")
+           .groupBy("i", "j").agg(F.sum("s").alias("s"), F.sum("tot").alias("tot"), F.sum("n").alias("n"))
+           .collect())
+    d = max(r["i"] for r in agg) + 1
+    g = np.zeros((d, d))
+    colsum = np.zeros(d)
+    n = 0
+    for r in agg:
+        g[r["i"], r["j"]] = r["s"]
+        if r["i"] == 0:
+            colsum[r["j"]] = r["tot"]
+        n += r["n"]
+    return g, float(np.trace(g)), float(colsum.sum() / (n * d)), n
+
+
+def nmf(vectors: DataFrame, k: int, max_iter: int = 200, tol: float = 1e-4, features: str = "features",
+        id_col: str = "vec_id", checkpoint_every: int = 10, eps: float = 1e-10):
+    """M8: X ~ W H with W, H >= 0 (Frobenius loss, multiplicative updates).
+
+    Init is NNDSVD with zeros filled by the mean of X ("nndsvda"), from the
+    top-k eigenpairs of X^T X (d x d on the driver).  Each round: W rows are
+    updated on executors with broadcast H and H H^T; W^T X and W^T W (k x d,
+    k x k) are aggregated and H is updated on the driver.  Lineage is cut by
+    reliable checkpoints.  Returns (W DataFrame (id, w), H ndarray, rounds,
+    relative error).
+    """
+    from locuspark.session import cut_lineage
+    g, sq_norm, x_mean, _ = _gram_and_sums(vectors, features)
+    d = g.shape[0]
+    if d > MAX_DIM:
+        raise ValueError(f"width {d} too large")
+    evals, evecs = np.linalg.eigh(g)
+    order = np.argsort(evals)[::-1][:k]
+    s = np.sqrt(np.clip(evals[order], 0.0, None))
+    v = evecs[:, order].T                       # k x d (right singular vectors)
+    # left singular vectors per row: u_j = x . v_j / s_j ; positive/negative part norms
+    proj = vectors.select(id_col, features)
+    us = F.array(*[(_dot(F.col(features), v[j]) / F.lit(float(s[j]) if s[j] > 0 else 1.0)) for j in range(k)])
+    proj = proj.withColumn("_u", us)
+    nr = proj.select(*[F.sum(F.greatest(F.col("_u")[j], F.lit(0.0)) ** 2).alias(f"p{j}") for j in range(k)],
+                     *[F.sum(F.least(F.col("_u")[j], F.lit(0.0)) ** 2).alias(f"n{j}") for j in range(k)]).first()
+    h0 = np.zeros((k, d))
+    coef, use_pos = [], []
+    for j in range(k):
+        if j == 0:
+            vj = v[0]
+            sign = 1.0 if vj.sum() >= 0 else -1.0
+            h0[0] = np.sqrt(s[0]) * np.abs(vj)
+            coef.append(np.sqrt(s[0]))
+            use_pos.append(None if sign > 0 else None)
+            continue
+        vp, vn = np.maximum(v[j], 0), np.abs(np.minimum(v[j], 0))
+        up, un = np.sqrt(nr[f"p{j}"]), np.sqrt(nr[f"n{j}"])
+        vpn, vnn = np.linalg.norm(vp), np.linalg.norm(vn)
+        mp, mn = up * vpn, un * vnn
+        if mp > mn:
+            sigma, hv, un_norm, pos = mp, (vp / vpn if vpn > 0 else vp), up, True
+        else:
+            sigma, hv, un_norm, pos = mn, (vn / vnn if vnn > 0 else vn), un, False
+        lbd = np.sqrt(s[j] * sigma)
+        h0[j] = lbd * hv
+        coef.append(lbd / un_norm if un_norm > 0 else 0.0)
+        use_pos.append(pos)
+    h0[h0 == 0] = x_mean
+    wexpr = []
+    for j in range(k):
+        u = F.col("_u")[j]
+        if j == 0:
+            e = F.abs(u) * F.lit(float(coef[0]))
+        elif use_pos[j]:
+            e = F.greatest(u, F.lit(0.0)) * F.lit(float(coef[j]))
+        else:
+            e = F.abs(F.least(u, F.lit(0.0))) * F.lit(float(coef[j]))
+        wexpr.append(F.when(e == 0, F.lit(x_mean)).otherwise(e))
+    cur = cut_lineage(proj.select(id_col, features, F.array(*wexpr).alias("w")))
+    h = h0
+    prev_err = None
+    err = None
+    it = 0
+    for it in range(1, max_iter + 1):
+        hb, hht = h.copy(), h @ h.T
+
+        def upd(batches, hb=hb, hht=hht):
+            for pdf in batches:
+                if pdf.empty:
+                    continue
+                x = np.vstack(pdf[features].to_numpy()).astype(float)
+                w = np.vstack(pdf["w"].to_numpy()).astype(float)
+                w = w * (x @ hb.T) / np.maximum(w @ hht, eps)
+                yield pd.DataFrame({id_col: pdf[id_col], features: list(x), "w": list(w)})
+
+        nxt = cur.mapInPandas(upd, cur.schema)
+        nxt = cut_lineage(nxt) if it % checkpoint_every == 0 else nxt.persist()
+
+        def stats(batches):
+            for pdf in batches:
+                if pdf.empty:
+                    continue
+                x = np.vstack(pdf[features].to_numpy()).astype(float)
+                w = np.vstack(pdf["w"].to_numpy()).astype(float)
+                m = np.hstack([w.T @ x, w.T @ w])          # k x (d + k)
+                ii, jj = np.indices(m.shape)
+                yield pd.DataFrame({"i": ii.ravel(), "j": jj.ravel(), "s": m.ravel()})
+
+        st = nxt.select("features" if features == "features" else features, "w") \
+            .mapInPandas(stats, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
+        m = np.zeros((k, d + k))
+        for r in st:
+            m[r["i"], r["j"]] = r["s"]
+        wtx, wtw = m[:, :d], m[:, d:]
+        h = h * wtx / np.maximum(wtw @ h, eps)
+        err = max(sq_norm - 2.0 * float(np.sum(h * wtx)) + float(np.sum((wtw @ h) * h)), 0.0)
+        if cur is not nxt:
+            cur.unpersist()
+        cur = nxt
+        if prev_err is not None and prev_err > 0 and (prev_err - err) / prev_err < tol:
+            break
+        prev_err = err
+    rel = float(np.sqrt(err) / np.sqrt(sq_norm)) if err is not None and sq_norm > 0 else 0.0
+    return cur.select(id_col, "w"), h, it, rel
+
+
+def ancestry_summary(w: DataFrame, groups: DataFrame, id_col: str, group_col: str, k: int,
+                     prefix: str = "ancestry", digits: int = 2) -> DataFrame:
+    """M9: row proportions -> per-group mean -> columns ranked by mean over
+    groups (each group weighted equally) -> renamed prefix1..k -> rounded."""
+    props = row_normalize(w, "w")
+    j = props.join(groups.select(id_col, group_col), id_col)
+    gm = j.groupBy(group_col).agg(*[F.avg(F.col("w")[i]).alias(f"comp{i + 1}") for i in range(k)])
+    order = rank_columns(gm, [f"comp{i + 1}" for i in range(k)])
+    return gm.select(group_col, *[F.bround(F.col(c), digits).alias(f"{prefix}{r + 1}") for r, c in enumerate(order)]) \
+        .orderBy(group_col)
+
+
+def rank_columns(df: DataFrame, cols) -> list[str]:
+    """Column names ordered by their mean over rows (descending, stable)."""
+    r = df.agg(*[F.avg(c).alias(c) for c in cols]).first()   # one row of len(cols) values
+    return sorted(cols, key=lambda c: (-(r[c] if r[c] is not None else float("-inf")), cols.index(c)))

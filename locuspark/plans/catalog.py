@@ -723,3 +723,69 @@ def q_scores(spark, d):
     model, fac, _ = pr.fit_logistic(lb.drop("doc_id"), NUM_FEATURES, ["lang", "source"], "y", best[0], best[1])
     sc = pr.predict_proba(model, fac, lb)
     return sc.select(F.col("doc_id").alias("id"), F.col("score").alias("quality")).orderBy("id")
+
+
+# ====================================================================== NMF / ancestry
+ABS_CTE = """AV AS (SELECT vec_id, label, unnest(generate_series(0, len(embedding) - 1)) AS j,
+                      abs(CAST(unnest(embedding) AS DOUBLE)) AS v FROM embeddings),
+RS AS (SELECT vec_id, sum(v) AS s FROM AV GROUP BY vec_id),
+PR AS (SELECT a.vec_id, a.label, a.j, a.v / CASE WHEN r.s = 0 THEN 1.0 ELSE r.s END AS p
+       FROM AV a JOIN RS r USING (vec_id))"""
+
+
+def _abs_props(spark, d):
+    v = fx.vectors(spark, d).withColumn("features", F.transform("features", lambda x: F.abs(x)))
+    return dc.row_normalize(v, "features", "props")
+
+
+@query("row_proportions", f"WITH {ABS_CTE} SELECT vec_id, list(round(p, 6) ORDER BY j) AS props FROM PR GROUP BY vec_id")
+def q_rowprops(spark, d):
+    p = _abs_props(spark, d)
+    return p.select("vec_id", F.transform("props", lambda x: F.round(x, 6)).alias("props"))
+
+
+def _group_means(spark, d):
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    p = _abs_props(spark, d)
+    g = p.groupBy("label").agg(Summarizer.mean(array_to_vector("props")).alias("m"))
+    return g.select("label", vector_to_array("m").alias("mean"))
+
+
+@query("group_means", f"""WITH {ABS_CTE}, GM AS (SELECT label, j, avg(p) AS m FROM PR GROUP BY label, j)
+SELECT label, list(round(m, 6) ORDER BY j) AS mean FROM GM GROUP BY label""")
+def q_group_means(spark, d):
+    g = _group_means(spark, d)
+    return g.select("label", F.transform("mean", lambda x: F.round(x, 6)).alias("mean"))
+
+
+@query("mean_of_group_means", f"""WITH {ABS_CTE}, GM AS (SELECT label, j, avg(p) AS m FROM PR GROUP BY label, j),
+MG AS (SELECT j, avg(m) AS mm FROM GM GROUP BY j)
+SELECT CAST(j AS INTEGER) AS component, round(mm, 6) AS prevalence,
+       CAST(row_number() OVER (ORDER BY mm DESC, j) AS INTEGER) AS rank FROM MG""")
+def q_mgm(spark, d):
+    g = _group_means(spark, d)
+    dim = g.select(F.size("mean").alias("n")).first()["n"]
+    cols = [F.col("mean")[j].alias(f"c{j}") for j in range(dim)]
+    wide = g.select(*cols)
+    order = dc.rank_columns(wide, [f"c{j}" for j in range(dim)])
+    means = wide.agg(*[F.avg(f"c{j}").alias(f"c{j}") for j in range(dim)]).first()
+    rows = [(j, round(float(means[f"c{j}"]), 6), order.index(f"c{j}") + 1) for j in range(dim)]
+    return spark.createDataFrame(rows, "component int, prevalence double, rank int")
+
+
+def _nmf(spark, d, max_iter=60):
+    v = fx.vectors(spark, d).withColumn("features", F.transform("features", lambda x: F.abs(x)))
+    return v, dc.nmf(v, 5, max_iter=max_iter, tol=1e-5)
+
+
+@query("nmf_factors")
+def q_nmf(spark, d):
+    _, (w, h, it, rel) = _nmf(spark, d)
+    return w
+
+
+@query("ancestry_summary")
+def q_ancestry(spark, d):
+    v, (w, h, it, rel) = _nmf(spark, d)
+    return dc.ancestry_summary(w, v, "vec_id", "label", 5)
