@@ -789,3 +789,88 @@ def q_nmf(spark, d):
 def q_ancestry(spark, d):
     v, (w, h, it, rel) = _nmf(spark, d)
     return dc.ancestry_summary(w, v, "vec_id", "label", 5)
+
+
+# ====================================================================== sources / sinks (round trips)
+from locuspark.sources import files as fs  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+    from locuspark.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/io-{name}-{uuid.uuid4().hex}"
+
+
+@query("bed_roundtrip", f'WITH {A_CTE} SELECT chrom, start, "end" FROM A')
+def q_bed_rt(spark, d):
+    path = _scratch(spark, "bed")
+    a = fx.intervals_a(spark, d)
+    a.select(F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("end").cast("string"),
+                         F.concat(F.lit("r"), F.col("region_id").cast("string")))) \
+        .write.mode("overwrite").text(path)
+    return fs.read_bed(spark, path).select("chrom", "start", "end")
+
+
+@query("fai_roundtrip", f"WITH {SZ_CTE} SELECT chrom, length FROM SZ")
+def q_fai_rt(spark, d):
+    path = _scratch(spark, "fai")
+    fx.chrom_sizes(spark, d).select(F.concat_ws("\t", "chrom", F.col("length").cast("string"),
+                                                F.lit("0"), F.lit("60"), F.lit("61"))).write.text(path)
+    return fs.read_fai(spark, path)
+
+
+@query("fasta_roundtrip", f"""WITH S AS ({fx.SEQUENCES_SQL})
+SELECT seqid, CAST(length(seq) AS BIGINT) AS seq_len, md5(seq) AS seq_md5 FROM S""")
+def q_fasta_rt(spark, d):
+    path = _scratch(spark, "fasta")
+    fs.write_fasta(fx.sequences(spark, d), path, header_col="seqid", seq_col="seq")
+    r = fs.read_fasta(spark, path)
+    return r.select("seqid", F.length("seq").cast("bigint").alias("seq_len"), F.md5("seq").alias("seq_md5"))
+
+
+@query("vcf_roundtrip", f"""WITH {GENO_CTE}
+SELECT sample, CAST(count_if(call = 'hom') AS BIGINT) AS n_hom, CAST(count_if(call = 'het') AS BIGINT) AS n_het,
+       CAST(count(*) AS BIGINT) AS n_sites FROM C2 GROUP BY sample""")
+def q_vcf_rt(spark, d):
+    path = _scratch(spark, "vcf")
+    g = fx.genotypes(spark, d)
+    # sample names form the VCF header: one name per sample, bounded by the cohort
+    samples = sorted(r["sample"] for r in g.select("sample").distinct().collect())
+    wide = g.groupBy("chrom", "pos", "info").pivot("sample", samples).agg(F.first("gt"))
+    line = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.lit("."), F.lit("A"), F.lit("G"),
+                       F.lit("."), F.lit("PASS"), "info", F.lit("GT:DP"),
+                       *[F.concat(F.coalesce(F.col(f"`{s}`"), F.lit(".")), F.lit(":7")) for s in samples])
+    wide.select(line.alias("value")).write.text(f"{path}/body")
+    hdr = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *samples])
+    spark.createDataFrame([("##fileformat=VCFv4.2",), (hdr,)], "value string").coalesce(1).write.text(f"{path}/head")
+    v = fs.read_vcf_genotypes(spark, f"{path}/*")
+    c = gt.genotype_calls(v).where(F.col("gt") != ".")
+    return c.groupBy("sample").agg(F.count_if(F.col("call") == "hom").alias("n_hom"),
+                                   F.count_if(F.col("call") == "het").alias("n_het"),
+                                   F.count(F.lit(1)).alias("n_sites"))
+
+
+@query("csv_roundtrip", f"WITH {LAB_CTE} SELECT doc_id, n_chars, lang, y FROM LB")
+def q_csv_rt(spark, d):
+    path = _scratch(spark, "csv")
+    fs.write_tsv(fx.labelled(spark, d).select("doc_id", "n_chars", "lang", "y"), path, sep=",")
+    t = fs.read_table(spark, path, target="y")
+    return t.select(F.col("doc_id").cast("bigint"), F.col("n_chars").cast("double"), "lang", F.col("y").cast("int"))
+
+
+@query("tsv_roundtrip", f"""WITH {A_CTE}, {B_CTE}
+SELECT b.region_id, CAST(coalesce(sum(CASE WHEN a.region_id IS NOT NULL
+                       THEN least(a."end", b."end") - greatest(a.start, b.start) END), 0) AS BIGINT) AS overlap
+FROM B b LEFT JOIN A a ON a.chrom = b.chrom AND a.start < b."end" AND b.start < a."end" GROUP BY b.region_id""")
+def q_tsv_rt(spark, d):
+    path = _scratch(spark, "tsv")
+    fs.write_tsv(iv.coverage_per_region(fx.intervals_a(spark, d), fx.intervals_b(spark, d)), path,
+                 order_by=["region_id"])
+    t = fs.read_table(spark, path, sep="\t")
+    return t.select(F.col("region_id").cast("bigint"), F.col("overlap").cast("bigint"))
+
+
+@query("vectors_loaded", "SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dims, label FROM embeddings")
+def q_vectors(spark, d):
+    v = fs.load_vectors(fx.table(spark, d, "embeddings"), "vec_id", "embedding", "label")
+    return v.select("vec_id", F.size("features").alias("dims"), "label")
