@@ -874,3 +874,31 @@ def q_tsv_rt(spark, d):
 def q_vectors(spark, d):
     v = fs.load_vectors(fx.table(spark, d, "embeddings"), "vec_id", "embedding", "label")
     return v.select("vec_id", F.size("features").alias("dims"), "label")
+
+
+# ====================================================================== Ward
+from locuspark.operators import ward as wd  # noqa: E402
+
+WARD_K = 10
+
+
+def _ward_cut(spark, d):
+    v = fx.vectors(spark, d)
+    n = v.count()
+    link = wd.ward_linkage(v)
+    return v, wd.cut_tree(link, n, WARD_K)
+
+
+@query("ward_cut_sizes")
+def q_ward_sizes(spark, d):
+    _, cut = _ward_cut(spark, d)
+    return cut.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+
+
+@query("ward_clustering_error")
+def q_ward_err(spark, d):
+    v, cut = _ward_cut(spark, d)
+    ranked = v.select("vec_id", "label").withColumn("leaf", F.dense_rank().over(
+        __import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("vec_id")) - 1)
+    j = ranked.join(cut, "leaf")
+    return cl.clustering_error(j, "cluster", "label")
