@@ -1,0 +1,27 @@
+"""Micro-batch adapters.
+
+The analyses are batch jobs; these helpers only let the stateless,
+per-record operators run over a file stream: each micro-batch is a plain
+DataFrame handed to the batch operator inside ``foreachBatch``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from locuspark.operators import sequences as sq
+
+
+def orfs_foreach_batch(sink_path: str, allow_alt: bool = True, min_aa: int = 0):
+    """``foreachBatch`` function: ORFs of each micro-batch of (record_no, seqid, seq)
+    appended to parquet at ``sink_path`` (idempotent per batch id)."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        (sq.find_orfs(batch, allow_alt=allow_alt, min_aa=min_aa)
+         .write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}"))
+    return run
+
+
+def stream_orfs(stream: DataFrame, sink_path: str, checkpoint: str, **kw):
+    """Start a query: streaming sequence table -> ORF parquet, one batch job per trigger."""
+    return (stream.writeStream.foreachBatch(orfs_foreach_batch(sink_path, **kw))
+            .option("checkpointLocation", checkpoint).start())
