@@ -87,10 +87,12 @@ def asof_step(points: DataFrame, steps: DataFrame, t_col: str = "t", by: Sequenc
             F.col("value").alias("value"))
         j = points.join(F.broadcast(iv), (F.col(t_col) >= F.col("_lo")) & (F.col(t_col) < F.col("_hi")))
         return j.drop("_lo", "_hi")
-    first = steps.groupBy(*by).agg(F.min_by("value", "t").alias("_first"))
     r = asof_join(points, steps, t_col, "t", ["value"], by, "backward", True, bucket_width)
-    r = r.join(first, by, "left") if by else r.crossJoin(F.broadcast(first))  # one-row first value
-    return r.withColumn("value", F.coalesce("value", "_first")).drop("_first")
+    if by:
+        first = steps.groupBy(*by).agg(F.min_by("value", "t").alias("_first"))
+        return r.join(first, by, "left").withColumn("value", F.coalesce("value", "_first")).drop("_first")
+    first_value = steps.agg(F.min_by("value", "t")).first()[0]   # one scalar
+    return r.withColumn("value", F.coalesce(F.col("value"), F.lit(first_value)))
 
 
 def next_step(points: DataFrame, steps: DataFrame, t_col: str = "t", by: Sequence[str] = (),

@@ -50,7 +50,8 @@ def covariance(vectors: DataFrame, features: str = "features", mean=None) -> Dat
             yield pd.DataFrame({"i": ii.ravel(), "j": jj.ravel(), "s": g.ravel(),
                                 "n": np.full(d * d, len(pdf), dtype=np.int64)})
 
-    parts = vectors.select(features).mapInPandas(gram, "i int, j int, s double, n long")
+    from locuspark.session import spread
+    parts = spread(vectors.select(features)).mapInPandas(gram, "i int, j int, s double, n long")
     g = parts.groupBy("i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     return g.select("i", "j", (F.col("s") / (F.col("n") - 1)).alias("cov"))
 

@@ -132,15 +132,11 @@ def weighted_sample(items: DataFrame, draws: DataFrame, seed: int = 7, bucket_wi
     (in item order) whose cumulative weight reaches u.  All weights 0 ->
     uniform.  Output: draw_id, u, item.
     """
-    tot = items.agg(F.sum("w").alias("total"), F.count(F.lit(1)).alias("n"))
-    any_pos = tot.select((F.col("total") > 0).alias("pos"))
-    it = items.crossJoin(F.broadcast(any_pos)).select(  # one-row flag
-        "item", F.when(F.col("pos"), F.col("w")).otherwise(F.lit(1)).cast("bigint").alias("w"))
+    raw_total = items.agg(F.sum("w")).first()[0] or 0        # one scalar
+    it = items.select("item", (F.col("w") if raw_total > 0 else F.lit(1)).cast("bigint").alias("w"))
+    total_w = raw_total if raw_total > 0 else it.count()
     cum = running_sum(it, "item", "w", "cum", bucket_width).where(F.col("w") > 0)
-    total = it.agg(F.sum("w").alias("total"))
-    d = draws.crossJoin(F.broadcast(total)).select(  # one-row total
-        "draw_id", (F.lit(1) + F.pmod(hash60(F.lit(seed), F.col("draw_id")), F.col("total"))).alias("u"))
-    # bucket the draw space so no window holds all draws (one scalar to the driver)
-    total_w = total.first()["total"] or 1
+    d = draws.select("draw_id", (F.lit(1) + F.pmod(hash60(F.lit(seed), F.col("draw_id")), F.lit(total_w))).alias("u"))
+    # bucket the draw space so no window holds all draws
     width = max(1.0, float(total_w) / 4096.0)
     return asof_join(d, cum, "u", "cum", ["item"], (), "forward", True, width)

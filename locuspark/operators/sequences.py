@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locuspark.functions import dna
+from locuspark.session import spread
 
 DEFAULT_TILE = 1 << 13   # bases per tile row
 
@@ -43,18 +44,21 @@ def codon_events(seqs: DataFrame, allow_alt: bool = True, tile: int = DEFAULT_TI
     st = st.select("record_no", "strand", "seq_len", "bseq",
                    F.explode(F.sequence(F.lit(0), F.col("seq_len") - 1, F.lit(tile))).alias("t0"))
     # tile bytes plus two bases of look-ahead so codons crossing the edge are seen
-    st = st.select("record_no", "strand", "t0",
+    st = st.select("record_no", "strand", "t0", F.floor(F.col("t0") / tile).alias("tile"),
                    F.substring("bseq", F.col("t0") + 1, tile + 2).alias("txt"),
                    F.least(F.lit(tile), F.col("seq_len") - F.col("t0") - 2).alias("n"))
+    # spread the CPU-heavy scan; hashing on (record, strand, tile) also
+    # satisfies the window partitioning below, so no second exchange
+    st = spread(st, "record_no", "strand", "tile")
     in_list = ", ".join(f"'{c}'" for c in wanted)
     hits = F.expr(f"filter(IF(n > 0, sequence(0, n - 1), CAST(array() AS ARRAY<INT>)), "
                   f"i -> upper(CAST(substring(txt, i + 1, 3) AS STRING)) IN ({in_list}))")
-    ev = st.select("record_no", "strand", "t0", "txt", F.explode(hits).alias("i"))
+    ev = st.select("record_no", "strand", "t0", "tile", "txt", F.explode(hits).alias("i"))
     codon = F.upper(F.substring("txt", F.col("i") + 1, 3).cast("string"))
     pos = (F.col("t0") + F.col("i")).cast("bigint")
     return ev.select("record_no", "strand", pos.alias("pos"),
                      F.pmod(pos, 3).cast("int").alias("frame"),
-                     F.floor(F.col("t0") / tile).alias("tile"),
+                     "tile",
                      codon.alias("codon"),
                      codon.isin(*dna.STOP_CODONS).alias("is_stop"))
 

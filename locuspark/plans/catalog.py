@@ -385,9 +385,9 @@ FROM P p ASOF LEFT JOIN S s ON p.t >= s.t""")
 def q_asof_b(spark, d):
     pts = fx.step_points(spark, d)
     steps = fx.steps_df(spark)
-    first = steps.orderBy("t").limit(1).select(F.col("value").alias("_first"))
+    first = steps.agg(F.min_by("value", "t")).first()[0]   # one scalar
     r = asf.asof_join(pts, steps, "t", "t", ["value"], (), "backward", True, bucket_width=64.0)
-    r = r.crossJoin(F.broadcast(first)).withColumn("value", F.coalesce("value", "_first"))  # one-row value
+    r = r.withColumn("value", F.coalesce(F.col("value"), F.lit(first)))
     return r.select("l_orderkey", "l_linenumber", F.round("t", 6).alias("t"), "value")
 
 

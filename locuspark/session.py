@@ -64,3 +64,22 @@ def cut_lineage(df):
     """Reliable checkpoint (survives executor loss); never a local one."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def parallelism(spark) -> int:
+    return max(2, int(spark.sparkContext.defaultParallelism) * 2)
+
+
+def spread(df, *cols):
+    """Give a small-in-bytes but CPU-heavy stage enough tasks.
+
+    Inputs read from a few files can arrive as one partition, and AQE
+    coalesces small shuffles; before per-row heavy work (Python batches,
+    md5 draws, codon scans) the rows are hash-partitioned on ``cols`` (the
+    keys the next grouping needs, so no further exchange is added) or
+    round-robin.  Partition counts chosen this way are not coalesced by AQE.
+    """
+    n = parallelism(df.sparkSession)
+    if cols:
+        return df.repartition(n, *cols)
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
