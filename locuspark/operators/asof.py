@@ -47,11 +47,13 @@ def asof_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
         u = u.withColumn("_b", F.lit(0).cast("bigint"))
     st = F.struct(*[F.col(f"_v_{v}").alias(v) for v in vals])
     u = u.withColumn("_st", F.when(F.col("_kind") == r_kind, st))
-    w = Window.partitionBy(*bkey, "_b").orderBy("_k", "_kind")
+    # a frame "current row .. unbounded following" is re-evaluated per row
+    # (quadratic); forward lookups therefore run backward over the reversed order
     if backward:
-        pick = F.last("_st", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        w = Window.partitionBy(*bkey, "_b").orderBy("_k", "_kind")
     else:
-        pick = F.first("_st", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+        w = Window.partitionBy(*bkey, "_b").orderBy(F.col("_k").desc(), F.col("_kind").desc())
+    pick = F.last("_st", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     u = u.withColumn("_m", pick).where(F.col("_kind") == l_kind)
     if bucket_width:
         # carry across buckets: nearest right value of an earlier (later) bucket
@@ -60,11 +62,8 @@ def asof_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
               .agg((F.max_by(st, "_k") if backward else F.min_by(st, "_k")).alias("_bst")))
         lb = u.select(*bkey, "_b").distinct().withColumn("_bst", F.lit(None).cast(rb.schema["_bst"].dataType))
         bt = rb.unionByName(lb)
-        wb = Window.partitionBy(*bkey).orderBy("_b")
-        if backward:
-            carry = F.last("_bst", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1))
-        else:
-            carry = F.first("_bst", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing))
+        wb = Window.partitionBy(*bkey).orderBy(F.col("_b") if backward else F.col("_b").desc())
+        carry = F.last("_bst", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1))
         bt = bt.groupBy(*bkey, "_b").agg(F.max("_bst").alias("_bst"))
         bt = bt.withColumn("_carry", carry).select(*bkey, "_b", "_carry")
         u = u.join(bt, bkey + ["_b"], "left").withColumn("_m", F.coalesce("_m", "_carry"))

@@ -50,17 +50,42 @@ def codon_events(seqs: DataFrame, allow_alt: bool = True, tile: int = DEFAULT_TI
     # spread the CPU-heavy scan; hashing on (record, strand, tile) also
     # satisfies the window partitioning below, so no second exchange
     st = spread(st, "record_no", "strand", "tile")
-    in_list = ", ".join(f"'{c}'" for c in wanted)
-    hits = F.expr(f"filter(IF(n > 0, sequence(0, n - 1), CAST(array() AS ARRAY<INT>)), "
-                  f"i -> upper(CAST(substring(txt, i + 1, 3) AS STRING)) IN ({in_list}))")
-    ev = st.select("record_no", "strand", "t0", "tile", "txt", F.explode(hits).alias("i"))
-    codon = F.upper(F.substring("txt", F.col("i") + 1, 3).cast("string"))
-    pos = (F.col("t0") + F.col("i")).cast("bigint")
-    return ev.select("record_no", "strand", pos.alias("pos"),
-                     F.pmod(pos, 3).cast("int").alias("frame"),
-                     "tile",
-                     codon.alias("codon"),
-                     codon.isin(*dna.STOP_CODONS).alias("is_stop"))
+    return st.mapInPandas(_codon_hits(wanted), EVENT_SCHEMA)
+
+
+EVENT_SCHEMA = "record_no long, strand string, pos long, frame int, tile long, codon string, is_stop boolean"
+
+
+def _codon_hits(wanted):
+    """Arrow-batch scan of tile bytes: every offset whose (upper-cased) codon
+    is a start or stop codon.  Vectorised per tile with NumPy."""
+    import numpy as np
+    import pandas as pd
+    codes = {(ord(c[0]) << 16) | (ord(c[1]) << 8) | ord(c[2]): c for c in wanted}
+    keys = np.array(sorted(codes), dtype=np.int64)
+    stops = set(dna.STOP_CODONS)
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for rec, strand, t0, tl, txt, n in zip(pdf["record_no"], pdf["strand"], pdf["t0"], pdf["tile"],
+                                                   pdf["txt"], pdf["n"]):
+                if n is None or n <= 0:
+                    continue
+                b = np.frombuffer(txt, dtype=np.uint8).astype(np.int64)
+                b = np.where((b >= 97) & (b <= 122), b - 32, b)
+                c = (b[:n] << 16) | (b[1:n + 1] << 8) | b[2:n + 2]
+                idx = np.nonzero(np.isin(c, keys))[0]
+                if len(idx) == 0:
+                    continue
+                pos = t0 + idx
+                cod = [codes[int(x)] for x in c[idx]]
+                out.append(pd.DataFrame({"record_no": rec, "strand": strand, "pos": pos,
+                                         "frame": (pos % 3).astype(np.int32), "tile": tl, "codon": cod,
+                                         "is_stop": [x in stops for x in cod]}))
+            if out:
+                yield pd.concat(out, ignore_index=True)
+    return run
 
 
 def orf_spans(seqs: DataFrame, allow_alt: bool = True, tile: int = DEFAULT_TILE) -> DataFrame:
