@@ -33,24 +33,30 @@ def strands(seqs: DataFrame) -> DataFrame:
     return plus.unionByName(minus).withColumn("seq_len", F.length("sseq"))
 
 
-def codon_events(seqs: DataFrame, allow_alt: bool = True, tile: int = DEFAULT_TILE) -> DataFrame:
-    """Start/stop codon positions: record_no, strand, frame, tile, pos, codon, is_stop."""
-    starts = list(dna.START_CODONS) + (list(dna.ALT_START_CODONS) if allow_alt else [])
-    wanted = starts + list(dna.STOP_CODONS)
+def strand_tiles(seqs: DataFrame, tile: int = DEFAULT_TILE) -> DataFrame:
+    """Strand text as fixed-width byte tiles: record_no, strand, seq_len, t0,
+    tile, txt (tile bytes + 2 bases of look-ahead), n (codon offsets owned)."""
     st = strands(seqs).where(F.col("seq_len") >= 3)
     # byte view of the strand: substring on BINARY is O(1) per call, on a
     # UTF-8 string it walks from the first character.
     st = st.select("record_no", "strand", "seq_len", F.encode("sseq", "US-ASCII").alias("bseq"))
     st = st.select("record_no", "strand", "seq_len", "bseq",
                    F.explode(F.sequence(F.lit(0), F.col("seq_len") - 1, F.lit(tile))).alias("t0"))
-    # tile bytes plus two bases of look-ahead so codons crossing the edge are seen
-    st = st.select("record_no", "strand", "t0", F.floor(F.col("t0") / tile).alias("tile"),
+    st = st.select("record_no", "strand", "seq_len", "t0", F.floor(F.col("t0") / tile).alias("tile"),
                    F.substring("bseq", F.col("t0") + 1, tile + 2).alias("txt"),
                    F.least(F.lit(tile), F.col("seq_len") - F.col("t0") - 2).alias("n"))
     # spread the CPU-heavy scan; hashing on (record, strand, tile) also
-    # satisfies the window partitioning below, so no second exchange
-    st = spread(st, "record_no", "strand", "tile")
-    return st.mapInPandas(_codon_hits(wanted), EVENT_SCHEMA)
+    # satisfies the window partitioning of the piece ids, so no second exchange
+    return spread(st, "record_no", "strand", "tile")
+
+
+def codon_events(seqs: DataFrame, allow_alt: bool = True, tile: int = DEFAULT_TILE,
+                 tiles: DataFrame | None = None) -> DataFrame:
+    """Start/stop codon positions: record_no, strand, frame, tile, pos, codon, is_stop."""
+    starts = list(dna.START_CODONS) + (list(dna.ALT_START_CODONS) if allow_alt else [])
+    wanted = starts + list(dna.STOP_CODONS)
+    st = tiles if tiles is not None else strand_tiles(seqs, tile)
+    return st.select("record_no", "strand", "t0", "tile", "txt", "n").mapInPandas(_codon_hits(wanted), EVENT_SCHEMA)
 
 
 EVENT_SCHEMA = "record_no long, strand string, pos long, frame int, tile long, codon string, is_stop boolean"
@@ -88,13 +94,14 @@ def _codon_hits(wanted):
     return run
 
 
-def orf_spans(seqs: DataFrame, allow_alt: bool = True, tile: int = DEFAULT_TILE) -> DataFrame:
+def orf_spans(seqs: DataFrame, allow_alt: bool = True, tile: int = DEFAULT_TILE,
+              tiles: DataFrame | None = None) -> DataFrame:
     """ORFs as strand coordinates: record_no, strand, frame, start, stop, start_codon, stop_codon.
 
     ``start``/``stop`` are 0-based positions on the scanned strand of the
     first base of the start and of the stop codon.
     """
-    ev = codon_events(seqs, allow_alt, tile)
+    ev = codon_events(seqs, allow_alt, tile, tiles)
     key = ["record_no", "strand", "frame"]
     stop_i = F.col("is_stop").cast("int")
     w = Window.partitionBy(*key, "tile").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
@@ -121,22 +128,36 @@ def find_orfs(seqs: DataFrame, allow_alt: bool = True, min_aa: int = 0,
     Output: record_no, seqid, strand, frame, start_1b, end_1b, nt_len, aa_len,
     start_codon, stop_codon, gc, dna_seq, rna_seq, protein.
     """
-    spans = orf_spans(seqs, allow_alt, tile)
+    tiles = strand_tiles(seqs, tile).persist()
+    spans = orf_spans(seqs, allow_alt, tile, tiles)
     nt = F.col("stop") + 3 - F.col("start")
     spans = spans.withColumn("nt_len", nt.cast("bigint")).where(
         F.floor(F.col("nt_len") / 3) >= max(1, int(min_aa)))
-    j = spans.join(seqs.select("record_no", "seqid", "seq"), "record_no")
-    L = F.length("seq").cast("bigint")
+    # ORF bases from the tiles it spans (each tile owns [t0, t0 + tile)); no
+    # row ever carries a whole sequence, however long
+    pieces = spans.select("record_no", "strand", "frame", "start", "stop", "nt_len", "start_codon", "stop_codon",
+                          F.explode(F.sequence(F.floor(F.col("start") / tile),
+                                               F.floor((F.col("stop") + 2) / tile))).alias("tile"))
+    pt = pieces.join(tiles.select("record_no", "strand", "tile", "t0", "seq_len", "txt"),
+                     ["record_no", "strand", "tile"])
+    lo = F.greatest(F.col("start"), F.col("t0"))
+    hi = F.least(F.col("stop") + 3, F.col("t0") + tile)
+    pt = pt.withColumn("piece", F.substring("txt", (lo - F.col("t0") + 1).cast("int"),
+                                            (hi - lo).cast("int")).cast("string"))
+    key = ["record_no", "strand", "frame", "start", "stop", "nt_len", "start_codon", "stop_codon"]
+    orfs = pt.groupBy(*key).agg(
+        F.max("seq_len").alias("L"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("tile", "piece"))), lambda x: x["piece"]),
+                     "").alias("dna_seq"))
     plus = F.col("strand") == "+"
+    L = F.col("L").cast("bigint")
     s_plus = F.when(plus, F.col("start")).otherwise(L - 1 - (F.col("stop") + 2))
     e_plus = F.when(plus, F.col("stop") + 2).otherwise(L - 1 - F.col("start"))
-    j = j.select("record_no", "seqid", "strand", "frame", "seq", "nt_len", "start_codon", "stop_codon",
-                 (s_plus + 1).cast("bigint").alias("start_1b"), (e_plus + 1).cast("bigint").alias("end_1b"))
-    piece = F.substring(F.col("seq"), F.col("start_1b").cast("int"), F.col("nt_len").cast("int"))
-    j = j.withColumn("dna_seq", F.when(plus, piece).otherwise(dna.reverse_complement(piece))).drop("seq")
+    j = orfs.join(seqs.select("record_no", "seqid"), "record_no")
     return j.select(
-        "record_no", "seqid", "strand", "frame", "start_1b", "end_1b", "nt_len",
-        F.floor(F.col("nt_len") / 3).cast("bigint").alias("aa_len"),
+        "record_no", "seqid", "strand", "frame",
+        (s_plus + 1).cast("bigint").alias("start_1b"), (e_plus + 1).cast("bigint").alias("end_1b"),
+        "nt_len", F.floor(F.col("nt_len") / 3).cast("bigint").alias("aa_len"),
         "start_codon", "stop_codon",
         dna.gc_fraction(F.col("dna_seq")).alias("gc"),
         "dna_seq", dna.to_rna(F.col("dna_seq")).alias("rna_seq"),
