@@ -100,3 +100,109 @@ def op10(spark, d):
     path = shared_path(spark, "warc")
     write_archive(table(spark, d, "pages"), path)
     return record_index(read_archive(spark, path))
+
+
+def held_out():
+    """crc32 of the id as text, modulo 5, is 0; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+
+
+@query("op8_toxicity")
+def op8(spark, d):
+    from locuspark.llm.toxicity import toxicity
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    scored = toxicity(docs.select("doc_id", "text"), labels.where(~held_out()))
+    return scored.select("doc_id", held_out().alias("held_out"), F.col("_tox_score").alias("score"),
+                         (F.col("_tox_score") >= 0.5).cast("int").alias("predicted"), "_tox_evidence")
+
+
+@query("op5_langid")
+def op5(spark, d):
+    from locuspark.llm.langid import identify
+    return identify(table(spark, d, "documents"), held_out())
+
+
+@query("op4_secrets")
+def op4(spark, d):
+    from locuspark.llm.secret_scan import secret_spans
+    found = secret_spans(table(spark, d, "documents"))
+    base = F.filter("spans", lambda x: x["kind"] != "model")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(
+        ":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+                        count("hex").alias("n_hex"), F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
+OLD_SHARDS, SHARDS = 16, 16
+
+
+def old_shard():
+    """The layout to mend: each source was hashed to one of 16 shards."""
+    return F.pmod(F.crc32(F.coalesce("source", F.lit(""))), F.lit(OLD_SHARDS))
+
+
+@query("op7_resharding")
+def op7(spark, d):
+    from locuspark.llm.sharding import reshard, with_slots
+    docs = table(spark, d, "documents").select("doc_id", "text", "source")
+    new = reshard(docs, old_shard(), SHARDS)
+    text = F.coalesce("text", F.lit(""))
+    slim = new.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+                      F.crc32(text).alias("text_crc32"), F.lit("bytes").alias("law"), "shard")
+    return with_slots(slim).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+def domain():
+    """Four domains by the number in the source's name; "other" without one."""
+    number = F.regexp_extract("source", r"([0-9]+)", 1)
+    names = F.array(*[F.lit(x) for x in ("web", "reference", "forum", "news")])
+    return F.when(number != "", F.element_at(names, (F.substring(number, -2, 2).cast("int") % 4 + 1).cast("int"))
+                  ).otherwise("other")
+
+
+def mix_target(max_epochs: int = 2):
+    from locuspark.llm.mixing import Mix
+    return Mix(domains={"web": 4, "reference": 3, "forum": 2, "news": 1}, langs={"en": 5, "de": 2, "fr": 2, "es": 1},
+               sources={}, max_epochs=max_epochs)
+
+
+def _fill_sql(name: str, parent: str, nodes: str) -> str:
+    """Split ``budget`` among children of one parent by weight, none above its capacity."""
+    return f"""{name}0 AS ({nodes}),
+{name}1 AS (SELECT *, sum(cap) OVER o - cap AS used, sum(w) OVER (PARTITION BY {parent}) - sum(w) OVER o + w AS rest
+  FROM {name}0 WINDOW o AS (PARTITION BY {parent} ORDER BY cap / w::DOUBLE, nm ROWS UNBOUNDED PRECEDING)),
+{name}2 AS (SELECT *, cap::HUGEINT * rest <= (budget - used)::HUGEINT * w AS is_full FROM {name}1),
+{name}3 AS (SELECT *, sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER (PARTITION BY {parent}) AS taken,
+  sum(CASE WHEN is_full THEN 0 ELSE w END) OVER (PARTITION BY {parent}) AS op FROM {name}2),
+{name} AS (SELECT * EXCLUDE (budget), CAST(CASE WHEN is_full THEN cap
+  ELSE (budget - taken)::HUGEINT * w // op END AS BIGINT) AS budget FROM {name}3)"""
+
+
+_H60 = "('0x' || substr(md5(concat_ws(':', '42', CAST({e} AS VARCHAR), CAST(doc_id AS VARCHAR))), 1, 15))::BIGINT"
+
+
+@query("op3_mixing", rf"""
+WITH D AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]+)', 1) = '' THEN 'other'
+       ELSE ['web', 'reference', 'forum', 'news'][right(regexp_extract(source, '([0-9]+)', 1), 2)::INT % 4 + 1] END AS domain,
+  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n FROM documents),
+L AS (SELECT domain, lang, source, CAST(sum(n) AS BIGINT) AS tokens FROM D GROUP BY ALL),
+{_fill_sql("T", "root", '''SELECT 0 AS root, domain, domain AS nm, sum(tokens) * 2 AS cap,
+  CASE domain WHEN 'web' THEN 4 WHEN 'reference' THEN 3 WHEN 'forum' THEN 2 ELSE 1 END AS w,
+  (SELECT sum(tokens) * 600 // 1000 FROM L) AS budget FROM L GROUP BY domain''')},
+{_fill_sql("G", "domain", '''SELECT L.domain, L.lang, L.lang AS nm, sum(L.tokens) * 2 AS cap,
+  CASE L.lang WHEN 'en' THEN 5 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END AS w, any_value(T.budget) AS budget
+  FROM L JOIN T USING (domain) GROUP BY L.domain, L.lang''')},
+{_fill_sql("S", "domain, lang", '''SELECT L.domain, L.lang, L.source, L.source AS nm, L.tokens * 2 AS cap, 1 AS w, L.tokens,
+  G.budget FROM L JOIN G USING (domain, lang)''')},
+E AS (SELECT D.*, S.budget, CASE WHEN tokens > 0 THEN S.budget // tokens ELSE 0 END AS epoch,
+  CASE WHEN tokens > 0 THEN S.budget % tokens ELSE -1 END AS rest FROM D JOIN S USING (domain, lang, source)),
+P AS (SELECT *, sum(n) OVER (PARTITION BY domain, lang, source ORDER BY {_H60.format(e="epoch")}, doc_id
+  ROWS UNBOUNDED PRECEDING) AS upto FROM E)
+SELECT doc_id, domain, lang, source, n AS n_tokens, budget AS leaf_budget,
+  CAST(epoch + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS BIGINT) AS copies FROM P""")
+def op3(spark, d):
+    from locuspark.llm.mixing import mix_plan
+    return mix_plan(table(spark, d, "documents"), domain(), mix_target()).drop("epoch", "h", "k")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from locuspark.llm.common import attach, cut_lineage, numbered
+from locuspark.llm.common import attach, cut_lineage, numbered, row_key
 from locuspark.llm.components import connected_components
 
 SHINGLE = 3
@@ -56,11 +56,12 @@ def fingerprint(text: bytes, width: int = SHINGLE) -> int:
 
 
 def _fingerprints(width: int):
+    """Replace the last column, the text, by its fingerprint."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            prints = [fingerprint(t.as_py() or b"", width) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], ["doc_id", "fp"])
+            prints = [fingerprint(t.as_py() or b"", width) for t in batch.column("text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints, pa.int64())],
+                                             [*batch.schema.names[:-1], "fp"])
     return run
 
 
@@ -112,8 +113,9 @@ def _links(prints: DataFrame, max_bits: int, bits: int, hot: int) -> DataFrame:
 
 
 def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
-                       max_bits: int = MAX_BITS, segment_bits: int = SEGMENT_BITS, hot: int = HOT_CELL) -> DataFrame:
-    """One row per input row: ``doc_id, fingerprint, component_id, keep``.
+                       max_bits: int = MAX_BITS, segment_bits: int = SEGMENT_BITS, hot: int = HOT_CELL,
+                       with_key: bool = False) -> DataFrame:
+    """One row per input row: ``doc_id, fingerprint, component_id, keep`` (and ``row_key``, if asked for).
 
     ``component_id`` is the smallest doc_id reachable over links of at most
     ``max_bits`` (0, 1 or 2) differing bits; null ids are passed over, and a
@@ -126,8 +128,10 @@ def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     if max_bits not in (0, 1, 2) or segment_bits not in (2, 4, 8):
         raise ValueError("max_bits must be 0, 1 or 2 and segment_bits 2, 4 or 8")
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = numbered(slim.mapInArrow(_fingerprints(width), "doc_id long, fp long"))
+    key = [row_key(F.col(id_col), F.col(text_col)).alias("row_key")] if with_key else []
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), *key, F.col(text_col).cast("string").alias("text"))
+    rows = numbered(slim.mapInArrow(_fingerprints(width), "doc_id long, row_key string, fp long" if with_key
+                                    else "doc_id long, fp long"))
     first = F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "rid")
     prints = cut_lineage(rows.groupBy("fp").agg(F.min(first).alias("first")))
     if max_bits:
@@ -141,4 +145,4 @@ def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "fp", F.col("first.doc_id").alias("component_id"), F.col("first.rid").alias("keep_rid"))
     return attach(rows, values, ["fp"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
-        (F.col("rid") == F.col("keep_rid")).alias("keep"))
+        (F.col("rid") == F.col("keep_rid")).alias("keep"), *["row_key"] * with_key)
