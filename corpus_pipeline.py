@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locuspark.llm import queries as q
-from locuspark.llm.common import free_name, row_key, shared_path, table
+from locuspark.llm.common import all_columns, free_name, row_key, shared_path, table
 from locuspark.llm.decontaminate import decontaminate
 from locuspark.llm.mixing import mix_documents
 from locuspark.llm.sharding import reshard, with_slots
@@ -23,8 +23,7 @@ from locuspark.llm.toxicity import toxicity
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of at least 0.5 go; labels are learned as in ``op8_toxicity``."""
     scored = toxicity(docs, table(spark, sf_dir, "labels").where(~q.held_out()))
-    score = scored[scored.columns[-2]]
-    return scored.where(score < 0.5).select(*[scored[f"`{c}`"] for c in docs.columns])
+    return scored.where(F.col(scored.columns[-2]) < 0.5).select(all_columns(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +35,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     key = free_name(docs, "_row_key")
     stay = marked.where("keep").select(F.col("row_key").alias(key))
     rows = docs.withColumn(key, row_key(F.col("doc_id"), F.col("text"))).join(stay, key, "left_semi")
-    return rows.dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.dropDuplicates([key]).select(all_columns(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +44,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     bad = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(
         F.col("row_key").alias(key)).distinct()
     rows = docs.withColumn(key, row_key(F.col("doc_id"), F.col("text"))).join(bad, key, "left_anti")
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.select(all_columns(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,6 +37,11 @@ def row_key(id_col: Column, text_col: Column) -> Column:
                              F.when(text_col.isNull(), "0").otherwise("1"), no_null(text_col)))
 
 
+def all_columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever characters their names have."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, or a variant of it that no column of ``df`` has (names compare without case)."""
     taken = {c.lower() for c in df.columns}

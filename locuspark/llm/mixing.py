@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locuspark.functions.rng import hash60
-from locuspark.llm.common import cut_lineage, free_name, no_null, row_key
+from locuspark.llm.common import all_columns, cut_lineage, free_name, no_null, row_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 LEAF = ["domain", "lang", "source"]
@@ -134,4 +134,4 @@ def mix_documents(docs: DataFrame, domain: Column, mix: Mix, id_col: str = "doc_
     mine = F.struct(h.alias("h"), row_key(F.col(id_col), F.col(text_col)).alias("k"))
     copies = F.col(names["epoch"]) + F.coalesce((mine <= F.col(names["last"])).cast("int"), F.lit(0))
     out = both.withColumn(names["h"], F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.select(all_columns(docs))

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from locuspark.llm.common import cut_lineage, free_name, no_null, row_key, shared_path
+from locuspark.llm.common import all_columns, cut_lineage, free_name, no_null, row_key, shared_path
 
 BLOCK_ROWS = 500
 BIG_SHARE = 50  # a document above capacity / BIG_SHARE is placed by itself; at most shards * BIG_SHARE of them exist
@@ -130,7 +130,7 @@ def plan_reshard(docs: DataFrame, old: Column, n_new: int, id_col: str = "doc_id
     plan.moved_bytes = sum(sizes[i] - stay[i] - kept_big[i] for i in olds)
     whole = {i for i in olds if stay[i] + kept_big[i] == sizes[i] and 0 <= i < n_new
              and flow[:, i].sum() + sum(need for _, j, _, need in big if j == i) == sizes[i]}
-    plan.affected = sorted((set(olds) | set(range(n_new))) - whole)
+    plan.affected = sorted(set(range(n_new)) - whole)
     bounds = []
     for x, i in enumerate(olds):  # own shard first, then the others by number
         at, targets = 0, sorted(np.flatnonzero(flow[x]).tolist(), key=lambda j: (j != i, j))
@@ -179,13 +179,13 @@ def place(docs: DataFrame, plan: Plan, old: Column, out: str, id_col: str = "doc
         lines.setdefault(o, []).append(((c, h, k), shard))
     cuts = spark.createDataFrame(list(lines.items()), f"_o int, _cuts array<struct<at: {ORDER}, shard: int>>")
     big = spark.createDataFrame(plan.big, "_k string, _big int")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    rows = docs.select(F.struct(*all_columns(docs)).alias("row"),
                        *[e.alias(n) for n, e in _order(old, id_col, text_col).items()])
     rows = rows.join(F.broadcast(cuts), F.col("old") == F.col("_o"), "left").join(
         F.broadcast(big), F.col("k") == F.col("_k"), "left")
     passed = F.filter("_cuts", lambda x: x["at"] <= F.struct("c", "h", "k"))
     shard = F.coalesce("_big", F.element_at(passed, -1)["shard"], F.lit(0))
-    return rows.select("row.*", shard.alias(out))
+    return rows.select("row", shard.alias("to")).select("row.*", F.col("to").alias(out))
 
 
 def reshard(docs: DataFrame, old: Column, n_new: int, path: str | None = None, id_col: str = "doc_id",
@@ -207,15 +207,17 @@ def reshard(docs: DataFrame, old: Column, n_new: int, path: str | None = None, i
     plan = plan_reshard(docs, old, n_new, id_col, text_col, cost, block_rows)
     name = free_name(docs, "shard")
     placed = place(docs, plan, old, name, id_col, text_col)
-    moved = placed.where(F.col(name).isin(plan.affected)) if plan.affected else placed.limit(0)
+    if not plan.affected:
+        return placed
+    moved = placed.where(F.col(name).isin(plan.affected))
     part = F.pmod(F.xxhash64(row_key(F.col(id_col), F.col(text_col))), F.lit(max(_files(docs, text_col, n_new,
                                                                                         file_bytes), 1)))
     moved.withColumn("_file", part).repartition(F.col(name), F.col("_file")).drop("_file").write.mode(
         "overwrite").partitionBy(name).parquet(path)
     files = spark.read.schema(placed.schema).parquet(path)
-    if not plan.affected or len(plan.affected) >= n_new:
-        return files.select(placed.columns)
-    return files.select(placed.columns).union(placed.where(~F.col(name).isin(plan.affected)))
+    if len(plan.affected) == n_new:
+        return files.select(all_columns(placed))
+    return files.select(all_columns(placed)).union(placed.where(~F.col(name).isin(plan.affected)))
 
 
 def _files(docs: DataFrame, text_col: str, n_new: int, file_bytes: int) -> int:
@@ -231,12 +233,14 @@ def with_slots(rows: DataFrame, shard: str = "shard", id_col: str = "doc_id", bl
     Rows fall into blocks of some hundred by hash; a block is numbered by a
     window, and the blocks before it are added from a table of block counts.
     """
-    counts = {r[0]: r[1] for r in rows.groupBy(shard).count().collect()}  # one number per shard
-    subs = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for s, n in counts.items() for x in (s, -(-n // block_rows))]),
-                                   F.col(shard)), F.lit(1)) if counts else F.lit(1)
-    keyed = rows.withColumn("_h", F.xxhash64(id_col)).withColumn("_sub", F.pmod(F.col("_h"), subs.cast("long")))
-    before = keyed.groupBy(shard, "_sub").agg(F.count(F.lit(1)).alias("_n")).withColumn(
-        "_before", F.sum("_n").over(Window.partitionBy(shard).orderBy("_sub")) - F.col("_n"))
-    inside = F.row_number().over(Window.partitionBy(shard, "_sub").orderBy("_h", id_col))
-    return keyed.withColumn("_at", inside).join(before, [shard, "_sub"]).withColumn(
-        out, (F.col("_before") + F.col("_at") - 1).cast("long")).drop("_h", "_sub", "_n", "_before", "_at")
+    packed = rows.select(F.struct(*all_columns(rows)).alias("row"), F.col(shard).alias("to"), F.col(id_col).alias("id"))
+    counts = {r[0]: r[1] for r in packed.groupBy("to").count().collect()}  # one number per shard
+    blocks = [F.lit(x) for s, n in counts.items() for x in (s, -(-n // block_rows))]
+    subs = F.element_at(F.create_map(*blocks), F.col("to")) if blocks else F.lit(1)
+    keyed = packed.withColumn("h", F.xxhash64("id")).withColumn("sub", F.pmod(F.col("h"), subs.cast("long")))
+    before = keyed.groupBy("to", "sub").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "before", F.sum("n").over(Window.partitionBy("to").orderBy("sub")) - F.col("n")).drop("n")
+    inside = F.row_number().over(Window.partitionBy("to", "sub").orderBy("h", "id"))
+    at = keyed.withColumn("at", inside).join(before, ["to", "sub"])
+    return at.select("row", (F.col("before") + F.col("at") - 1).cast("long").alias("slot")).select(
+        "row.*", F.col("slot").alias(out))
