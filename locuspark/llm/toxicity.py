@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from locuspark.functions.rng import hash60
-from locuspark.llm.common import free_name
+from locuspark.llm.common import all_columns, free_name
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 EXAMPLES = 3000  # bound of the labelled sample, half for each class
@@ -245,12 +245,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return build_index([r[0] for r in rows], found, toxic, weight / weight.min(), idf, k)
 
 
-def _scorer(index: Index | None, k: int, at: int, score: str, evidence_name: str):
+def _scorer(index: Index | None, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         relevant, known = _Relevant(index.idf if index else ()), {}
         for batch in batches:
             scores, evidence = [], []
-            for text in batch.column(at).cast(pa.binary()):
+            for text in batch.column("text").cast(pa.binary()):
                 bag = relevant.bag(text.as_py())
                 mark = frozenset(bag.items())
                 if mark not in known:
@@ -263,8 +263,8 @@ def _scorer(index: Index | None, k: int, at: int, score: str, evidence_name: str
                 scores.append(known[mark][0])
                 evidence.append(known[mark][1])
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()),
-                                              pa.array(evidence, kind)], [*batch.schema.names, score, evidence_name])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores, pa.float64()), pa.array(evidence, kind)],
+                                             ["row", "score", "evidence"])
     return run
 
 
@@ -279,7 +279,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """
     index = train(docs, labels, id_col, text_col, most=most, k=k)
     score, evidence = free_name(docs, "_tox_score"), free_name(docs, "_tox_evidence")
-    added = StructType.fromDDL(f"`{score}` double, `{evidence}` array<struct<doc_id: bigint, similarity: double, "
-                               "toxic: int>>")
-    schema = StructType([*docs.schema.fields, *added.fields])
-    return docs.mapInArrow(_scorer(index, k, docs.columns.index(text_col), score, evidence), schema)
+    packed = docs.select(F.struct(*all_columns(docs)).alias("row"), F.col(text_col).cast("string").alias("text"))
+    added = StructType.fromDDL("score double, evidence array<struct<doc_id: bigint, similarity: double, toxic: int>>")
+    scored = packed.mapInArrow(_scorer(index, k), StructType([packed.schema["row"], *added.fields]))
+    return scored.select("row.*", F.col("score").alias(score), F.col("evidence").alias(evidence))
