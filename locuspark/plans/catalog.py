@@ -270,7 +270,7 @@ def _ln(expr: str) -> str:
     return f"(CASE WHEN ({expr}) <= 0 THEN '-inf'::DOUBLE ELSE ln({expr}) END)"
 
 
-_PRI = gt._prior()
+_PRI = [math.log((1 / 4e6) / (1 / 1.5e6 + 1 / 4e6)), math.log((1 / 1.5e6) / (1 / 1.5e6 + 1 / 4e6))]
 _ONE = "1.0::DOUBLE"
 _RIO = f"({_ONE} / 1.5e6::DOUBLE)"
 _ROI = f"({_ONE} / 4e6::DOUBLE)"

@@ -14,11 +14,20 @@ def test_genotype_calls(spark):
 
 
 def _score(path, pos, ps, calls):
-    pri = gt._prior()
-    s = pri[path[0]] + gt._emissions(ps[0], calls[0])[path[0]]
-    for i in range(1, len(path)):
-        s += gt._log_trans(int(pos[i] - pos[i - 1]))[path[i - 1]][path[i]] + gt._emissions(ps[i], calls[i])[path[i]]
-    return s
+    emit = gt.emission_scores(np.array(ps), np.array(calls, dtype=object))
+    move = gt.transition_scores(np.diff(pos, prepend=pos[0]))
+    s = gt.start_scores()[path[0]] + emit[0][path[0]]
+    return s + sum(move[i][path[i - 1]][path[i]] + emit[i][path[i]] for i in range(1, len(path)))
+
+
+def test_model_values():
+    """Two sites by hand: 1 Mb apart, a heterozygous and a missing call at p = 0.3."""
+    e = gt.emission_scores(np.array([0.3, 0.3]), np.array(["het", None], dtype=object))
+    assert np.allclose(np.exp(e), [[0.001, 0.42], [1, 1]])
+    t = np.exp(gt.transition_scores(np.array([1e6, 0.0, -5.0])))
+    assert np.allclose(t[0], [[np.exp(-1 / 1.5), 1 - np.exp(-1 / 1.5)], [1 - np.exp(-1 / 4), np.exp(-1 / 4)]])
+    assert (t[1:] == np.eye(2)).all()
+    assert np.allclose(np.exp(gt.start_scores()), [3 / 11, 8 / 11])
 
 
 def test_viterbi_is_optimal_and_chunking_exact(spark):
@@ -52,3 +61,29 @@ def test_segments(spark):
     assert seg == [(1, 2), (4, 4)]
     df2 = df.withColumn("chunk", F.lit(0).cast("long"))
     assert sorted((r.start_position, r.stop_position) for r in gt.state_runs(df2).collect()) == seg
+
+
+def test_file_order_across_chromosomes(spark):
+    """by=["sample"] decodes in file order, not in position order; two records at one position keep their own AF."""
+    rows = [("s", "chr1", 100_000 * i, "AF=0.5", "0/0", i) for i in range(30)]
+    rows += [("s", "chr2", 100_000 * i, "AF=0.5", "0/1", 30 + i) for i in range(30)]
+    df = spark.createDataFrame(rows, "sample string, chrom string, pos long, info string, gt string, site_ord long")
+    got = [r.state for r in gt.viterbi_states(df, by=["sample"]).orderBy("ord").collect()]
+    assert got[:25] == [0] * 25 and got[35:] == [1] * 25
+    small = [r.state for r in gt.viterbi_states(df, by=["sample"], chunk_sites=7, bin_sites=10).orderBy("ord").collect()]
+    assert small == got
+    seg = gt.inbred_segments(df, by=["sample"]).collect()
+    assert len(seg) == 1 and seg[0].start_position == 0
+    twice = spark.createDataFrame([("s", "c", 5, "AF=0.1", "0/0", 0), ("s", "c", 5, "AF=0.4", "0/1", 1)], df.schema)
+    assert sorted(r.p for r in gt.site_frequency(gt.genotype_calls(twice)).collect()) == [0.1, 0.4]
+
+
+def test_dense_positions_do_not_share_a_chunk(spark):
+    """All but ten sites lie close together; no chunk holds more than its share and one histogram cell."""
+    rows = [("s", "c", 50_000_000 + i * 7 if i >= 10 else i * 5_000_000, "AF=0.3", "0/0") for i in range(3000)]
+    df = spark.createDataFrame(rows, "sample string, chrom string, pos long, info string, gt string")
+    states = gt.viterbi_states(df, chunk_sites=100)
+    sizes = [r["count"] for r in states.groupBy("chunk").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 100 + 1024 // 7 + 1
+    one = gt.viterbi_states(df)
+    assert {(r.pos, r.state) for r in states.collect()} == {(r.pos, r.state) for r in one.collect()}
