@@ -34,25 +34,32 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digest every payload; the compressed body goes along with its first row in this task only."""
+    """Replace the payload by its length and digests."""
+    for batch in batches:
+        payloads = [html.as_py() or b"" for html in batch.column("html").cast(pa.binary())]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("page_id"), batch.column("url"), pa.array([hashlib.sha256(p).hexdigest() for p in payloads]),
+             pa.array([len(p) for p in payloads], pa.int64()), pa.array([base32_sha1(p) for p in payloads], pa.string())],
+            ["page_id", "url", "digest", "n_bytes", "sha1"])
+
+
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compressed payloads with their digest, each once in a task as far as the task remembers."""
     pack, seen = zstandard.ZstdCompressor(level=3), set()
     for batch in batches:
-        out = ([], [], [], [])
-        for html in batch.column(2).cast(pa.binary()):
+        out = ([], [], [])
+        for html in batch.column("html").cast(pa.binary()):
             payload = html.as_py() or b""
             strong = hashlib.sha256(payload).hexdigest()
-            new = strong not in seen
-            if new:
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen.add(strong)
-            for column, value in zip(out, (strong, len(payload), base32_sha1(payload),
-                                           pack.compress(payload) if new else None)):
+            if strong in seen:
+                continue
+            if len(seen) >= SEEN:
+                seen.clear()
+            seen.add(strong)
+            for column, value in zip(out, (strong, len(payload), pack.compress(payload))):
                 column.append(value)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()),
-             pa.array(out[2], pa.string()), pa.array(out[3], pa.binary())],
-            ["page_id", "url", "digest", "n_bytes", "sha1", "body"])
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()),
+                                          pa.array(out[2], pa.binary())], ["digest", "n_bytes", "body"])
 
 
 def _line(name: str, value: Column) -> Column:
@@ -76,13 +83,12 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     """
     slim = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.col(payload_col).cast("string").alias("html"))
-    rows = numbered(slim.mapInArrow(_digests, "page_id long, url string, digest string, n_bytes long, sha1 string, "
-                                              "body binary"))
-    bodies = rows.where("body IS NOT NULL").select("digest", "n_bytes", "body").dropDuplicates(["digest", "n_bytes"])
-    bodies.write.mode("overwrite").parquet(f"{path}/payloads")
+    bodies = slim.select("html").mapInArrow(_bodies, "digest string, n_bytes long, body binary")
+    bodies.dropDuplicates(["digest", "n_bytes"]).write.mode("overwrite").parquet(f"{path}/payloads")
+    rows = numbered(slim.mapInArrow(_digests, "page_id long, url string, digest string, n_bytes long, sha1 string"))
     first = F.min(F.struct(F.col("page_id").isNull().alias("void"), "page_id", "rid")).alias("first")
     firsts = rows.groupBy("digest").agg(first)
-    known = attach(rows.drop("body"), firsts, ["digest"])
+    known = attach(rows, firsts, ["digest"])
     again = (F.col("n_bytes") >= min_bytes) & (F.col("rid") != F.col("first.rid"))
     head = F.concat(
         F.lit("WARC/1.1\r\n"), _line("WARC-Type", F.when(again, "revisit").otherwise("response")),
