@@ -1,46 +1,54 @@
-"""K-means (driver loop of distributed rounds), nearest centroid and
-majority-label clustering error.
+"""K-means in Arrow batches, nearest centroid, and majority-label error.
 
-Only the k centroids (k x d) ever reach the driver; each round is one
-distributed assignment + one grouped mean.
+A round is one scan: every task assigns its batches with NumPy and returns, per
+cluster, the member count and the feature sums, so that only k rows per task
+are shuffled.  The k centroids travel to the tasks with the function.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark import StorageLevel
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from locuspark.functions.rng import hash60
 
-MAX_CENTROID_CELLS = 4_000_000   # k * d literal cells kept in the plan
-
 
-def _sqdist(features: Column, c) -> Column:
-    lit = F.array(*[F.lit(float(x)) for x in c])
-    return F.aggregate(F.zip_with(features, lit, lambda a, b: (a - b) * (a - b)), F.lit(0.0),
-                       lambda acc, v: acc + v)
+def nearest(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Row number of the nearest centroid (squared Euclidean); the first of equals."""
+    gaps = np.stack([((points - c) ** 2).sum(1) for c in centroids], 1)
+    return gaps.argmin(1).astype(np.int32)
 
 
 def assign_nearest(vectors: DataFrame, centroids, features: str = "features", out: str = "cluster") -> DataFrame:
-    """Index of the nearest centroid (squared Euclidean), lowest index on ties."""
+    """``out`` = index of the nearest centroid, lowest index on ties."""
     cents = np.asarray(centroids, dtype=float)
-    if cents.size > MAX_CENTROID_CELLS:
-        raise ValueError("centroid matrix too large to inline")
-    f = F.col(features)
-    cand = F.array(*[F.struct(_sqdist(f, c).alias("d"), F.lit(j).alias("j")) for j, c in enumerate(cents)])
-    return vectors.withColumn(out, F.array_min(cand).getField("j"))
+
+    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(**{out: nearest(np.stack(pdf[features]), cents) if len(pdf) else np.empty(0, np.int32)})
+
+    schema = StructType([*vectors.schema.fields]).add(out, IntegerType())
+    return vectors.mapInPandas(label, schema)
+
+
+def _drawn(vectors: DataFrame, n: int, key: list, id_col: str, features: str) -> list:
+    """The ``n`` rows first in a hashed order (a top-n, no full sort)."""
+    order = hash60(*[F.lit(x) for x in key], F.col(id_col))
+    return vectors.select(id_col, features, order.alias("_h")).orderBy("_h", id_col).limit(n).collect()
 
 
 def sample_k(vectors: DataFrame, k: int, seed: int, id_col: str = "vec_id", features: str = "features"):
-    """R2: k distinct rows by hashed draw order (top-k, no full sort); error if k > n."""
-    rows = (vectors.select(id_col, features, hash60(F.lit(seed), F.col(id_col)).alias("_h"))
-            .orderBy("_h", id_col).limit(k).collect())
+    """R2: features and ids of k distinct rows in hashed draw order; an error where the table is shorter."""
+    rows = _drawn(vectors, k, [seed], id_col, features)
     if len(rows) < k:
-        raise ValueError(f"k={k} cannot exceed number of samples n={len(rows)}")
+        raise ValueError(f"cannot draw {k} rows from a table of {len(rows)}")
     return np.array([r[features] for r in rows], dtype=float), [r[id_col] for r in rows]
 
 
@@ -51,44 +59,43 @@ def centroid_means(assigned: DataFrame, features: str = "features", cluster: str
     return g.select(cluster, "n", vector_to_array("_m").alias("mean"))
 
 
-def _reseed(vectors, seed, rnd, c, id_col, features):
-    r = (vectors.select(features, hash60(F.lit(seed), F.lit(rnd), F.lit(c), F.col(id_col)).alias("_h"), id_col)
-         .orderBy("_h", id_col).limit(1).collect())
-    return np.array(r[0][features], dtype=float)
-
+def round_means(vectors: DataFrame, centroids: np.ndarray, features: str = "features") -> dict[int, np.ndarray]:
+    """Mean of the members that each centroid attracts; clusters without members are absent."""
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count, total = np.zeros(len(centroids), np.int64), np.zeros(centroids.shape)
+        for pdf in batches:
+            if len(pdf):
+                points = np.stack(pdf[features])
+                member = nearest(points, centroids)
+                count += np.bincount(member, minlength=len(count))
+                np.add.at(total, member, points)
+        held = np.flatnonzero(count)
+        if len(held):
+            yield pd.DataFrame({"cluster": held, "n": count[held], "total": [total[c] for c in held]})
 
-def update_centroids(vectors: DataFrame, assigned: DataFrame, k: int, seed: int, rnd: int,
-                     id_col: str = "vec_id", features: str = "features") -> np.ndarray:
-    """A10: new centroids; an empty cluster is re-seeded with a hashed random point."""
-    means = {r["cluster"]: r["mean"] for r in centroid_means(assigned, features).collect()}
-    out = []
-    for c in range(k):
-        if c in means:
-            out.append(np.array(means[c], dtype=float))
-        else:
-            out.append(_reseed(vectors, seed, rnd, c, id_col, features))
-    return np.vstack(out)
+    parts = vectors.select(features).mapInPandas(sums, "cluster int, n long, total array<double>")
+    rows = parts.select("cluster", "n", array_to_vector("total").alias("t")).groupBy("cluster").agg(
+        F.sum("n").alias("n"), vector_to_array(Summarizer.sum(F.col("t"))).alias("total")).collect()  # k rows
+    return {r["cluster"]: np.array(r["total"]) / r["n"] for r in rows}
 
 
 def kmeans(vectors: DataFrame, k: int, max_iters: int = 300, tol: float = 1e-4, seed: int = 0,
            id_col: str = "vec_id", features: str = "features"):
-    """M1: returns (labels DataFrame, centroids ndarray, rounds run).
+    """M1: (labels DataFrame, centroids, rounds).  Labels belong to the centroids before the last update.
 
-    Labels come from the last assignment, i.e. they belong to the centroids
-    *before* the final update (as in the analysis being reproduced).
+    A cluster that lost all members gets a newly drawn row; the rounds end when
+    no centroid moves by ``tol`` or more.
     """
-    vec = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    cents, _ = sample_k(vec, k, seed, id_col, features)
-    assigned = None
-    it = 0
-    for it in range(1, max_iters + 1):
-        assigned = assign_nearest(vec, cents, features)
-        new = update_centroids(vec, assigned, k, seed, it, id_col, features)
-        shift = float(np.linalg.norm(new - cents, axis=1).max())
-        cents = new
-        if shift < tol:
-            break
-    return assigned, cents, it
+    after, _ = sample_k(vectors, k, seed, id_col, features)
+    before, rounds, moved = after, 0, np.inf
+    while rounds < max_iters and moved >= tol:
+        before, rounds = after, rounds + 1
+        means = round_means(vectors, before, features)
+        for lost in set(range(k)) - means.keys():
+            means[lost] = np.array(_drawn(vectors, 1, [seed, rounds, lost], id_col, features)[0][features], dtype=float)
+        after = np.stack([means[c] for c in range(k)])
+        moved = np.sqrt(((after - before) ** 2).sum(1)).max()
+    return assign_nearest(vectors, before, features), after, rounds
 
 
 def clustering_error(df: DataFrame, cluster: str = "cluster", label: str = "label") -> DataFrame:

@@ -8,6 +8,7 @@ places on both sides; all queries read whole tables.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -712,17 +713,26 @@ def _split_frames(spark, d):
 @query("model_sweep")
 def q_sweep(spark, d):
     _, tr, va = _split_frames(spark, d)
-    rows, _ = pr.sweep(tr.drop("doc_id"), va, NUM_FEATURES, ["lang", "source"], "y", [1, 3], [1e-4, 1e-3], "doc_id")
+    rows, _ = pr.sweep(tr.drop("doc_id"), va, NUM_FEATURES, ["lang", "source"], "y", [1, 3], [1e-4, 1e-3])
     return spark.createDataFrame(rows, "k int, alpha double, auc double")
 
 
-@query("risk_scores")
+@query("risk_scores", """
+SELECT CAST(doc_id AS BIGINT) AS id, true AS in_range FROM documents
+WHERE doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY id""")
 def q_scores(spark, d):
+    """Fit on the labelled documents, score those without a label, write through the TSV sink, read back."""
+    from locuspark.session import checkpoint_dir
+    from locuspark.sources.files import write_tsv
     lb, tr, va = _split_frames(spark, d)
-    _, best = pr.sweep(tr.drop("doc_id"), va, NUM_FEATURES, ["lang", "source"], "y", [1, 3], [1e-4, 1e-3], "doc_id")
+    _, best = pr.sweep(tr.drop("doc_id"), va, NUM_FEATURES, ["lang", "source"], "y", [1, 3], [1e-4, 1e-3])
     model, fac, _ = pr.fit_logistic(lb.drop("doc_id"), NUM_FEATURES, ["lang", "source"], "y", best[0], best[1])
-    sc = pr.predict_proba(model, fac, lb)
-    return sc.select(F.col("doc_id").alias("id"), F.col("score").alias("quality")).orderBy("id")
+    new, id_col = pr.ensure_id(fx.unlabelled(spark, d).withColumnRenamed("doc_id", "id"))
+    scored = pr.predict_proba(model, fac, new).select(id_col, F.col("score").alias("quality"))
+    path = f"{checkpoint_dir(spark)}/risk_scores_{uuid.uuid4().hex}"
+    write_tsv(scored, path, order_by=[id_col])
+    back = spark.read.csv(path, sep="\t", header=True, schema="id long, quality double")
+    return back.select("id", F.col("quality").between(0.0, 1.0).alias("in_range"))
 
 
 # ====================================================================== NMF / ancestry
@@ -876,29 +886,32 @@ def q_vectors(spark, d):
     return v.select("vec_id", F.size("features").alias("dims"), "label")
 
 
-# ====================================================================== Ward
-from locuspark.operators import ward as wd  # noqa: E402
-
-WARD_K = 10
+# ====================================================================== merge trees
+from locuspark.operators import merge_tree as mt  # noqa: E402
 
-
-def _ward_cut(spark, d):
-    v = fx.vectors(spark, d)
-    n = v.count()
-    link = wd.ward_linkage(v)
-    return v, wd.cut_tree(link, n, WARD_K)
+TREE_K = 25
+MERGE_CTE = f"M AS ({fx.MERGES_SQL}), N AS (SELECT count(*) AS n FROM part)"
+CUT_CTE = f"""{MERGE_CTE}, H AS (SELECT height AS t FROM M, N WHERE step = n - {TREE_K} - 1),
+UP AS (SELECT "left" AS node, n + step AS up FROM M, N, H WHERE height <= t
+       UNION ALL SELECT "right", n + step FROM M, N, H WHERE height <= t),
+R AS (WITH RECURSIVE W(leaf, node) AS (SELECT i, i FROM N, unnest(range(n)) t(i)
+        UNION ALL SELECT W.leaf, UP.up FROM W JOIN UP USING (node)) SELECT leaf, max(node) AS top FROM W GROUP BY leaf)"""
 
 
-@query("ward_cut_sizes")
-def q_ward_sizes(spark, d):
-    _, cut = _ward_cut(spark, d)
-    return cut.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+@query("tree_cut", f"""WITH {CUT_CTE}
+SELECT leaf, CAST(dense_rank() OVER (ORDER BY first) AS INTEGER) AS cluster
+FROM (SELECT leaf, min(leaf) OVER (PARTITION BY top) AS first FROM R) x""")
+def q_tree_cut(spark, d):
+    merges, n = fx.merges(spark, d)
+    return mt.cut_tree(merges, n, TREE_K)
 
 
-@query("ward_clustering_error")
-def q_ward_err(spark, d):
-    v, cut = _ward_cut(spark, d)
-    ranked = v.select("vec_id", "label").withColumn("leaf", F.dense_rank().over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("vec_id")) - 1)
-    j = ranked.join(cut, "leaf")
-    return cl.clustering_error(j, "cluster", "label")
+@query("tree_truncated", f"""WITH {MERGE_CTE},
+UP AS (SELECT "left" AS node, n + step AS up, step FROM M, N UNION ALL SELECT "right", n + step, step FROM M, N),
+S AS (WITH RECURSIVE W(leaf, node) AS (SELECT i, i FROM N, unnest(range(n)) t(i)
+        UNION ALL SELECT W.leaf, UP.up FROM W JOIN UP USING (node)) SELECT node, count(*) AS size FROM W GROUP BY node)
+SELECT UP.node, S.size FROM UP JOIN S USING (node), N
+WHERE UP.step >= n - {TREE_K} AND UP.node < n + (n - {TREE_K})""")
+def q_tree_truncated(spark, d):
+    merges, n = fx.merges(spark, d)
+    return mt.truncate_tree(merges, n, TREE_K)

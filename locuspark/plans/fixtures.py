@@ -241,18 +241,25 @@ def vectors(spark, sf_dir) -> DataFrame:
     return e.select("vec_id", F.col("embedding").cast("array<double>").alias("features"), "label")
 
 
-def labelled(spark, sf_dir) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
-    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    j = d.join(lab, "doc_id")
-    return j.select(
+def _text_features(docs: DataFrame, *more) -> DataFrame:
+    return docs.select(
         "doc_id",
         F.col("n_chars").cast("double").alias("n_chars"),
         (F.length("text") - F.length(F.regexp_replace("text", " ", ""))).cast("double").alias("n_spaces"),
         (F.length(F.regexp_replace("text", "[^0-9]", ""))).cast("double").alias("n_digits"),
-        "lang", "source",
-        F.col("quality").alias("y"),
-    )
+        "lang", "source", *more)
+
+
+def labelled(spark, sf_dir) -> DataFrame:
+    """Features of the documents with a quality label, and the label as ``y``."""
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))
+    return _text_features(table(spark, sf_dir, "documents").join(lab, "doc_id"), "y")
+
+
+def unlabelled(spark, sf_dir) -> DataFrame:
+    """Features of the documents without a label."""
+    docs = table(spark, sf_dir, "documents")
+    return _text_features(docs.join(table(spark, sf_dir, "labels"), "doc_id", "left_anti"))
 
 
 LABELLED_SQL = """
@@ -261,3 +268,18 @@ SELECT d.doc_id, CAST(d.n_chars AS DOUBLE) AS n_chars,
        CAST(length(regexp_replace(d.text, '[^0-9]', '', 'g')) AS DOUBLE) AS n_digits,
        d.lang, d.source, l.quality AS y
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
+
+
+# ---------------------------------------------------------------- merge trees
+
+def merges(spark, sf_dir):
+    """A merge table over the parts, and their number: step i joins nodes 2i and 2i+1; three steps share a height."""
+    n = table(spark, sf_dir, "part").count()
+    i = F.col("id")
+    steps = spark.range(max(n - 1, 0)).select(i.alias("step"), (2 * i).alias("left"), (2 * i + 1).alias("right"),
+                                              F.floor(i / 3).cast("double").alias("height"))
+    return steps, n
+
+
+MERGES_SQL = """SELECT i AS step, 2 * i AS "left", 2 * i + 1 AS "right", CAST(i // 3 AS DOUBLE) AS height
+FROM (SELECT unnest(range(count(*) - 1)) AS i FROM part) t"""

@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from locuspark.operators import clustering as cl, decomposition as dc, prediction as pr, ward as wd
+from locuspark.operators import clustering as cl, decomposition as dc, merge_tree as mt, prediction as pr
 from locuspark.plans import fixtures as fx
 
 
@@ -34,27 +34,61 @@ def test_nmf_nonnegative(spark):
     assert w.where(F.exists("w", lambda x: x < 0)).count() == 0
 
 
-def test_ward_equals_greedy(spark):
-    rng = np.random.default_rng(11)
-    x = np.vstack([rng.normal(c, 1.0, size=(8, 3)) for c in (0, 6)])
-    df = spark.createDataFrame([(i, [float(a) for a in x[i]]) for i in range(len(x))],
-                               "vec_id long, features array<double>")
-    link = wd.ward_linkage(df).orderBy("step").collect()
-    heights = [r.height for r in link]
-    assert heights == sorted(heights) and link[-1].size == len(x)
-    cl_ = {i: (1, x[i]) for i in range(len(x))}
-    greedy = []
-    while len(cl_) > 1:
-        ks = sorted(cl_)
-        best = min(((np.sqrt(2 * cl_[i][0] * cl_[j][0] / (cl_[i][0] + cl_[j][0])) * np.linalg.norm(cl_[i][1] - cl_[j][1]), i, j)
-                    for a, i in enumerate(ks) for j in ks[a + 1:]))
-        h, i, j = best
-        (ni, ci), (nj, cj) = cl_.pop(i), cl_.pop(j)
-        cl_[len(x) + len(greedy)] = (ni + nj, (ni * ci + nj * cj) / (ni + nj))
-        greedy.append(h)
-    assert np.allclose(heights, greedy)
-    cut = wd.cut_tree(wd.ward_linkage(df), len(x), 2).collect()
-    assert sorted({r.cluster for r in cut}) == [1, 2]
+def test_cut_tree_keeps_ties_together(spark):
+    """Two merges of equal height: asking for 3 of 4 leaves gives 2 clusters."""
+    merges = spark.createDataFrame([(0, 0, 1, 1.0), (1, 2, 3, 1.0), (2, 4, 5, 2.0)],
+                                   "step long, left long, right long, height double")
+    cut = lambda k: sorted((r.leaf, r.cluster) for r in mt.cut_tree(merges, 4, k).collect())
+    assert cut(3) == cut(2) == [(0, 1), (1, 1), (2, 2), (3, 2)]
+    assert cut(4) == [(0, 1), (1, 2), (2, 3), (3, 4)] and cut(1) == [(i, 1) for i in range(4)]
+    assert {r.node: r["size"] for r in mt.subtree_sizes(merges, 4).collect()} == {4: 2, 5: 2, 6: 4}
+    assert {r.node: r["size"] for r in mt.truncate_tree(merges, 4, 3).collect()} == {4: 2, 2: 1, 3: 1}
+
+
+def test_deep_tree(spark):
+    n = 40  # a chain: step i joins leaf i + 1 to all before
+    rows = [(i, 0 if i == 0 else n + i - 1, i + 1, float(i)) for i in range(n - 1)]
+    merges = spark.createDataFrame(rows, "step long, left long, right long, height double")
+    assert {r.node: r["size"] for r in mt.subtree_sizes(merges, n).collect()} == {n + i: i + 2 for i in range(n - 1)}
+    assert {r.cluster for r in mt.cut_tree(merges, n, 5).collect()} == set(range(1, 6))
+
+
+def test_nearest_ties_and_empty_cluster(spark):
+    df = spark.createDataFrame([(i, [float(i % 2), 0.0]) for i in range(6)], "vec_id long, features array<double>")
+    got = {r.vec_id: r.cluster for r in cl.assign_nearest(df, [[0.5, 0], [0.5, 0]]).collect()}
+    assert set(got.values()) == {0}
+    labels, cents, rounds = cl.kmeans(df, 3, max_iters=5, seed=3)  # two distinct points, three clusters
+    assert labels.count() == 6 and cents.shape == (3, 2) and rounds <= 5
+
+
+def test_column_roles_and_ids(spark):
+    df = spark.createDataFrame([(1, 2.0, "x", 3)], "Id long, a double, race string, y int")
+    assert pr.column_roles(df, "y") == {"Id": "id", "a": "numeric", "race": "categorical", "y": "target"}
+    numeric = spark.createDataFrame([(1, 2.0, 3)], "race long, a double, y int")
+    assert pr.column_roles(numeric, "y") == {"race": "categorical", "a": "numeric", "y": "target"}
+    assert pr.ensure_id(df)[1] == "Id"
+    rows, name = pr.ensure_id(spark.range(0, 1000, 1, 7).select((F.col("id") * 2).alias("v")))
+    assert {r.v: r[name] for r in rows.collect()} == {2 * i: i for i in range(1000)}
+
+
+def test_anova_constant_and_large_means(spark):
+    rows = [(7.0, 1e9 + v, float(y), y) for v, y in ((0.1, 0), (0.4, 0), (0.35, 1), (0.8, 1), (0.4, 1))]
+    df = spark.createDataFrame(rows, "c double, big double, same double, y int")
+    f = {r.feature: r.f_value for r in pr.anova_f(df, ["c", "big", "same"], "y").collect()}
+    small = pr.anova_f(df.withColumn("big", F.col("big") - 1e9), ["big"], "y").first().f_value
+    assert f["c"] is None and f["same"] is None and abs(f["big"] - small) < 1e-4
+    assert pr.select_k_best(df, ["c", "big", "same"], "y", 2)[0] == "big"
+
+
+def test_auc_with_crowded_scores(spark):
+    """Nearly all scores lie in a thousandth of the range; buckets follow the scores."""
+    df = spark.range(4000).select(F.when(F.col("id") == 0, 1e6).otherwise(F.col("id") / 1e6).alias("s"),
+                                  (F.col("id") % 2).cast("int").alias("y"))
+    p = df.toPandas()
+    r = p["s"].rank()
+    pos = p["y"] == 1
+    want = (r[pos].sum() - pos.sum() * (pos.sum() + 1) / 2) / (pos.sum() * (~pos).sum())
+    assert abs(pr.roc_auc(df, "s", "y").first().auc - want) < 1e-9
 
 
 def test_stratified_split_exact(spark):
