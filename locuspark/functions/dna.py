@@ -21,9 +21,9 @@ _STANDARD_CODE = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGG
 CODON_TABLE = {"".join(c): aa for c, aa in zip(product(_BASES, repeat=3), _STANDARD_CODE)}
 
 
-def codon_map() -> Column:
-    keys = sorted(CODON_TABLE)
-    return F.create_map(*[x for k in keys for x in (F.lit(k), F.lit(CODON_TABLE[k]))])
+def ascii_only(seq: Column) -> Column:
+    """One filler for each character beyond ASCII, so that offsets in bytes are offsets in letters."""
+    return F.regexp_replace(seq, r"[^\x00-\x7F]", "?")
 
 
 def reverse_complement(seq: Column) -> Column:
@@ -51,7 +51,7 @@ def translate_expr(dna_col: str) -> Column:
     keys = sorted(CODON_TABLE)
     m = "map(" + ", ".join(f"'{k}', '{CODON_TABLE[k]}'" for k in keys) + ")"
     n = f"CAST(floor(length({dna_col}) / 3) AS INT)"
-    b = f"encode({dna_col}, 'US-ASCII')"   # byte offsets: O(1) substring
+    b = rf"encode(regexp_replace({dna_col}, r'[^\x00-\x7F]', '?'), 'US-ASCII')"   # byte offsets: O(1) substring
     codons = (f"transform(IF({n} > 0, sequence(0, {n} - 1), CAST(array() AS ARRAY<INT>)), "
               f"k -> coalesce(element_at({m}, upper(CAST(substring({b}, 3 * k + 1, 3) AS STRING))), 'X'))")
     joined = f"array_join({codons}, '')"

@@ -1,9 +1,8 @@
 """As-of lookups and global running sums without a single-partition window.
 
-Both primitives cut the ordering key into fixed-width buckets: the window
-runs per (by..., bucket) and a bucket-level table (one row per bucket)
-carries what earlier or later buckets contribute.  Nothing is collected and
-no window partition grows with the whole table.
+The ordering key is cut into buckets of about equally many rows (quantiles, so
+clustered keys do not share one).  Windows run per (by..., bucket), and a table
+with one row per bucket carries what other buckets contribute.
 """
 
 from __future__ import annotations
@@ -13,103 +12,91 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 10_000   # right sides at most this long are broadcast
+from locuspark.functions.buckets import BUCKETS, bucket_of, cut_points
 
 
 def asof_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
               value_cols: Sequence[str], by: Sequence[str] = (), direction: str = "backward",
-              inclusive: bool = True, bucket_width: float | None = None) -> DataFrame:
+              inclusive: bool = True, buckets: int = BUCKETS) -> DataFrame:
     """For each left row, ``value_cols`` of the nearest right row.
 
     backward: latest right row with key <= (or <) the left key;
     forward: earliest right row with key >= (or >) the left key.
-    Left rows without a match get NULLs.  Right keys must not repeat within
-    a ``by`` group.  ``bucket_width`` bounds window partitions; None uses
-    one window per ``by`` group.
+    Left rows without a match, and those with a null key, get NULLs.  Right
+    keys must not repeat within a ``by`` group; right rows with a null key match
+    nothing.  Keys of one type are compared as they are, others as doubles.
     """
     by, vals = list(by), list(value_cols)
     backward = direction == "backward"
+    kinds = {left.schema[left_key].dataType, right.schema[right_key].dataType}
+    kind = kinds.pop() if len(kinds) == 1 else "double"
     # at equal keys the right row must be seen first iff the match is inclusive
     r_kind, l_kind = (0, 1) if inclusive == backward else (1, 0)
-    lcols = left.columns
-    L = left.select(*[F.col(c) for c in lcols], *[F.col(b).alias(f"_by_{b}") for b in by],
-                    F.col(left_key).cast("double").alias("_k"), F.lit(l_kind).alias("_kind"),
-                    *[F.lit(None).cast(right.schema[v].dataType).alias(f"_v_{v}") for v in vals])
-    R = right.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in lcols],
-                     *[F.col(b).alias(f"_by_{b}") for b in by],
-                     F.col(right_key).cast("double").alias("_k"), F.lit(r_kind).alias("_kind"),
-                     *[F.col(v).alias(f"_v_{v}") for v in vals])
-    u = L.unionByName(R)
-    bkey = [f"_by_{b}" for b in by]
-    if bucket_width:
-        u = u.withColumn("_b", F.floor(F.col("_k") / bucket_width))
-    else:
-        u = u.withColumn("_b", F.lit(0).cast("bigint"))
-    st = F.struct(*[F.col(f"_v_{v}").alias(v) for v in vals])
-    u = u.withColumn("_st", F.when(F.col("_kind") == r_kind, st))
-    # a frame "current row .. unbounded following" is re-evaluated per row
-    # (quadratic); forward lookups therefore run backward over the reversed order
-    if backward:
-        w = Window.partitionBy(*bkey, "_b").orderBy("_k", "_kind")
-    else:
-        w = Window.partitionBy(*bkey, "_b").orderBy(F.col("_k").desc(), F.col("_kind").desc())
-    pick = F.last("_st", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    u = u.withColumn("_m", pick).where(F.col("_kind") == l_kind)
-    if bucket_width:
-        # carry across buckets: nearest right value of an earlier (later) bucket
-        rb = (R.withColumn("_b", F.floor(F.col("_k") / bucket_width))
-              .groupBy(*bkey, "_b")
-              .agg((F.max_by(st, "_k") if backward else F.min_by(st, "_k")).alias("_bst")))
-        lb = u.select(*bkey, "_b").distinct().withColumn("_bst", F.lit(None).cast(rb.schema["_bst"].dataType))
-        bt = rb.unionByName(lb)
-        wb = Window.partitionBy(*bkey).orderBy(F.col("_b") if backward else F.col("_b").desc())
-        carry = F.last("_bst", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1))
-        bt = bt.groupBy(*bkey, "_b").agg(F.max("_bst").alias("_bst"))
-        bt = bt.withColumn("_carry", carry).select(*bkey, "_b", "_carry")
-        u = u.join(bt, bkey + ["_b"], "left").withColumn("_m", F.coalesce("_m", "_carry"))
-    return u.select(*lcols, *[F.col(f"_m.{v}").alias(v) for v in vals])
+    names = left.columns
+    lrows = left.select(*names, *[F.col(b).alias(f"_by_{b}") for b in by], F.col(left_key).cast(kind).alias("_k"),
+                        F.lit(l_kind).alias("_kind"),
+                        *[F.lit(None).cast(right.schema[v].dataType).alias(f"_v_{v}") for v in vals])
+    rrows = right.where(F.col(right_key).isNotNull()).select(
+        *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in names],
+        *[F.col(b).alias(f"_by_{b}") for b in by], F.col(right_key).cast(kind).alias("_k"),
+        F.lit(r_kind).alias("_kind"), *[F.col(v).alias(f"_v_{v}") for v in vals])
+    both = lrows.unionByName(rrows)
+    cuts = cut_points(both, "_k", buckets)
+    groups = [f"_by_{b}" for b in by]
+    state = F.struct(*[F.col(f"_v_{v}").alias(v) for v in vals])
+    both = both.withColumn("_b", bucket_of(F.col("_k"), cuts)).withColumn(
+        "_st", F.when(F.col("_kind") == r_kind, state))
+    # a frame to the end of the partition costs a pass per row, so forward lookups run over the reversed order
+    order = ["_k", "_kind"] if backward else [F.col("_k").desc(), F.col("_kind").desc()]
+    seen = Window.partitionBy(*groups, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_m", F.last("_st", ignorenulls=True).over(seen)).where(F.col("_kind") == l_kind)
+    # what the buckets before (after) end with: at most one row per group and bucket
+    pick = F.max_by if backward else F.min_by
+    ends = both.where(F.col("_b") >= 0).groupBy(*groups, "_b").agg(
+        pick(F.col("_st"), F.when(F.col("_kind") == r_kind, F.col("_k"))).alias("_end"))
+    past = Window.partitionBy(*groups).orderBy(F.col("_b") if backward else F.col("_b").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    ends = ends.withColumn("_carry", F.last("_end", ignorenulls=True).over(past))
+    for g in groups:  # null groups match each other
+        ends = ends.withColumnRenamed(g, f"{g}_r")
+    same = [found[g].eqNullSafe(ends[f"{g}_r"]) for g in groups]
+    joined = found.join(ends.withColumnRenamed("_b", "_b_r"), [F.col("_b") == F.col("_b_r"), *same], "left")
+    best = F.when(F.col("_k").isNotNull(), F.coalesce("_m", "_carry"))
+    return joined.withColumn("_best", best).select(*names, *[F.col(f"_best.{v}").alias(v) for v in vals])
 
 
 def asof_step(points: DataFrame, steps: DataFrame, t_col: str = "t", by: Sequence[str] = (),
-              bucket_width: float | None = None) -> DataFrame:
+              buckets: int = BUCKETS) -> DataFrame:
     """Value of the latest step with step.t <= t; before the first step the
-    first value, after the last the last value.  ``steps``: (by..., t, value).
+    first value, after the last the last value; NULL where t is NULL.
+    ``steps``: (by..., t, value).
     """
     by = list(by)
-    n_steps = steps.count() if not by else None
-    if n_steps is not None and n_steps <= BROADCAST_ROWS:
-        # small step table (size checked): [t_i, t_{i+1}) intervals, broadcast range join
-        w = Window.orderBy("t")
-        iv = steps.select(
-            F.when(F.row_number().over(w) == 1, F.lit(float("-inf"))).otherwise(F.col("t")).alias("_lo"),
-            F.coalesce(F.lead("t").over(w), F.lit(float("inf"))).alias("_hi"),
-            F.col("value").alias("value"))
-        j = points.join(F.broadcast(iv), (F.col(t_col) >= F.col("_lo")) & (F.col(t_col) < F.col("_hi")))
-        return j.drop("_lo", "_hi")
-    r = asof_join(points, steps, t_col, "t", ["value"], by, "backward", True, bucket_width)
+    found = asof_join(points, steps, t_col, "t", ["value"], by, "backward", True, buckets)
+    firsts = steps.groupBy(*by).agg(F.min_by("value", "t").alias("_first"))  # one row per group
     if by:
-        first = steps.groupBy(*by).agg(F.min_by("value", "t").alias("_first"))
-        return r.join(first, by, "left").withColumn("value", F.coalesce("value", "_first")).drop("_first")
-    first_value = steps.agg(F.min_by("value", "t")).first()[0]   # one scalar
-    return r.withColumn("value", F.coalesce(F.col("value"), F.lit(first_value)))
+        found = found.join(firsts, by, "left")
+    else:
+        found = found.withColumn("_first", F.lit(firsts.first()[0]))
+    value = F.when(F.col(t_col).isNotNull(), F.coalesce("value", "_first"))
+    return found.withColumn("value", value).drop("_first")
 
 
 def next_step(points: DataFrame, steps: DataFrame, t_col: str = "t", by: Sequence[str] = (),
-              bucket_width: float | None = None) -> DataFrame:
+              buckets: int = BUCKETS) -> DataFrame:
     """Time of the next step strictly after t (NULL when none)."""
     s = steps.select(*by, "t", F.col("t").alias("next_t"))
-    return asof_join(points, s, t_col, "t", ["next_t"], by, "forward", False, bucket_width)
+    return asof_join(points, s, t_col, "t", ["next_t"], by, "forward", False, buckets)
 
 
-def running_sum(df: DataFrame, order_col: str, value_col: str, out_col: str = "cum",
-                bucket_width: int = 1 << 16) -> DataFrame:
+def running_sum(df: DataFrame, order_col: str, value_col: str, out_col: str = "cum", buckets: int = BUCKETS) -> DataFrame:
     """Inclusive running sum of ``value_col`` over the whole table ordered by
-    ``order_col`` (unique, numeric): per-bucket window + bucket prefix."""
-    b = df.withColumn("_b", F.floor(F.col(order_col) / bucket_width))
+    ``order_col`` (unique, numeric): a window per bucket plus the sums of the buckets before."""
+    b = df.withColumn("_b", bucket_of(F.col(order_col), cut_points(df, order_col, buckets)))
     w = Window.partitionBy("_b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     b = b.withColumn("_local", F.sum(value_col).over(w))
-    tot = b.groupBy("_b").agg(F.sum(value_col).alias("_bt"))
-    wt = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per bucket: the bucket table is small relative to the data
-    tot = tot.withColumn("_off", F.coalesce(F.sum("_bt").over(wt), F.lit(0))).drop("_bt")
-    return b.join(tot, "_b").withColumn(out_col, F.col("_local") + F.col("_off")).drop("_b", "_local", "_off")
+    sums = b.groupBy("_b").agg(F.sum(value_col).alias("_bt"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # at most ``buckets`` rows
+    sums = sums.withColumn("_off", F.coalesce(F.sum("_bt").over(before), F.lit(0))).drop("_bt")
+    return b.join(F.broadcast(sums), "_b").withColumn(out_col, F.col("_local") + F.col("_off")).drop(
+        "_b", "_local", "_off")

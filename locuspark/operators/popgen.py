@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,28 +93,21 @@ def leaf_nodes(nodes: DataFrame) -> DataFrame:
     return nodes.select("tree_id", "node").join(kids, ["tree_id", "node"], "left_anti")
 
 
-def leaf_descendants(nodes: DataFrame, checkpoint_every: int = 8, max_depth: int = 1 << 20) -> DataFrame:
+def leaf_descendants(nodes: DataFrame) -> DataFrame:
     """(tree_id, node, leaf) for every node and every leaf below it (a leaf
     is its own descendant).  Walks every leaf upward one parent per round (one
-    join per round, all trees at once); lineage is cut by reliable checkpoints.
+    join per round, all trees at once); each round's front is written to the
+    checkpoint folder, so no round is computed twice.
     """
-    par = nodes.select("tree_id", F.col("node").alias("cur"), F.col("parent").alias("nxt"))
-    front = leaf_nodes(nodes).select("tree_id", F.col("node").alias("leaf"), F.col("node").alias("cur"))
-    parts = []
-    depth = 0
+    par = nodes.where(F.col("parent").isNotNull()).select("tree_id", "node", "parent")
+    front = cut_lineage(leaf_nodes(nodes).select("tree_id", "node", F.col("node").alias("leaf")))
+    fronts = [front]
     while True:
-        parts.append(front.select("tree_id", F.col("cur").alias("node"), "leaf"))
-        front = (front.join(par, ["tree_id", "cur"]).where(F.col("nxt").isNotNull())
-                 .select("tree_id", "leaf", F.col("nxt").alias("cur")))
-        depth += 1
-        if depth % checkpoint_every == 0:
-            front = cut_lineage(front)
-        if depth >= max_depth or front.isEmpty():
-            break
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        front = cut_lineage(front.join(par, ["tree_id", "node"]).select(
+            "tree_id", F.col("parent").alias("node"), "leaf"))
+        if front.isEmpty():
+            return reduce(DataFrame.unionByName, fronts)
+        fronts.append(front)
 
 
 def mutations_to_haplotypes(mutations: DataFrame, descendants: DataFrame) -> DataFrame:
@@ -124,7 +119,7 @@ def mutations_to_haplotypes(mutations: DataFrame, descendants: DataFrame) -> Dat
 
 # ---------------------------------------------------------------- weighted draws
 
-def weighted_sample(items: DataFrame, draws: DataFrame, seed: int = 7, bucket_width: int = 1 << 16) -> DataFrame:
+def weighted_sample(items: DataFrame, draws: DataFrame, seed: int = 7) -> DataFrame:
     """Sampling with replacement proportional to integer weights.
 
     ``items``: item (numeric, unique), w (BIGINT >= 0); ``draws``: draw_id.
@@ -135,8 +130,6 @@ def weighted_sample(items: DataFrame, draws: DataFrame, seed: int = 7, bucket_wi
     raw_total = items.agg(F.sum("w")).first()[0] or 0        # one scalar
     it = items.select("item", (F.col("w") if raw_total > 0 else F.lit(1)).cast("bigint").alias("w"))
     total_w = raw_total if raw_total > 0 else it.count()
-    cum = running_sum(it, "item", "w", "cum", bucket_width).where(F.col("w") > 0)
-    d = draws.select("draw_id", (F.lit(1) + F.pmod(hash60(F.lit(seed), F.col("draw_id")), F.lit(total_w))).alias("u"))
-    # bucket the draw space so no window holds all draws
-    width = max(1.0, float(total_w) / 4096.0)
-    return asof_join(d, cum, "u", "cum", ["item"], (), "forward", True, width)
+    cum = running_sum(it, "item", "w", "cum").where(F.col("w") > 0)
+    d = draws.select("draw_id", (F.lit(1) + F.pmod(hash60(F.lit(seed), F.col("draw_id")), F.lit(total_w))).cast("bigint").alias("u"))
+    return asof_join(d, cum, "u", "cum", ["item"], (), "forward", True)

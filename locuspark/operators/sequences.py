@@ -39,7 +39,7 @@ def strand_tiles(seqs: DataFrame, tile: int = DEFAULT_TILE) -> DataFrame:
     st = strands(seqs).where(F.col("seq_len") >= 3)
     # byte view of the strand: substring on BINARY is O(1) per call, on a
     # UTF-8 string it walks from the first character.
-    st = st.select("record_no", "strand", "seq_len", F.encode("sseq", "US-ASCII").alias("bseq"))
+    st = st.select("record_no", "strand", "seq_len", F.encode(dna.ascii_only(F.col("sseq")), "US-ASCII").alias("bseq"))
     st = st.select("record_no", "strand", "seq_len", "bseq",
                    F.explode(F.sequence(F.lit(0), F.col("seq_len") - 1, F.lit(tile))).alias("t0"))
     st = st.select("record_no", "strand", "seq_len", "t0", F.floor(F.col("t0") / tile).alias("tile"),
@@ -128,7 +128,7 @@ def find_orfs(seqs: DataFrame, allow_alt: bool = True, min_aa: int = 0,
     Output: record_no, seqid, strand, frame, start_1b, end_1b, nt_len, aa_len,
     start_codon, stop_codon, gc, dna_seq, rna_seq, protein.
     """
-    tiles = strand_tiles(seqs, tile).persist()
+    tiles = strand_tiles(seqs, tile)
     spans = orf_spans(seqs, allow_alt, tile, tiles)
     nt = F.col("stop") + 3 - F.col("start")
     spans = spans.withColumn("nt_len", nt.cast("bigint")).where(
@@ -153,7 +153,12 @@ def find_orfs(seqs: DataFrame, allow_alt: bool = True, min_aa: int = 0,
     L = F.col("L").cast("bigint")
     s_plus = F.when(plus, F.col("start")).otherwise(L - 1 - (F.col("stop") + 2))
     e_plus = F.when(plus, F.col("stop") + 2).otherwise(L - 1 - F.col("start"))
-    j = orfs.join(seqs.select("record_no", "seqid"), "record_no")
+    # tiles hold a filler for letters beyond ASCII; only records that have such letters bring their text along
+    odd = F.when(F.col("seq").rlike(r"[^\x00-\x7F]"), F.col("seq")).alias("odd")
+    j = orfs.join(seqs.select("record_no", "seqid", odd), "record_no").withColumn("from", (s_plus + 1).cast("int"))
+    own = F.substring("odd", F.col("from"), F.col("nt_len").cast("int"))
+    j = j.withColumn("dna_seq", F.when(F.col("odd").isNull(), F.col("dna_seq")).when(plus, own)
+                     .otherwise(dna.reverse_complement(own)))
     return j.select(
         "record_no", "seqid", "strand", "frame",
         (s_plus + 1).cast("bigint").alias("start_1b"), (e_plus + 1).cast("bigint").alias("end_1b"),

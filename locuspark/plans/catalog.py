@@ -209,7 +209,7 @@ SELECT s.record_no, s.seqid, CAST(length(s.seq) AS BIGINT) AS seq_len, CAST(coun
 FROM S s LEFT JOIN ORFS o USING (record_no) GROUP BY s.record_no, s.seqid, s.seq""")
 def q_orf_counts(spark, d):
     s = fx.sequences(spark, d)
-    return sq.orf_counts(s, sq.find_orfs(s))
+    return sq.orf_counts(s, sq.orf_spans(s))
 
 
 @query("gc_content", f"""WITH S AS ({fx.SEQUENCES_SQL})
@@ -387,7 +387,7 @@ def q_asof_b(spark, d):
     pts = fx.step_points(spark, d)
     steps = fx.steps_df(spark)
     first = steps.agg(F.min_by("value", "t")).first()[0]   # one scalar
-    r = asf.asof_join(pts, steps, "t", "t", ["value"], (), "backward", True, bucket_width=64.0)
+    r = asf.asof_join(pts, steps, "t", "t", ["value"], (), "backward", True, buckets=16)
     r = r.withColumn("value", F.coalesce(F.col("value"), F.lit(first)))
     return r.select("l_orderkey", "l_linenumber", F.round("t", 6).alias("t"), "value")
 
@@ -396,7 +396,7 @@ def q_asof_b(spark, d):
 SELECT p.l_orderkey, p.l_linenumber, round(p.t, 6) AS t, s.t AS next_t
 FROM P p ASOF LEFT JOIN S s ON s.t > p.t""")
 def q_next(spark, d):
-    r = asf.next_step(fx.step_points(spark, d), fx.steps_df(spark), bucket_width=64.0)
+    r = asf.next_step(fx.step_points(spark, d), fx.steps_df(spark), buckets=16)
     return r.select("l_orderkey", "l_linenumber", F.round("t", 6).alias("t"), "next_t")
 
 

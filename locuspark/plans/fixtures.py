@@ -80,18 +80,20 @@ LETTER_BASES = "ACGTACGTACGTACGTACGTACGTAC"
 
 
 def sequences(spark, sf_dir) -> DataFrame:
+    """Every letter of every text is a base: A-Z by the recoding, all others N (any base)."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    seq = F.translate(F.upper(F.regexp_replace(d.text, "[^A-Za-z]", "")), LETTERS, LETTER_BASES)
+    bases = F.translate(F.regexp_replace(d.text, "[^\\p{L}]", ""), LETTERS + LETTERS.lower(), LETTER_BASES * 2)
     return d.select(
         d.doc_id.alias("record_no"),
         F.concat(F.lit("doc"), d.doc_id.cast("string")).alias("seqid"),
-        seq.alias("seq"),
+        F.regexp_replace(bases, "[^ACGT]", "N").alias("seq"),
     )
 
 
 SEQUENCES_SQL = f"""
 SELECT doc_id AS record_no, 'doc' || CAST(doc_id AS VARCHAR) AS seqid,
-       translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), '{LETTERS}', '{LETTER_BASES}') AS seq
+       regexp_replace(translate(regexp_replace(text, '[^\\p{{L}}]', '', 'g'), '{LETTERS}{LETTERS.lower()}',
+                                '{LETTER_BASES * 2}'), '[^ACGT]', 'N', 'g') AS seq
 FROM documents"""
 
 

@@ -42,8 +42,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Directory for reliable checkpoints and intermediate tables.
 
     Uses ``spark.checkpoint.dir`` from the session (the shared folder the
-    cluster names).  Only when it is unset, as in local tests, a scratch
-    folder is created and registered.
+    cluster names).  Only where it is unset on a local master, as in tests, a
+    scratch folder is created; a cluster without the setting is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -54,7 +54,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir() or conf_dir
     if current:
         return current
-    local = tempfile.mkdtemp(prefix="locuspark-ckpt-")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    local = tempfile.mkdtemp(prefix="locuspark-ckpt-")  # one machine: tests and trials
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -66,20 +68,12 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-def parallelism(spark) -> int:
-    return max(2, int(spark.sparkContext.defaultParallelism) * 2)
-
-
 def spread(df, *cols):
-    """Give a small-in-bytes but CPU-heavy stage enough tasks.
+    """Deal rows anew before per-row heavy work (Python batches, md5 draws, codon scans).
 
-    Inputs read from a few files can arrive as one partition, and AQE
-    coalesces small shuffles; before per-row heavy work (Python batches,
-    md5 draws, codon scans) the rows are hash-partitioned on ``cols`` (the
-    keys the next grouping needs, so no further exchange is added) or
-    round-robin.  Partition counts chosen this way are not coalesced by AQE.
+    By ``cols``, the keys that the next grouping needs, or evenly; the number of
+    partitions is the session's ``spark.sql.shuffle.partitions``.
     """
-    n = parallelism(df.sparkSession)
     if cols:
-        return df.repartition(n, *cols)
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+        return df.repartition(*cols)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from locuspark.operators import asof, popgen as pg
 
 
@@ -16,11 +18,11 @@ def test_asof_fixture(spark):
     pts = spark.createDataFrame([(i, t) for i, t in enumerate(ts)], "id long, t double")
     got = {r.id: r.value for r in asof.asof_step(pts, steps).collect()}
     assert [got[i] for i in range(len(ts))] == [10000, 10000, 100, 100, 10000, 10000, 10000]
-    nx = {r.id: r.next_t for r in asof.next_step(pts, steps, bucket_width=10.0).collect()}
+    nx = {r.id: r.next_t for r in asof.next_step(pts, steps, buckets=2).collect()}
     assert (nx[0], nx[2], nx[4]) == (50.0, 100.0, None)
     first = steps.orderBy("t").limit(1).select("value").first().value
     b = {r.id: (r.value if r.value is not None else first)
-         for r in asof.asof_join(pts, steps, "t", "t", ["value"], bucket_width=7.0).collect()}
+         for r in asof.asof_join(pts, steps, "t", "t", ["value"], buckets=3).collect()}
     assert [b[i] for i in range(len(ts))] == [10000, 10000, 100, 100, 10000, 10000, 10000]
 
 
@@ -41,3 +43,26 @@ def test_weighted_sample_exact(spark):
     for r in got:
         assert 1 <= r.u <= 10
         assert r.item == next(i for i, c in cum if c >= r.u)
+
+
+def test_asof_null_keys_and_crowded_keys(spark):
+    """A null t gets no value in any plan; nearly all keys in a billionth of the range change nothing."""
+    pts = spark.createDataFrame([(i, None if i == 0 else (1e9 if i == 1 else i * 1e-6)) for i in range(500)],
+                                "id long, t double")
+    steps = spark.createDataFrame([(float(i) * 1e-5, float(i)) for i in range(40)], "t double, value double")
+    got = {r.id: r.value for r in asof.asof_step(pts, steps).collect()}
+    want = {i: None if i == 0 else (39.0 if i == 1 else max([s for s in range(40) if s * 1e-5 <= i * 1e-6]) * 1.0)
+            for i in range(500)}
+    assert got == want and {r.id: r.value for r in asof.asof_step(pts, steps, buckets=5).collect()} == want
+
+
+def test_asof_keeps_large_integers(spark):
+    draws = spark.createDataFrame([(1, 2 ** 53 + 4)], "id long, u long")
+    cum = spark.createDataFrame([("A", 2 ** 53 + 3), ("B", 2 ** 53 + 10)], "item string, cum long")
+    assert asof.asof_join(draws, cum, "u", "cum", ["item"], (), "forward", True).first().item == "B"
+
+
+def test_running_sum_sparse_keys(spark):
+    df = spark.range(3000).select((F.col("id") * F.col("id") * 1000).alias("k"), F.lit(2).alias("v"))
+    got = {r.k: r.cum for r in asof.running_sum(df, "k", "v").collect()}
+    assert got == {i * i * 1000: 2 * (i + 1) for i in range(3000)}

@@ -41,3 +41,14 @@ def test_fasta_wrap(spark):
     from locuspark.functions.dna import wrap60
     r = spark.createDataFrame([("A" * 130,)], "s string").select(wrap60(F.col("s")).alias("w")).first().w
     assert r.split("\n") == ["A" * 60, "A" * 60, "A" * 10]
+
+
+def test_letters_beyond_ascii(spark):
+    """Such letters are no codon letters, but they stay in the ORF's bases on both strands."""
+    seq = "AAAATGÉAAGGGTAACC"
+    df = spark.createDataFrame([(1, "s", seq)], "record_no long, seqid string, seq string")
+    rows = sq.find_orfs(df).collect()
+    plus = [r for r in rows if r.strand == "+" and r.dna_seq.startswith("ATG")]
+    assert [r.dna_seq for r in plus] == ["ATGÉAAGGGTAA"] and plus[0].protein == "MXG"
+    assert all(len(r.dna_seq) == r.nt_len for r in rows)
+
