@@ -135,7 +135,24 @@ def q_perm_region(spark, d):
     return r.withColumn("p_value", F.round("p_value", 6))
 
 
-@query("permutation_summary")
+@query("permutation_summary", f"""
+WITH {A_CTE}, {B_CTE}, {SZ_CTE}, {PA_CTE}, {OV_CTE},
+O AS (SELECT region_id, overlap AS obs FROM OV WHERE perm = 0),
+C AS (SELECT ov.region_id, count_if(ov.overlap >= o.obs) AS exceed_count
+      FROM OV ov JOIN O o USING (region_id) WHERE ov.perm > 0 GROUP BY ov.region_id),
+N AS (SELECT count(*) AS n_b, coalesce(sum("end" - start), 0) AS bases FROM B),
+M AS (SELECT count(*) AS n_a, coalesce(sum("end" - start), 0) AS bases FROM A),
+T AS (SELECT perm, sum(overlap) AS total FROM OV GROUP BY perm)
+SELECT CAST((SELECT total FROM T WHERE perm = 0) AS BIGINT) AS observed_overlap,
+       ((SELECT count(*) FROM T WHERE perm > 0 AND total >= (SELECT total FROM T WHERE perm = 0)) + 1.0) / {N_PERM + 1}
+         AS global_p_value, CAST({N_PERM} AS BIGINT) AS num_permutations, M.n_a AS "setA_regions", N.n_b AS "setB_regions",
+       CAST(M.bases AS BIGINT) AS "setA_total_bases", CAST(N.bases AS BIGINT) AS "setB_total_bases",
+       0.05::DOUBLE / greatest(N.n_b, 1) AS bonferroni_threshold,
+       (SELECT count(*) FROM C WHERE (exceed_count + 1.0) / {N_PERM + 1}.0 < 0.05 / greatest(N.n_b, 1))
+         AS significant_regions_bonferroni,
+       (SELECT count(*) FROM A WHERE chrom NOT IN (SELECT chrom FROM SZ WHERE length > 0)) AS permutation_dropped,
+       1.0::DOUBLE / {N_PERM + 1} AS min_attainable_p
+FROM M, N""")
 def q_perm_summary(spark, d):
     return iv.permutation_summary(fx.intervals_a(spark, d), fx.intervals_b(spark, d),
                                   fx.chrom_sizes(spark, d), N_PERM, SEED)
@@ -543,13 +560,21 @@ def q_cl_err(spark, d):
     return cl.clustering_error(_km3(spark, d))
 
 
-@query("kmeans")
+KM_ROUNDS = 60  # more than the labels need to settle; further rounds change nothing
+KM_ALL_CTE = f"{VLONG_CTE}, {INIT_CTE}, " + ", ".join(_km_round(r) for r in range(1, KM_ROUNDS + 1))
+
+
+@query("kmeans", f"""WITH {KM_ALL_CTE}
+SELECT a.vec_id, e.label, a.cluster FROM A{KM_ROUNDS} a JOIN embeddings e USING (vec_id)""")
 def q_kmeans(spark, d):
     labels, _, _ = cl.kmeans(fx.vectors(spark, d), K_CLUSTERS, max_iters=300, tol=1e-4, seed=KM_SEED)
     return labels.select("vec_id", "label", "cluster")
 
 
-@query("kmeans_error")
+@query("kmeans_error", f"""WITH {KM_ALL_CTE},
+CC AS (SELECT a.cluster, e.label, count(*) AS cnt FROM A{KM_ROUNDS} a JOIN embeddings e USING (vec_id) GROUP BY 1, 2),
+PE AS (SELECT cluster, sum(cnt) - max(cnt) AS err FROM CC GROUP BY cluster)
+SELECT CAST(coalesce(sum(err), 0) AS BIGINT) AS error FROM PE""")
 def q_kmeans_err(spark, d):
     labels, _, _ = cl.kmeans(fx.vectors(spark, d), K_CLUSTERS, max_iters=300, tol=1e-4, seed=KM_SEED)
     return cl.clustering_error(labels)
@@ -621,6 +646,24 @@ def q_class_point(spark, d):
     return r.select(F.round(F.col("reconstruction")[0], 6).alias("x0"), F.round(F.col("reconstruction")[1], 6).alias("x1"))
 
 
+@query("pca_fit_checks", f"""WITH {VLONG_CTE}
+SELECT CAST(pc AS INTEGER) AS pc, 1.0 AS norm, 0.0 AS residual, round(total, 6) AS total_variance
+FROM (SELECT sum(s) AS total FROM (SELECT var_samp(v) AS s FROM V GROUP BY j) x) t, unnest(range(1, 6)) r(pc)""")
+def q_pca_checks(spark, d):
+    """All 64 dimensions: unit axes, |C v - lambda v| = 0 against the covariance table, and the total variance."""
+    v = fx.vectors(spark, d)
+    _, comps, ev, ratio = dc.pca_fit(v, 5)
+    axes = spark.createDataFrame([(p + 1, j, float(x), float(ev[p]), float(ratio[p])) for p in range(5)
+                                  for j, x in enumerate(comps[p])], "pc int, j int, x double, ev double, ratio double")
+    moved = dc.covariance(v).join(F.broadcast(axes), "j").groupBy("pc", "i").agg(F.sum(F.col("cov") * F.col("x")).alias("cx"))
+    own = axes.select("pc", F.col("j").alias("i"), "x", "ev", "ratio")
+    both = moved.join(F.broadcast(own), ["pc", "i"]).groupBy("pc").agg(
+        F.sqrt(F.sum(F.col("x") ** 2)).alias("norm"),
+        F.sqrt(F.sum((F.col("cx") - F.col("ev") * F.col("x")) ** 2)).alias("residual"),
+        F.first(F.col("ev") / F.col("ratio")).alias("total_variance"))
+    return both.select("pc", *[F.round(c, 6).alias(c) for c in ("norm", "residual", "total_variance")])
+
+
 @query("pca_fit")
 def q_pca_fit(spark, d):
     _, comps, ev, ratio = dc.pca_fit(fx.vectors(spark, d), 5)
@@ -735,6 +778,23 @@ def q_scores(spark, d):
     return back.select("id", F.col("quality").between(0.0, 1.0).alias("in_range"))
 
 
+@query("label_codes", """
+SELECT doc_id, lang, CAST(dense_rank() OVER (ORDER BY lang) - 1 AS INTEGER) AS code FROM documents""")
+def q_label_codes(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang")
+    return pr.encode_labels(docs, "lang", "code").select("doc_id", "lang", "code")
+
+
+@query("agreement", """
+SELECT round(sum(x * y) / (sqrt(sum(x * x)) * sqrt(sum(y * y))), 6) AS cosine, round(corr(x, y), 6) AS corr,
+       round(sqrt(sum((x - y) * (x - y))) / sqrt(sum(x * x)), 6) AS rel_l2
+FROM (SELECT CAST(l_extendedprice AS DOUBLE) AS x, CAST(l_quantity AS DOUBLE) * 1500 AS y FROM lineitem) t""")
+def q_agreement(spark, d):
+    li = spark.read.parquet(f"{d}/lineitem.parquet").select(
+        F.col("l_extendedprice").cast("double").alias("x"), (F.col("l_quantity").cast("double") * 1500).alias("y"))
+    return pr.agreement(li, "x", "y").select(*[F.round(c, 6).alias(c) for c in ("cosine", "corr", "rel_l2")])
+
+
 # ====================================================================== NMF / ancestry
 ABS_CTE = """AV AS (SELECT vec_id, label, unnest(generate_series(0, len(embedding) - 1)) AS j,
                       abs(CAST(unnest(embedding) AS DOUBLE)) AS v FROM embeddings),
