@@ -2,6 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from locuspark.plans.catalog import ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -17,8 +18,7 @@ def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", ["overlap_per_region", "permutation_per_region", "orfs", "inbred_segments",
-                                  "diversity", "weighted_sample", "kmeans_3_rounds", "stratified_split"])
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_oracle_agreement_small(spark, name):
     from tools.check_oracle import rows_of
     con = duckdb.connect()
