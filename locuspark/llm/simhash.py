@@ -74,7 +74,8 @@ def _cells(prints: DataFrame, bits: int) -> DataFrame:
     count = f"bit_count(shiftrightunsigned(fp, {{i}}) & {(1 << bits) - 1}L)"
     home = " + ".join(f"{count.format(i=i * bits)} * {radix ** i}L" for i in range(n))
     powers = "array(" + ", ".join(f"{radix ** i}L" for i in range(n)) + ")"
-    steps = prints.select("fp", F.expr(home).alias("home"), F.explode(F.expr(f"sequence(-1, {2 * n - 1})")).alias("s"))
+    homes = prints.select("fp", F.expr(home).alias("home"))  # below the explode, so computed once per print
+    steps = homes.select("fp", "home", F.explode(F.expr(f"sequence(-1, {2 * n - 1})")).alias("s"))
     here = count.format(i=f"CAST({bits} * (s div 2) AS INT)")
     step = f"element_at({powers}, CAST(s div 2 AS INT) + 1)"
     cell = F.expr(f"CASE WHEN s = -1 THEN home WHEN s % 2 = 0 AND {here} < {bits} THEN home + {step} "
