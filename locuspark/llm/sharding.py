@@ -120,7 +120,7 @@ def plan_reshard(docs: DataFrame, old: Column, n_new: int, id_col: str = "doc_id
     olds = sorted(sizes)
     supply = [sizes[i] - sum(need for _, _, o, need in big if o == i) for i in olds]
     free = [max(r, 0) for r in room]
-    while sum(free) < sum(supply):  # a single document above a whole capacity leaves the rest short of room
+    if sum(free) < sum(supply):  # a single document above a whole capacity leaves the rest short of room
         free[free.index(min(free))] += sum(supply) - sum(free)
     price = np.array([[(0.0 if i == j else 1.0) if cost is None or i < 0 else float(cost[i, j])
                        for j in range(n_new)] for i in olds])
@@ -209,15 +209,15 @@ def reshard(docs: DataFrame, old: Column, n_new: int, path: str | None = None, i
     placed = place(docs, plan, old, name, id_col, text_col)
     if not plan.affected:
         return placed
-    moved = placed.where(F.col(name).isin(plan.affected))
-    part = F.pmod(F.xxhash64(row_key(F.col(id_col), F.col(text_col))), F.lit(max(_files(docs, text_col, n_new,
-                                                                                        file_bytes), 1)))
-    moved.withColumn("_file", part).repartition(F.col(name), F.col("_file")).drop("_file").write.mode(
-        "overwrite").partitionBy(name).parquet(path)
-    files = spark.read.schema(placed.schema).parquet(path)
+    moved, file = placed.where(F.col(name).isin(plan.affected)), free_name(placed, "_file")
+    files = max(_files(docs, text_col, n_new, file_bytes), 1)
+    dealt = F.pmod(F.xxhash64(row_key(F.col(id_col), F.col(text_col))), F.lit(files))
+    moved.withColumn(file, dealt).repartition(F.col(name), F.col(file)).drop(file).write.mode("overwrite").partitionBy(
+        name).parquet(path)
+    rewritten = spark.read.schema(placed.schema).parquet(path).select(all_columns(placed))
     if len(plan.affected) == n_new:
-        return files.select(all_columns(placed))
-    return files.select(all_columns(placed)).union(placed.where(~F.col(name).isin(plan.affected)))
+        return rewritten
+    return rewritten.union(placed.where(~F.col(name).isin(plan.affected)))
 
 
 def _files(docs: DataFrame, text_col: str, n_new: int, file_bytes: int) -> int:
