@@ -16,11 +16,13 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -29,12 +31,15 @@ from locuspark.functions.rng import hash60
 from locuspark.llm.common import all_columns, free_name
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-EXAMPLES = 3000  # bound of the labelled sample, half for each class
+EXAMPLES = 2000  # bound of the labelled sample, half for each class
 TERMS = 2000
 NEIGHBOURS = 15
+DOUBT = 0.3  # the fixed clean vote, as a similarity per neighbour
 BLOCK = 64
 PREFIXES = range(3, 8)
 LEAST = 3
+COMMON = 0.05  # share of the examples beyond which a word is no sign of a copy
+WIDE, RATIO = 0.02, 30  # share of the toxic examples, and how much likelier than in clean ones, of a sure term
 KNOWN = 500_000
 EVIDENCE = 3
 SEED = 42
@@ -82,18 +87,42 @@ class _Relevant(dict):
         return Counter({t: n for t, n in terms_of(found).items() if t in self.vocabulary}) if found else Counter()
 
 
-def choose_terms(examples: list[Counter], toxic: np.ndarray, most: int = TERMS) -> list[str]:
+def one_of_each(bags: Sequence[Counter]) -> list[int]:
+    """Places of examples that differ: of those with the same smallest hash among their rarer words, the first.
+
+    Near copies share nearly all words, so most of them share that word; else a
+    group of copies would count as independent evidence for all of its words.
+    """
+    held = Counter(w for bag in bags for w in bag)
+    first: dict[int, int] = {}
+    for i, bag in enumerate(bags):
+        rare = [w for w in bag if held[w] <= COMMON * len(bags)] or list(bag)
+        first.setdefault(min(map(xxhash.xxh64_intdigest, rare), default=0), i)
+    return sorted(first.values())
+
+
+def choose_terms(bags: Sequence[Counter], toxic: np.ndarray, most: int = TERMS) -> list[str]:
     """Forward choice of terms by their log-likelihood gain on the toxic examples that no chosen term covers.
 
     A term must gain more than chance gives the best of so many terms, on at
-    least ``LEAST`` examples.
+    least ``LEAST`` examples.  Terms that a good part of the toxic examples have
+    and hardly any clean one join too, covered or not.  Terms are derived anew in each pass and kept only
+    where they can still reach that, which bounds the driver's memory.
     """
-    open_ = [set(c) for c, y in zip(examples, toxic) if y]
-    count = Counter(t for has in open_ for t in has)
-    least = np.log(1 + len(count))
-    clean = Counter(t for c, y in zip(examples, toxic) if not y for t in c if count[t] >= LEAST)
-    rate = {t: (clean[t] + 0.5) / (int((toxic == 0).sum()) + 1) for t, n in count.items() if n >= LEAST}
-    count = {t: count[t] for t, r in rate.items() if -count[t] * np.log(r) >= least}
+    count = Counter()
+    for bag in (b for b, y in zip(bags, toxic) if y):
+        count.update(terms_of(bag).keys())
+    n_clean, least = int((toxic == 0).sum()), np.log(1 + len(count))
+    fewest = max(LEAST, least / -np.log(0.5 / (n_clean + 1)))  # of a term that no clean example has
+    count = {t: n for t, n in count.items() if n >= fewest}
+    clean = Counter()
+    for bag in (b for b, y in zip(bags, toxic) if not y):
+        clean.update(count.keys() & terms_of(bag).keys())
+    rate = {t: (clean[t] + 0.5) / (n_clean + 1) for t in count}
+    count = {t: n for t, n in count.items() if -n * np.log(rate[t]) >= least}
+    open_ = [count.keys() & terms_of(b).keys() for b, y in zip(bags, toxic) if y]
+    sure = sorted((t for t, n in count.items() if n >= max(WIDE * len(open_), LEAST) and n / len(open_) > RATIO * rate[t]),
+                  key=lambda t: (rate[t] / count[t], t))
     chosen: list[str] = []
     while open_ and count and len(chosen) < most:
         gain, term = max((n * np.log(n / len(open_) / rate[t]), t) for t, n in count.items())
@@ -106,7 +135,7 @@ def choose_terms(examples: list[Counter], toxic: np.ndarray, most: int = TERMS)
                     count[t] -= 1
         open_ = [has for has in open_ if term not in has]
         count = {t: n for t, n in count.items() if n >= LEAST}
-    return chosen
+    return list(dict.fromkeys(chosen + sure))[:most]
 
 
 @dataclass
@@ -145,9 +174,12 @@ class Index:
         return [(i, -s) for s, i in best]
 
     def vote(self, near: list[tuple[int, float]]) -> float:
-        """Share of toxic among neighbours, weighted by similarity and by how many rows an example stands for."""
+        """Share of toxic among neighbours, weighted by similarity and by how many rows an example stands for.
+
+        A fixed clean vote stands against them, so that distant neighbours alone decide little.
+        """
         w = np.array([s * self.weight[i] for i, s in near])
-        return float(w @ self.toxic[[i for i, _ in near]] / w.sum())
+        return float(w @ self.toxic[[i for i, _ in near]] / (w.sum() + DOUBT * NEIGHBOURS))
 
     def score(self, near: list[tuple[int, float]]) -> float:
         if not near:
@@ -163,7 +195,7 @@ def build_index(ids: list[int], examples: list[Counter], toxic: np.ndarray, weig
     vectors = np.array([index.vector(c) for c in examples]).reshape(len(examples), len(slot))
     for b in range(-(-len(examples) // BLOCK)):
         index.blocks[b] = vectors[b * BLOCK:(b + 1) * BLOCK]
-    index.peaks = np.array([m.max(0) for m in index.blocks.values()]).reshape(-1, len(slot)).T
+    index.peaks = np.stack([m.max(0) for m in index.blocks.values()], 1)
     votes, truth, share, bare = [], [], [], [0.5 * weight.min(), weight.min()]
     for i, v in enumerate(vectors):
         near = index.nearest(v, k, leave=i) if v.any() else []
@@ -212,6 +244,19 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([list(b.values()) for b in bags], pa.list_(pa.int64()))], ["doc_id", "toxic", "words", "n"])
 
 
+class _Bags(Sequence):
+    """Word counts of the examples, made from the Arrow table one at a time."""
+
+    def __init__(self, table: pa.Table):
+        self.words, self.n = table.column("words"), table.column("n")
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def __getitem__(self, i: int) -> Counter:
+        return Counter(dict(zip(self.words[i].as_py(), self.n[i].as_py())))
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", most: int = EXAMPLES, k: int = NEIGHBOURS, seed: int = SEED) -> Index | None:
     """Fit on at most ``most`` labelled rows, half of each class; None without labels of both classes.
@@ -230,19 +275,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).join(
         F.broadcast(sample), "_id").select("_id", "toxic", "_text")
     got = texts.mapInArrow(_bags, "doc_id long, toxic int, words array<binary>, n array<long>").toArrow()
-    rows = sorted(zip(*(got.column(c).to_pylist() for c in got.column_names)))
-    toxic = np.array([r[1] for r in rows])
-    if len(rows) < 2 or toxic.min() == toxic.max():
+    got = got.take(pc.sort_indices(got, [("doc_id", "ascending"), ("toxic", "ascending")]))
+    toxic = got.column("toxic").to_numpy()
+    if len(toxic) < 2 or toxic.min() == toxic.max():
         return None
-    bags = [Counter(dict(zip(w, n))) for _, _, w, n in rows]
-    terms = choose_terms([terms_of(b) for b in bags], toxic)
+    bags = _Bags(got)
+    apart = one_of_each(bags)
+    terms = choose_terms([bags[i] for i in apart], toxic[apart])
     have = docs.select(F.col(text_col).cast("string")).mapInArrow(
         _count_terms(terms), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
     counts = {r["term"]: r["n"] for r in have.collect()}  # one row per term and one for all documents
     idf = {t: float(np.log((counts[""] + 1) / (counts.get(t, 0) + 1)) + 1) for t in terms}
     weight = np.array([held[y] / (toxic == y).sum() for y in toxic])
     found = [Counter({t: n for t, n in terms_of(b).items() if t in idf}) for b in bags]
-    return build_index([r[0] for r in rows], found, toxic, weight / weight.min(), idf, k)
+    return build_index(got.column("doc_id").to_pylist(), found, toxic, weight / weight.min(), idf, k)
 
 
 def _scorer(index: Index | None, k: int):
