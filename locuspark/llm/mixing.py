@@ -23,6 +23,7 @@ from locuspark.llm.common import all_columns, cut_lineage, free_name, no_null, r
 WORD = r"[^\x20\x09-\x0D]+"
 LEAF = ["domain", "lang", "source"]
 BLOCK_ROWS = 500
+BROADCAST_LEAVES = 100_000
 
 
 @dataclass(frozen=True)
@@ -78,6 +79,11 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     return _share(low, ["domain", "lang"], "source").select(*LEAF, "docs", "tokens", F.col("got").alias("budget"))
 
 
+def _small(leaves: DataFrame) -> DataFrame:
+    """The (materialised) leaf table, broadcast while it has few rows; beyond, the join shuffles and AQE splits hot leaves."""
+    return F.broadcast(leaves) if leaves.count() <= BROADCAST_LEAVES else leaves
+
+
 def mix_plan(docs: DataFrame, domain: Column, mix: Mix, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang", source_col: str = "source", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per input row: ``doc_id, domain, lang, source, n_tokens, leaf_budget, copies, epoch, h, k``.
@@ -102,7 +108,7 @@ def mix_plan(docs: DataFrame, domain: Column, mix: Mix, id_col: str = "doc_id",
     rest = F.expr("CASE WHEN tokens > 0 THEN budget % tokens ELSE -1 END")
     shares = cut_lineage(shares.withColumns({"epoch": epochs, "rest": rest,
                                              "subs": F.ceil(F.col("docs") / block_rows)}))
-    rows = slim.join(shares, LEAF).withColumn("h", hash60(mix.seed, F.col("epoch"), F.col("doc_id")))
+    rows = slim.join(_small(shares), LEAF).withColumn("h", hash60(mix.seed, F.col("epoch"), F.col("doc_id")))
     rows = rows.withColumn("sub", F.expr("shiftright(shiftright(h, 30) * subs, 30)"))
     line = Window.partitionBy(*LEAF).orderBy("sub")
     blocks = rows.groupBy(*LEAF, "sub").agg(F.sum("n_tokens").alias("t")).withColumn(
@@ -129,7 +135,7 @@ def mix_documents(docs: DataFrame, domain: Column, mix: Mix, id_col: str = "doc_
     keyed = docs.withColumns({names["domain"]: no_null(domain.cast("string")),
                               names["lang"]: no_null(F.col(lang_col).cast("string")),
                               names["source"]: no_null(F.col(source_col).cast("string"))})
-    both = keyed.join(leaves, [names[c] for c in LEAF])
+    both = keyed.join(_small(leaves), [names[c] for c in LEAF])
     h = hash60(mix.seed, F.col(names["epoch"]), F.col(id_col))
     mine = F.struct(h.alias("h"), row_key(F.col(id_col), F.col(text_col)).alias("k"))
     copies = F.col(names["epoch"]) + F.coalesce((mine <= F.col(names["last"])).cast("int"), F.lit(0))
