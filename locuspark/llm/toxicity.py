@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from locuspark.functions.rng import hash60
-from locuspark.llm.common import all_columns, free_name
+from locuspark.llm.common import all_columns, cut_lineage, free_name, no_null, numbered
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-EXAMPLES = 2000  # bound of the labelled sample, half for each class
+EXAMPLES = 3000  # bound of the labelled sample, half for each class
 TERMS = 2000
 NEIGHBOURS = 15
 DOUBT = 0.3  # the fixed clean vote, as a similarity per neighbour
@@ -41,6 +41,7 @@ LEAST = 3
 COMMON = 0.05  # share of the examples beyond which a word is no sign of a copy
 WIDE, RATIO = 0.02, 30  # share of the toxic examples, and how much likelier than in clean ones, of a sure term
 KNOWN = 500_000
+TASKS = 16  # that share the examples
 EVIDENCE = 3
 SEED = 42
 
@@ -87,55 +88,49 @@ class _Relevant(dict):
         return Counter({t: n for t, n in terms_of(found).items() if t in self.vocabulary}) if found else Counter()
 
 
-def one_of_each(bags: Sequence[Counter]) -> list[int]:
+def one_of_each(marks: Sequence[np.ndarray]) -> list[int]:
     """Places of examples that differ: of those with the same smallest hash among their rarer words, the first.
 
-    Near copies share nearly all words, so most of them share that word; else a
-    group of copies would count as independent evidence for all of its words.
+    ``marks`` has the hashes of each example's words.  Near copies share nearly all words, so most of them share
+    that word; else a group of copies would count as independent evidence for all of its words.
     """
-    held = Counter(w for bag in bags for w in bag)
+    held = Counter(w for own in marks for w in own.tolist())
     first: dict[int, int] = {}
-    for i, bag in enumerate(bags):
-        rare = [w for w in bag if held[w] <= COMMON * len(bags)] or list(bag)
-        first.setdefault(min(map(xxhash.xxh64_intdigest, rare), default=0), i)
+    for i, own in enumerate(marks):
+        rare = [w for w in own.tolist() if held[w] <= COMMON * len(marks)] or own.tolist()
+        first.setdefault(min(rare, default=0), i)
     return sorted(first.values())
 
 
-def choose_terms(bags: Sequence[Counter], toxic: np.ndarray, most: int = TERMS) -> list[str]:
+def choose_terms(names: list[str], rate: np.ndarray, rows: list[np.ndarray], least: float, most: int = TERMS) -> list[str]:
     """Forward choice of terms by their log-likelihood gain on the toxic examples that no chosen term covers.
 
-    A term must gain more than chance gives the best of so many terms, on at
+    ``rows`` has the numbers of the terms of each toxic example, ``rate`` the share of the clean ones that have a term.
+    A term must gain ``least``, more than chance gives the best of so many terms, on at
     least ``LEAST`` examples.  Terms that a good part of the toxic examples have
-    and hardly any clean one join too, covered or not.  Terms are derived anew in each pass and kept only
-    where they can still reach that, which bounds the driver's memory.
+    and hardly any clean one join too, covered or not.
     """
-    count = Counter()
-    for bag in (b for b, y in zip(bags, toxic) if y):
-        count.update(terms_of(bag).keys())
-    n_clean, least = int((toxic == 0).sum()), np.log(1 + len(count))
-    fewest = max(LEAST, least / -np.log(0.5 / (n_clean + 1)))  # of a term that no clean example has
-    count = {t: n for t, n in count.items() if n >= fewest}
-    clean = Counter()
-    for bag in (b for b, y in zip(bags, toxic) if not y):
-        clean.update(count.keys() & terms_of(bag).keys())
-    rate = {t: (clean[t] + 0.5) / (n_clean + 1) for t in count}
-    count = {t: n for t, n in count.items() if -n * np.log(rate[t]) >= least}
-    open_ = [count.keys() & terms_of(b).keys() for b, y in zip(bags, toxic) if y]
-    sure = sorted((t for t, n in count.items() if n >= max(WIDE * len(open_), LEAST) and n / len(open_) > RATIO * rate[t]),
-                  key=lambda t: (rate[t] / count[t], t))
-    chosen: list[str] = []
-    while open_ and count and len(chosen) < most:
-        gain, term = max((n * np.log(n / len(open_) / rate[t]), t) for t, n in count.items())
-        if gain < least:
+    flat = np.concatenate([np.zeros(0, np.int32), *rows])
+    count = np.bincount(flat, minlength=len(names))
+    sure = np.flatnonzero((count >= max(WIDE * len(rows), LEAST)) & (count > RATIO * rate * len(rows)))
+    sure = sorted(sure.tolist(), key=lambda t: (rate[t] / count[t], names[t]))
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])[np.argsort(flat, kind="stable")]
+    ends = np.cumsum(count)  # the examples of term t are owner[ends[t - 1]:ends[t]]
+    by_name = np.array(sorted(range(len(names)), key=names.__getitem__), np.int64)[::-1]  # ties: the last name
+    open_, chosen = np.ones(len(rows), bool), []
+    while open_.any() and len(names) and len(chosen) < most:
+        n, total = count[by_name], int(open_.sum())
+        gain = np.where(n >= LEAST, n * np.log(np.maximum(n, 1) / total / rate[by_name]), -np.inf)
+        at = int(gain.argmax())
+        if gain[at] < least:
             break
+        term = int(by_name[at])
         chosen.append(term)
-        for has in open_:
-            if term in has:
-                for t in has & count.keys():
-                    count[t] -= 1
-        open_ = [has for has in open_ if term not in has]
-        count = {t: n for t, n in count.items() if n >= LEAST}
-    return list(dict.fromkeys(chosen + sure))[:most]
+        for i in owner[ends[term - 1] if term else 0:ends[term]].tolist():
+            if open_[i]:
+                open_[i] = False
+                count[rows[i]] -= 1
+    return [names[t] for t in dict.fromkeys(chosen + sure)][:most]
 
 
 @dataclass
@@ -236,25 +231,78 @@ def _count_terms(vocabulary: list[str]):
     return run
 
 
-def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Labelled texts as word counts, and the hashes of their words."""
     for batch in batches:
-        bags = [Counter(words(t.as_py())) for t in batch.column(2).cast(pa.binary())]
+        bags = [Counter(words(t.as_py())) for t in batch.column(3).cast(pa.binary())]
+        marks = [np.array([xxhash.xxh64_intdigest(w) for w in b], np.uint64).view(np.int64) for b in bags]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array([list(b) for b in bags], pa.list_(pa.binary())),
-             pa.array([list(b.values()) for b in bags], pa.list_(pa.int64()))], ["doc_id", "toxic", "words", "n"])
+            [*batch.columns[:3], pa.array([list(b) for b in bags], pa.list_(pa.binary())),
+             pa.array([list(b.values()) for b in bags], pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.int64()))],
+            ["doc_id", "toxic", "digest", "words", "n", "marks"])
 
 
-class _Bags(Sequence):
-    """Word counts of the examples, made from the Arrow table one at a time."""
+def _held_terms(kept: frozenset[int], numbers: dict[str, int] | None = None):
+    """How many of the kept examples have each term (each numbered one), counted by task; memory is bounded by KNOWN."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have, pack = Counter(), lambda c: pa.RecordBatch.from_arrays(
+            [pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["term", "n"])
+        for batch in batches:
+            for rid, found in zip(batch.column("rid").to_pylist(), batch.column("words")):
+                if rid in kept:
+                    terms = terms_of(found.as_py()).keys()
+                    have.update(terms if numbers is None else terms & numbers.keys())
+                    if len(have) > KNOWN:
+                        yield pack(have)
+                        have.clear()
+        yield pack(have)
+    return run
+
+
+def _numbers_of(kept: frozenset[int], numbers: dict[str, int]):
+    """The numbered terms of each kept example."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            has = [[numbers[t] for t in terms_of(found.as_py()) if t in numbers]
+                   for rid, found in zip(batch.column("rid").to_pylist(), batch.column("words")) if rid in kept]
+            yield pa.RecordBatch.from_arrays([pa.array(has, pa.list_(pa.int32()))], ["has"])
+    return run
 
-    def __init__(self, table: pa.Table):
-        self.words, self.n = table.column("words"), table.column("n")
 
-    def __len__(self) -> int:
-        return len(self.words)
+def _found(vocabulary: list[str]):
+    """The terms of the vocabulary that each example has, with their counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = frozenset(vocabulary)
+        for batch in batches:
+            bags = [{t: c for t, c in terms_of(Counter(dict(zip(w.as_py(), n.as_py())))).items() if t in own}
+                    for w, n in zip(batch.column("words"), batch.column("n"))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rid"), pa.array([list(b) for b in bags], pa.list_(pa.string())),
+                 pa.array([list(b.values()) for b in bags], pa.list_(pa.int64()))], ["rid", "terms", "n"])
+    return run
 
-    def __getitem__(self, i: int) -> Counter:
-        return Counter(dict(zip(self.words[i].as_py(), self.n[i].as_py())))
+
+def find_terms(examples: DataFrame, toxic: frozenset[int], clean: frozenset[int], most: int = TERMS) -> list[str]:
+    """Vocabulary from the examples with these row numbers.
+
+    Spark counts the terms of each class; the driver gets only those that enough toxic examples have, and each toxic
+    example's numbers of those that can still gain enough.
+    """
+    held = lambda kept, numbers=None: examples.mapInArrow(_held_terms(kept, numbers), "term string, n long").groupBy(
+        "term").agg(F.sum("n").alias("n"))
+    count = cut_lineage(held(toxic))
+    least = float(np.log(1 + count.count()))
+    fewest = max(LEAST, least / -np.log(0.5 / (len(clean) + 1)))  # of a term that no clean example has
+    enough = count.where(F.col("n") >= float(fewest)).toArrow()
+    names, n = enough.column("term").to_pylist(), enough.column("n").to_numpy()
+    numbers = {t: i for i, t in enumerate(names)}
+    rate, got = np.full(len(names), 0.5), held(clean, numbers).toArrow()
+    rate[[numbers[t] for t in got.column("term").to_pylist()]] += got.column("n").to_numpy()
+    rate /= len(clean) + 1
+    can = np.flatnonzero(-n * np.log(rate) >= least)
+    names, rate = [names[i] for i in can.tolist()], rate[can]
+    rows = examples.mapInArrow(_numbers_of(toxic, {t: i for i, t in enumerate(names)}), "has array<int>").toArrow()
+    return choose_terms(names, rate, [r.values.to_numpy() for r in rows.column("has")], least, most)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -273,22 +321,24 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = marks.where("toxic = 1").orderBy(order, "_id").limit(most // 2).union(
         marks.where("toxic = 0").orderBy(order, "_id").limit(most // 2))
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).join(
-        F.broadcast(sample), "_id").select("_id", "toxic", "_text")
-    got = texts.mapInArrow(_bags, "doc_id long, toxic int, words array<binary>, n array<long>").toArrow()
-    got = got.take(pc.sort_indices(got, [("doc_id", "ascending"), ("toxic", "ascending")]))
-    toxic = got.column("toxic").to_numpy()
+        F.broadcast(sample), "_id").select("_id", "toxic", F.md5(no_null(F.col("_text"))).alias("digest"), "_text")
+    examples = numbered(texts.repartition(TASKS, "digest").mapInArrow(
+        _examples, "doc_id long, toxic int, digest string, words array<binary>, n array<long>, marks array<long>"))
+    got = examples.select("doc_id", "toxic", "digest", "rid", "marks").toArrow()
+    got = got.take(pc.sort_indices(got, [(c, "ascending") for c in ("doc_id", "toxic", "digest")]))
+    toxic, rid = got.column("toxic").to_numpy(), got.column("rid").to_numpy()
     if len(toxic) < 2 or toxic.min() == toxic.max():
         return None
-    bags = _Bags(got)
-    apart = one_of_each(bags)
-    terms = choose_terms([bags[i] for i in apart], toxic[apart])
+    apart = one_of_each([m.values.to_numpy() for m in got.column("marks")])
+    terms = find_terms(examples, *[frozenset(int(rid[i]) for i in apart if toxic[i] == y) for y in (1, 0)])
     have = docs.select(F.col(text_col).cast("string")).mapInArrow(
         _count_terms(terms), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
     counts = {r["term"]: r["n"] for r in have.collect()}  # one row per term and one for all documents
     idf = {t: float(np.log((counts[""] + 1) / (counts.get(t, 0) + 1)) + 1) for t in terms}
     weight = np.array([held[y] / (toxic == y).sum() for y in toxic])
-    found = [Counter({t: n for t, n in terms_of(b).items() if t in idf}) for b in bags]
-    return build_index(got.column("doc_id").to_pylist(), found, toxic, weight / weight.min(), idf, k)
+    bags = examples.mapInArrow(_found(terms), "rid long, terms array<string>, n array<long>").toArrow().to_pylist()
+    bags = {r["rid"]: Counter(dict(zip(r["terms"], r["n"]))) for r in bags}
+    return build_index(got.column("doc_id").to_pylist(), [bags[i] for i in rid.tolist()], toxic, weight / weight.min(), idf, k)
 
 
 def _scorer(index: Index | None, k: int):

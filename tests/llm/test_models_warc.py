@@ -171,6 +171,41 @@ def test_prefix_terms():
     assert got["=abcd"] == 2 and got["^abc"] == 3 and got["2abc"] == 1 and "2abcd" not in got
 
 
+def plain_terms(bags, toxic, most):
+    """The forward choice of terms, by sets on one machine."""
+    held = [set(toxicity.terms_of(b)) for b in bags]
+    open_, clean = ([h for h, y in zip(held, toxic) if y == c] for c in (1, 0))
+    count, other = Counter(t for h in open_ for t in h), Counter(t for h in clean for t in h)
+    least, all_ = np.log(1 + len(count)), len(open_)
+    rate = {t: (other[t] + 0.5) / (len(clean) + 1) for t in count}
+    can = {t for t, n in count.items() if n >= toxicity.LEAST and -n * np.log(rate[t]) >= least}
+    sure = sorted((t for t in can if count[t] >= toxicity.WIDE * all_ and count[t] / all_ > toxicity.RATIO * rate[t]),
+                  key=lambda t: (rate[t] / count[t], t))
+    chosen = []
+    while open_ and len(chosen) < most:
+        left = Counter(t for h in open_ for t in h & can)
+        gain, term = max(((n * np.log(n / len(open_) / rate[t]), t) for t, n in left.items() if n >= toxicity.LEAST),
+                         default=(-1, ""))
+        if gain < least:
+            break
+        chosen.append(term)
+        open_ = [h for h in open_ if term not in h]
+    return list(dict.fromkeys(chosen + sure))[:most]
+
+
+def test_terms_counted_on_spark(spark):
+    assert toxicity.EXAMPLES >= 3000
+    rng = np.random.default_rng(3)
+    toxic = np.arange(400) % 2
+    bags = [[f"w{w}".encode() for w in rng.zipf(1.3, 40) if w < 5000] + [f"insult{rng.integers(9)}".encode()] * int(y)
+            for y in toxic]
+    rows = spark.createDataFrame([(i, b) for i, b in enumerate(bags)], "rid long, words array<binary>").repartition(5)
+    kept = [frozenset(np.flatnonzero(toxic == y).tolist()) for y in (1, 0)]
+    for most in (toxicity.TERMS, 3):
+        got = toxicity.find_terms(rows, *kept, most)
+        assert got == plain_terms(bags, toxic, most) and got
+
+
 # ---------------------------------------------------------------- WARC
 PAGES = [(5, "http://a/", "same"), (3, None, "same"), (3, "http://b/\r\nX: y", "same"), (None, "u", "same"), (9, "u", None),
          (8, "u", ""), (7, "é", "\U0001F600\r\n\r\nWARC/1.1\r\n"), (1, "u", "x" * 300_000), (None, None, "only here")]
