@@ -38,7 +38,8 @@ DOUBT = 0.3  # the fixed clean vote, as a similarity per neighbour
 BLOCK = 64
 PREFIXES = range(3, 8)
 LEAST = 3
-COMMON = 0.05  # share of the examples beyond which a word is no sign of a copy
+ALIKE = 0.8  # Jaccard similarity of the words from which on an example is a near copy
+BANDS, ROWS = 16, 4  # MinHash bands: they propose 99.98 % of the pairs at a similarity of 0.8
 WIDE, RATIO = 0.02, 30  # share of the toxic examples, and how much likelier than in clean ones, of a sure term
 KNOWN = 500_000
 TASKS = 16  # that share the examples
@@ -88,18 +89,32 @@ class _Relevant(dict):
         return Counter({t: n for t, n in terms_of(found).items() if t in self.vocabulary}) if found else Counter()
 
 
-def one_of_each(marks: Sequence[np.ndarray]) -> list[int]:
-    """Places of examples that differ: of those with the same smallest hash among their rarer words, the first.
+def one_of_each(marks: Sequence[np.ndarray], toxic: np.ndarray) -> list[int]:
+    """Places of examples that differ: near copies (``ALIKE`` of the words shared) of an earlier one of their class go.
 
-    ``marks`` has the hashes of each example's words.  Near copies share nearly all words, so most of them share
-    that word; else a group of copies would count as independent evidence for all of its words.
+    ``marks`` has the distinct hashes of each example's words.  MinHash bands
+    propose copies, and the words themselves decide.  Otherwise a group of
+    copies would count as independent evidence for all of its words.
     """
-    held = Counter(w for own in marks for w in own.tolist())
-    first: dict[int, int] = {}
-    for i, own in enumerate(marks):
-        rare = [w for w in own.tolist() if held[w] <= COMMON * len(marks)] or own.tolist()
-        first.setdefault(min(rare, default=0), i)
-    return sorted(first.values())
+    salt = np.random.default_rng(SEED).integers(1, 2 ** 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+    kept: list[int] = []
+    sets: dict[int, np.ndarray] = {}
+    cells: dict[tuple, list[int]] = {}
+    for i, (own, y) in enumerate(zip(marks, toxic)):
+        own = np.sort(own)
+        mixed = own.view(np.uint64)
+        prints = np.array([((mixed * a) ^ ((mixed * a) >> np.uint64(31))).min(initial=2 ** 64 - 1) for a in salt], np.uint64)
+        keys = [(int(y), b, prints[b * ROWS:(b + 1) * ROWS].tobytes()) for b in range(BANDS)]
+        for j in sorted({j for key in keys for j in cells.get(key, ())}):
+            both = len(np.intersect1d(own, sets[j], assume_unique=True))
+            if both >= ALIKE * (len(own) + len(sets[j]) - both):
+                break
+        else:
+            kept.append(i)
+            sets[i] = own
+            for key in keys:
+                cells.setdefault(key, []).append(i)
+    return kept
 
 
 def choose_terms(names: list[str], rate: np.ndarray, rows: list[np.ndarray], least: float, most: int = TERMS) -> list[str]:
@@ -329,7 +344,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     toxic, rid = got.column("toxic").to_numpy(), got.column("rid").to_numpy()
     if len(toxic) < 2 or toxic.min() == toxic.max():
         return None
-    apart = one_of_each([m.values.to_numpy() for m in got.column("marks")])
+    apart = one_of_each([m.values.to_numpy() for m in got.column("marks")], toxic)
     terms = find_terms(examples, *[frozenset(int(rid[i]) for i in apart if toxic[i] == y) for y in (1, 0)])
     have = docs.select(F.col(text_col).cast("string")).mapInArrow(
         _count_terms(terms), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))

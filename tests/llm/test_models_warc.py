@@ -206,6 +206,19 @@ def test_terms_counted_on_spark(spark):
         assert got == plain_terms(bags, toxic, most) and got
 
 
+def test_only_verified_copies_fold():
+    """Examples that share one rare word all stay; near copies fold, within their class only."""
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(-2 ** 63, 2 ** 63, 50) for _ in range(60)]
+    shared = [np.append(-2 ** 63 if i < 3 else t[0], t[1:]) for i, t in enumerate(texts)]
+    copies = [np.append(texts[7][:-2], rng.integers(0, 2 ** 63, 2)) for _ in range(20)]
+    marks = [m.astype(np.int64) for m in shared + copies + [texts[7]]]
+    toxic = np.array([i % 2 for i in range(60)] + [1] * 20 + [0])
+    assert toxicity.one_of_each(marks, toxic) == [*range(60), 80]
+    assert toxicity.one_of_each(marks, np.ones(81, int)) == [*range(60)]
+    assert toxicity.one_of_each([np.zeros(0, np.int64)] * 3, np.array([0, 1, 0])) == [0, 1]
+
+
 # ---------------------------------------------------------------- WARC
 PAGES = [(5, "http://a/", "same"), (3, None, "same"), (3, "http://b/\r\nX: y", "same"), (None, "u", "same"), (9, "u", None),
          (8, "u", ""), (7, "é", "\U0001F600\r\n\r\nWARC/1.1\r\n"), (1, "u", "x" * 300_000), (None, None, "only here")]
