@@ -59,11 +59,14 @@ def _positions(docs: DataFrame, sizes: list[int]) -> DataFrame:
         F.array(F.lit(None).cast("long")))))
 
 
-def _blocks(windows: DataFrame, block_chars: int) -> list[DataFrame]:
-    """Split a small-row table into parts of about ``block_chars`` characters each."""
+def _blocks(windows: DataFrame, block_chars: int, by: str = "win") -> list[DataFrame]:
+    """Split a small-row table into parts of about ``block_chars`` characters each.
+
+    Each part is evaluated for itself, so ``by`` must be the same in every evaluation.
+    """
     total = windows.agg(F.sum("chars")).first()[0] or 0
     n = -(-total // block_chars)
-    return [windows.where(F.pmod(F.xxhash64("win"), F.lit(n)) == i) for i in range(n)]
+    return [windows.where(F.pmod(F.xxhash64(by), F.lit(n)) == i) for i in range(n)]
 
 
 def window_probes(docs: DataFrame, windows: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[DataFrame, list[int]]:
@@ -78,10 +81,10 @@ def window_probes(docs: DataFrame, windows: DataFrame, block_chars: int = BLOCK_
     sizes = sorted(r.k for r in shingles.select("k").distinct().collect())  # at most SHINGLE numbers
     if not sizes:
         return shingles.withColumn("freq", F.lit(0)), sizes
-    keys = shingles.groupBy("key").agg(F.first("win").alias("win"), F.lit(100).alias("chars"))
+    keys = shingles.select("key").distinct().withColumn("chars", F.lit(100))
     at = _positions(docs, sizes).select("key")
     counts = reduce(DataFrame.union, [at.join(F.broadcast(part.select("key")), "key", "left_semi")
-                                      for part in _blocks(keys, block_chars)]).groupBy("key").agg(
+                                      for part in _blocks(keys, block_chars, "key")]).groupBy("key").agg(
         F.count(F.lit(1)).alias("freq"))
     rarest = F.struct("freq", "key", "offset")
     known = shingles.join(counts, "key", "left").withColumn("freq", F.coalesce("freq", F.lit(0)))

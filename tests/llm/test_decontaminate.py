@@ -1,8 +1,10 @@
+import random
 from collections import Counter
 
 import brute
 import pytest
 from conftest import PASSAGE, odd_rows
+from pyspark.sql import functions as F
 
 from locuspark.llm.decontaminate import decontaminate
 
@@ -34,3 +36,13 @@ def test_threshold(spark):
     got = {r.doc_id: r.contaminated for r in decontaminate(spark.createDataFrame(docs, "doc_id long, text string"),
                                                            bench).collect()}
     assert got == {5: True, 99: True, 100: True, 101: False}
+
+
+def test_many_blocks_with_any_first_value(spark, monkeypatch):
+    """Windows share shingles; whichever row first() meets in each evaluation, no key may miss its block."""
+    draw = F.udf(lambda n: random.SystemRandom().randint(1, n), "int").asNondeterministic()
+    monkeypatch.setattr(F, "first", lambda c: F.element_at(F.collect_list(c), draw(F.count(c))))
+    bench = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string").repartition(4)
+    docs = spark.createDataFrame([(i, f"x{i} {PASSAGE} y") for i in range(3)], "doc_id long, text string")
+    got = decontaminate(docs, bench, block_chars=600).select("doc_id", "n_hit").collect()
+    assert sorted(tuple(r) for r in got) == [(i, 60) for i in range(3)]
