@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and the pipeline, with DuckDB SQL where it can express them."""
+"""Registered queries of the operators, with DuckDB SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -206,3 +206,9 @@ SELECT doc_id, domain, lang, source, n AS n_tokens, budget AS leaf_budget,
 def op3(spark, d):
     from locuspark.llm.mixing import mix_plan
     return mix_plan(table(spark, d, "documents"), domain(), mix_target()).drop("epoch", "h", "k")
+
+
+@query("op13_license_scan")
+def op13(spark, d):
+    from locuspark.llm.license_scan import license_scan
+    return license_scan(table(spark, d, "documents")).drop("detections")
