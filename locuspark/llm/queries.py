@@ -212,3 +212,33 @@ def op3(spark, d):
 def op13(spark, d):
     from locuspark.llm.license_scan import license_scan
     return license_scan(table(spark, d, "documents")).drop("detections")
+
+
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+
+@query("op11_spelling_variants", rf"""
+WITH RECURSIVE T AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, x: {_CRC_STEP}) AS v FROM (SELECT unnest(range(0, 256)) AS i))),
+R AS (SELECT id, run, count(*) AS n FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+      unnest(regexp_extract_all({_LOWER.format(x="coalesce(text, '')")}, '[a-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+H AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(id || ':' || run, ''),
+        lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195::BIGINT, (unicode(x) - 64)::BIGINT] END))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM R, T),
+W AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 97 = 0
+        THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM H)
+      WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+V AS (SELECT DISTINCT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS v
+      FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM W)),
+N AS (SELECT a.word, b.word AS near FROM V a JOIN V b ON a.v = b.v AND a.p = b.p AND a.word <> b.word
+      UNION SELECT V.word, W.word FROM V JOIN W ON V.v = W.word UNION SELECT W.word, V.word FROM V JOIN W ON V.v = W.word),
+B AS (SELECT N.word, count(*) AS n_near, list(near ORDER BY W.n DESC, encode(near))[1] AS near, max(W.n) AS near_n
+      FROM N JOIN W ON N.near = W.word GROUP BY N.word),
+F AS (SELECT W.word, W.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * W.n THEN near END AS form,
+             CASE WHEN near_n >= 2 * W.n THEN near_n END AS form_n FROM W LEFT JOIN B USING (word)),
+U AS (SELECT word, word AS root FROM F UNION ALL SELECT U.word, F.form FROM U JOIN F ON U.root = F.word WHERE F.form IS NOT NULL)
+SELECT F.word, F.form, U.root, F.n, F.n_near, F.form_n FROM F JOIN U USING (word)
+WHERE U.root IN (SELECT word FROM F WHERE form IS NULL)""")
+def op11(spark, d):
+    from locuspark.llm.spelling import spelling_variants
+    return spelling_variants(table(spark, d, "documents"))
