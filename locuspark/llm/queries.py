@@ -242,3 +242,9 @@ WHERE U.root IN (SELECT word FROM F WHERE form IS NULL)""")
 def op11(spark, d):
     from locuspark.llm.spelling import spelling_variants
     return spelling_variants(table(spark, d, "documents"))
+
+
+@query("op12_token_alignment")
+def op12(spark, d):
+    from locuspark.llm.alignment import align
+    return align(table(spark, d, "documents"))
