@@ -20,7 +20,8 @@ from locuspark.plans import fixtures as fx
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-N_PERM = 20
+N_PERM = 1000  # permutations of the tests
+N_LISTED = 20  # permutations whose intervals `permuted_intervals` lists
 SEED = 42
 
 
@@ -34,7 +35,9 @@ def query(name: str, sql: str | None = None):
 
 
 # ====================================================================== intervals
+from locuspark.functions.draws import draw_sql  # noqa: E402
 from locuspark.operators import intervals as iv  # noqa: E402
+from locuspark.operators import permutation as pm  # noqa: E402
 
 A_CTE = f"A AS ({fx.INTERVALS_A_SQL})"
 B_CTE = f"B AS ({fx.INTERVALS_B_SQL})"
@@ -76,86 +79,83 @@ def q_overlap_total(spark, d):
     return iv.overlap_total(fx.intervals_a(spark, d), fx.intervals_b(spark, d))
 
 
-_H = hash60_sql(str(SEED), "p.perm", "a.region_id")
-PA_CTE = f"""PA AS (
+_H = draw_sql(SEED, "p.perm", "a.region_id")
+
+
+def _pa_cte(n: int) -> str:
+    """Set A as it is (perm 0) and in n permutations."""
+    return f"""PA AS (
   SELECT 0 AS perm, region_id, chrom, start, "end" FROM A
   UNION ALL
-  SELECT p.perm, a.region_id, a.chrom,
-         CASE WHEN a."end" - a.start >= s.length THEN 0
-              ELSE {_H} % (s.length - (a."end" - a.start) + 1) END AS start,
-         CASE WHEN a."end" - a.start >= s.length THEN s.length
-              ELSE {_H} % (s.length - (a."end" - a.start) + 1) + (a."end" - a.start) END AS "end"
-  FROM A a JOIN SZ s ON a.chrom = s.chrom AND s.length > 0
-  CROSS JOIN (SELECT unnest(range(1, {N_PERM} + 1)) AS perm) p)"""
-OV_CTE = """OV AS (
-  SELECT pp.perm, b.region_id,
-         coalesce(sum(CASE WHEN pa.region_id IS NOT NULL
-                           THEN least(pa."end", b."end") - greatest(pa.start, b.start) END), 0) AS overlap
-  FROM B b CROSS JOIN (SELECT DISTINCT perm FROM PA UNION SELECT 0) pp
-  LEFT JOIN PA pa ON pa.perm = pp.perm AND pa.chrom = b.chrom AND pa.start < b."end" AND b.start < pa."end"
-  GROUP BY pp.perm, b.region_id)"""
+  SELECT perm, region_id, chrom, CASE WHEN len >= clen THEN 0 ELSE h % (clen - len + 1) END AS start,
+         CASE WHEN len >= clen THEN clen ELSE h % (clen - len + 1) + len END AS "end"
+  FROM (SELECT p.perm, a.region_id, a.chrom, a."end" - a.start AS len, s.length AS clen, {_H} AS h
+        FROM A a JOIN SZ s ON a.chrom = s.chrom AND s.length > 0
+        CROSS JOIN (SELECT unnest(range(1, {n} + 1)) AS perm) p))"""
+
+
+# overlap of every region in every permutation where it is not 0, joined by bins of 1 kb
+OV_CTE = f"""{A_CTE}, {B_CTE}, {SZ_CTE}, {_pa_cte(N_PERM)},
+BB AS (SELECT *, unnest(range(start // 1024, ("end" - 1) // 1024 + 1)) AS bin FROM B),
+PB AS (SELECT perm, chrom, start, "end", unnest(range(start // 1024, ("end" - 1) // 1024 + 1)) AS bin FROM PA),
+OV AS (SELECT p.perm, b.region_id, sum(least(p."end", b."end") - greatest(p.start, b.start)) AS overlap
+       FROM PB p JOIN BB b ON p.chrom = b.chrom AND p.bin = b.bin
+       WHERE p.start < b."end" AND b.start < p."end" AND greatest(p.start, b.start) // 1024 = p.bin GROUP BY ALL),
+T AS (SELECT perm, sum(overlap) AS total FROM OV GROUP BY perm),
+G AS (SELECT coalesce((SELECT total FROM T WHERE perm = 0), 0) AS obs,
+             CASE WHEN coalesce((SELECT total FROM T WHERE perm = 0), 0) <= 0 THEN {N_PERM} ELSE
+             (SELECT count(*) FROM T WHERE perm > 0 AND total >= (SELECT total FROM T WHERE perm = 0)) END AS exceed_count),
+C AS (SELECT b.region_id, b.chrom, b.start, b."end", coalesce(o.overlap, 0) AS obs,
+             CASE WHEN o.overlap IS NULL THEN {N_PERM} ELSE coalesce(e.n, 0) END AS exceed_count
+      FROM B b LEFT JOIN (SELECT * FROM OV WHERE perm = 0) o USING (region_id)
+      LEFT JOIN (SELECT v.region_id, count(*) AS n FROM OV v JOIN (SELECT * FROM OV WHERE perm = 0) w USING (region_id)
+                 WHERE v.perm > 0 AND v.overlap >= w.overlap GROUP BY v.region_id) e USING (region_id)),
+N AS (SELECT count(*) AS n_b, coalesce(sum("end" - start), 0) AS bases FROM B)"""
 
 
 @query("permuted_intervals", f"""
-WITH {A_CTE}, {SZ_CTE}, {PA_CTE}
+WITH {A_CTE}, {SZ_CTE}, {_pa_cte(N_LISTED)}
 SELECT perm, region_id, chrom, start, "end" FROM PA WHERE perm > 0""")
 def q_permuted(spark, d):
-    return iv.permute_intervals(fx.intervals_a(spark, d), fx.chrom_sizes(spark, d), N_PERM, SEED,
+    return iv.permute_intervals(fx.intervals_a(spark, d), fx.chrom_sizes(spark, d), N_LISTED, SEED,
                                 include_observed=False)
 
 
 @query("permutation_global", f"""
-WITH {A_CTE}, {B_CTE}, {SZ_CTE}, {PA_CTE}, {OV_CTE},
-T AS (SELECT perm, sum(overlap) AS total FROM OV GROUP BY perm)
-SELECT CAST(o.total AS BIGINT) AS observed_overlap,
-       CAST(count_if(t.total >= o.total) AS BIGINT) AS exceed_count,
-       CAST({N_PERM} AS BIGINT) AS num_permutations,
-       round((count_if(t.total >= o.total) + 1.0) / {N_PERM + 1}.0, 6) AS global_p_value
-FROM T t, (SELECT total FROM T WHERE perm = 0) o WHERE t.perm > 0 GROUP BY o.total""")
+WITH {OV_CTE}
+SELECT CAST(obs AS BIGINT) AS observed_overlap, CAST(exceed_count AS BIGINT) AS exceed_count,
+       CAST({N_PERM} AS BIGINT) AS num_permutations, round((exceed_count + 1.0) / {N_PERM + 1}.0, 6) AS global_p_value
+FROM G""")
 def q_perm_global(spark, d):
-    r = iv.permutation_global(fx.intervals_a(spark, d), fx.intervals_b(spark, d),
-                              fx.chrom_sizes(spark, d), N_PERM, SEED)
+    r = pm.permutation_global(fx.intervals_a(spark, d), fx.intervals_b(spark, d), fx.chrom_sizes(spark, d), N_PERM, SEED)
     return r.withColumn("global_p_value", F.round("global_p_value", 6))
 
 
 @query("permutation_per_region", f"""
-WITH {A_CTE}, {B_CTE}, {SZ_CTE}, {PA_CTE}, {OV_CTE},
-O AS (SELECT region_id, overlap AS obs FROM OV WHERE perm = 0),
-C AS (SELECT ov.region_id, count_if(ov.overlap >= o.obs) AS exceed_count
-      FROM OV ov JOIN O o USING (region_id) WHERE ov.perm > 0 GROUP BY ov.region_id),
-N AS (SELECT count(*) AS n_b FROM B)
-SELECT b.region_id, b.chrom, b.start, b."end",
-       CAST(o.obs AS BIGINT) AS observed_overlap, CAST(c.exceed_count AS BIGINT) AS exceed_count,
-       round((c.exceed_count + 1.0) / {N_PERM + 1}.0, 6) AS p_value,
-       (c.exceed_count + 1.0) / {N_PERM + 1}.0 < 0.05 / greatest(n.n_b, 1) AS significant_bonferroni
-FROM B b JOIN O o USING (region_id) JOIN C c USING (region_id) CROSS JOIN N n""")
+WITH {OV_CTE}
+SELECT region_id, chrom, start, "end", CAST(obs AS BIGINT) AS observed_overlap, CAST(exceed_count AS BIGINT) AS exceed_count,
+       round((exceed_count + 1.0) / {N_PERM + 1}.0, 6) AS p_value,
+       (exceed_count + 1.0) / {N_PERM + 1}.0 < 0.05 / greatest(n_b, 1) AS significant_bonferroni
+FROM C, N""")
 def q_perm_region(spark, d):
-    r = iv.permutation_per_region(fx.intervals_a(spark, d), fx.intervals_b(spark, d),
-                                  fx.chrom_sizes(spark, d), N_PERM, SEED)
+    r = pm.permutation_per_region(fx.intervals_a(spark, d), fx.intervals_b(spark, d), fx.chrom_sizes(spark, d), N_PERM, SEED)
     return r.withColumn("p_value", F.round("p_value", 6))
 
 
 @query("permutation_summary", f"""
-WITH {A_CTE}, {B_CTE}, {SZ_CTE}, {PA_CTE}, {OV_CTE},
-O AS (SELECT region_id, overlap AS obs FROM OV WHERE perm = 0),
-C AS (SELECT ov.region_id, count_if(ov.overlap >= o.obs) AS exceed_count
-      FROM OV ov JOIN O o USING (region_id) WHERE ov.perm > 0 GROUP BY ov.region_id),
-N AS (SELECT count(*) AS n_b, coalesce(sum("end" - start), 0) AS bases FROM B),
-M AS (SELECT count(*) AS n_a, coalesce(sum("end" - start), 0) AS bases FROM A),
-T AS (SELECT perm, sum(overlap) AS total FROM OV GROUP BY perm)
-SELECT CAST((SELECT total FROM T WHERE perm = 0) AS BIGINT) AS observed_overlap,
-       ((SELECT count(*) FROM T WHERE perm > 0 AND total >= (SELECT total FROM T WHERE perm = 0)) + 1.0) / {N_PERM + 1}
-         AS global_p_value, CAST({N_PERM} AS BIGINT) AS num_permutations, M.n_a AS "setA_regions", N.n_b AS "setB_regions",
+WITH {OV_CTE},
+M AS (SELECT count(*) AS n_a, coalesce(sum("end" - start), 0) AS bases FROM A)
+SELECT CAST(G.obs AS BIGINT) AS observed_overlap, (G.exceed_count + 1.0) / {N_PERM + 1} AS global_p_value,
+       CAST({N_PERM} AS BIGINT) AS num_permutations, M.n_a AS "setA_regions", N.n_b AS "setB_regions",
        CAST(M.bases AS BIGINT) AS "setA_total_bases", CAST(N.bases AS BIGINT) AS "setB_total_bases",
        0.05::DOUBLE / greatest(N.n_b, 1) AS bonferroni_threshold,
        (SELECT count(*) FROM C WHERE (exceed_count + 1.0) / {N_PERM + 1}.0 < 0.05 / greatest(N.n_b, 1))
          AS significant_regions_bonferroni,
        (SELECT count(*) FROM A WHERE chrom NOT IN (SELECT chrom FROM SZ WHERE length > 0)) AS permutation_dropped,
        1.0::DOUBLE / {N_PERM + 1} AS min_attainable_p
-FROM M, N""")
+FROM M, N, G""")
 def q_perm_summary(spark, d):
-    return iv.permutation_summary(fx.intervals_a(spark, d), fx.intervals_b(spark, d),
-                                  fx.chrom_sizes(spark, d), N_PERM, SEED)
+    return pm.permutation_summary(fx.intervals_a(spark, d), fx.intervals_b(spark, d), fx.chrom_sizes(spark, d), N_PERM, SEED)
 
 
 # ====================================================================== sequences / ORFs
