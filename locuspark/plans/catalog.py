@@ -225,8 +225,7 @@ def q_orf_summary(spark, d):
 SELECT s.record_no, s.seqid, CAST(length(s.seq) AS BIGINT) AS seq_len, CAST(count(o.record_no) AS BIGINT) AS n_orfs
 FROM S s LEFT JOIN ORFS o USING (record_no) GROUP BY s.record_no, s.seqid, s.seq""")
 def q_orf_counts(spark, d):
-    s = fx.sequences(spark, d)
-    return sq.orf_counts(s, sq.orf_spans(s))
+    return sq.count_orfs(fx.sequences(spark, d))
 
 
 @query("gc_content", f"""WITH S AS ({fx.SEQUENCES_SQL})

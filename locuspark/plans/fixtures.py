@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from locuspark.session import spread
+
 CHROM_COUNT = 5
 CHROM_SPAN = 4_000_000
 
@@ -81,7 +83,7 @@ LETTER_BASES = "ACGTACGTACGTACGTACGTACGTAC"
 
 def sequences(spark, sf_dir) -> DataFrame:
     """Every letter of every text is a base: A-Z by the recoding, all others N (any base)."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     bases = F.translate(F.regexp_replace(d.text, "[^\\p{L}]", ""), LETTERS + LETTERS.lower(), LETTER_BASES * 2)
     return d.select(
         d.doc_id.alias("record_no"),
