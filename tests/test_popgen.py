@@ -66,3 +66,47 @@ def test_running_sum_sparse_keys(spark):
     df = spark.range(3000).select((F.col("id") * F.col("id") * 1000).alias("k"), F.lit(2).alias("v"))
     got = {r.k: r.cum for r in asof.running_sum(df, "k", "v").collect()}
     assert got == {i * i * 1000: 2 * (i + 1) for i in range(3000)}
+
+
+def _nearest(left, right, backward, inclusive):
+    """{id: value} row by row; right keys are unique within a group."""
+    out = {}
+    for i, g, k in left:
+        fit = [(t, v) for h, t, v in right if h == g and t is not None and k is not None
+               and (t == k and inclusive or (t < k if backward else t > k))]
+        out[i] = (max(fit) if backward else min(fit))[1] if fit else None
+    return out
+
+
+def test_asof_plans_against_plain(spark):
+    """Sent table and range exchange, both directions, null groups and keys, ranges that cut groups and repeated keys."""
+    import random
+    rng = random.Random(6)
+    groups = ["a", "b", None, "c"]
+    left = [(i, rng.choice(groups + ["only left"]), rng.choice([None, 5, 5, 5, rng.randrange(40)])) for i in range(300)]
+    right = [(g, t, f"{g}{t}") for g in groups + ["only right"] for t in rng.sample(range(40), 8)] + [("a", None, "none")]
+    lf = spark.createDataFrame(left, "id long, g string, k long").repartition(3)
+    rf = spark.createDataFrame(right, "g string, t long, v string").repartition(2)
+    for direction in ("backward", "forward"):
+        for inclusive in (True, False):
+            want = _nearest(left, right, direction == "backward", inclusive)
+            for buckets in (None, 1, 7, 60):
+                got = asof.asof_join(lf, rf, "k", "t", ["v"], ["g"], direction, inclusive, buckets)
+                assert got.columns == ["id", "g", "k", "v"]
+                assert {r.id: r.v for r in got.collect()} == want, (direction, inclusive, buckets)
+    empty = rf.limit(0)
+    for buckets in (None, 4):
+        assert {r.v for r in asof.asof_join(lf, empty, "k", "t", ["v"], ["g"], buckets=buckets).collect()} == {None}
+        assert asof.asof_join(lf.limit(0), rf, "k", "t", ["v"], ["g"], buckets=buckets).count() == 0
+
+
+def test_asof_equal_and_null_keys_are_spread(spark):
+    """A million equal and a million null keys: no range holds much more than its share."""
+    n = 1_000_000
+    pts = spark.range(0, 2 * n, 1, 8).select("id", F.when(F.col("id") < n, 7.0).alias("t"))
+    steps = spark.createDataFrame([(float(i), i * 10) for i in range(20)], "t double, value long")
+    got = asof.asof_join(pts, steps, "t", "t", ["value"], buckets=8).withColumn("p", F.spark_partition_id())
+    rows = {(r.value): r["n"] for r in got.groupBy("value").agg(F.count("*").alias("n")).collect()}
+    assert rows == {70: n, None: n}
+    sizes = [r["n"] for r in got.groupBy("p").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 3 * 2 * n / 16
