@@ -28,6 +28,7 @@ import heapq
 import json
 import math
 import os
+import re
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -45,10 +46,14 @@ TOKENIZERS = "/opt/tokenizers"
 RADIX = 16  # partitions by B id
 RUN_BYTES = 8 << 20  # characters of text in a run; one longer text is a run of its own
 FAN = 64  # runs merged at once, on average
-CACHE_CHARS = 8 << 20  # characters of pieces that a worker remembers
+CACHE_CHARS = 72 << 20  # characters of pieces that a worker remembers, each with
+ENTRY = 128  # characters' worth of what is kept beside them: some 500,000 words, 150 MB
+AT_ONCE = 1 << 20  # characters of text that are cut and looked up together
+TOGETHER = 1 << 16  # characters of new pieces that are encoded as one text
 BLOCK = 8192  # entries read at once from a run
 SPACE = "▁"  # stands for a space in pieces
 NO_CUT = "᠎"  # a space in older tables only
+SPACES = re.compile(rf"(?:^|[\s{NO_CUT}]) ")  # where a space follows another
 
 
 # ---------------------------------------------------------------- encoders and pieces of text
@@ -78,6 +83,10 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
                         for i, p in enumerate(pieces)]
         self.b_space = self.b.piece_to_id(SPACE)
+        self.a_size, self.b_size = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
+        written = lambda side, mark: np.array([f"{i}{mark}" for i in range(len(side))], object)
+        self.a_more, self.a_last = written(self.a_bytes, ","), written(self.a_bytes, "|")
+        self.b_more, self.b_last, self.b_end = (written(self.b_bytes, mark) for mark in ",;\n")
         self.cuts = self._may_cut(json.loads(a_json), pieces)
         self._forget()
 
@@ -93,9 +102,9 @@ class Aligner:
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
         self.chars = 0
-        self.n_a, self.n_b, self.n_groups, self.n_links, self.good = (array("q") for _ in range(5))
+        self.n_a, self.n_b, self.n_groups, self.good = (array("q") for _ in range(4))
         self.groups: list[str] = []
-        self.first, self.pair, self.times = array("q", [0]), array("q"), array("q")  # pairs of piece i: first[i] to first[i + 1]
+        self.first, self.pair = array("q", [0]), array("q")  # links of piece i: first[i] to first[i + 1]
 
     def make_room(self) -> None:
         """Between runs, since a run's numbers must stay."""
@@ -106,6 +115,8 @@ class Aligner:
         """A space and the text, cut before spaces that follow a character that is none."""
         if not self.cuts:
             return [" " + text]
+        if not SPACES.search(text):
+            return [" " + word for word in text.split(" ")]
         out, held = [], ""
         for word in text.split(" "):
             held += " " + word
@@ -114,52 +125,67 @@ class Aligner:
                 held = ""
         return out + [held] if held else out
 
-    def numbers(self, pieces: list[str]) -> list[int]:
-        """Numbers of the pieces; those not seen before are encoded and aligned together."""
+    def learn(self, texts: list[list[str]]) -> None:
+        """Encode and align the pieces of several texts that are new; those that may stand together are encoded as one text."""
         known = self.number
-        if new := [p for p in dict.fromkeys(pieces) if p not in known]:
-            rows = self.a.encode_batch_fast(new, add_special_tokens=False)
-            other = self.b.encode([p[1:] for p in new], num_threads=1)
-            for piece, row, b_ids in zip(new, rows, other):
-                if piece == " ":
-                    b_ids = [self.b_space]
-                self._add(piece, row.ids, b_ids)
-        return [known[p] for p in pieces]
-
-    def _add(self, piece: str, a_ids: list[int], b_ids: list[int]) -> None:
-        a_bytes, b_bytes, raw = self.a_bytes, self.b_bytes, piece.encode()
-        good = b"".join([a_bytes[i] for i in a_ids]) == raw == b"".join([b_bytes[i] for i in b_ids])
-        links: dict[int, int] = {}
-        groups, n_links = [], 0
-        if good:
-            i = j = start_a = start_b = 0
-            end_a, end_b = len(a_bytes[a_ids[0]]), len(b_bytes[b_ids[0]])
-            while True:
-                code = b_ids[j] << 32 | a_ids[i]
-                links[code] = links.get(code, 0) + 1
-                n_links += 1
-                if end_a == end_b:
-                    i, j = i + 1, j + 1
-                    groups.append(f"{','.join(map(str, a_ids[start_a:i]))}|{','.join(map(str, b_ids[start_b:j]))}")
-                    if i == len(a_ids):
-                        break
-                    start_a, start_b = i, j
-                    end_a, end_b = end_a + len(a_bytes[a_ids[i]]), end_b + len(b_bytes[b_ids[j]])
-                elif end_a < end_b:
-                    i += 1
-                    end_a += len(a_bytes[a_ids[i]])
-                else:
-                    j += 1
-                    end_b += len(b_bytes[b_ids[j]])
-        self.number[piece] = len(self.good)
-        self.chars += len(piece) + 64
-        for column, value in ((self.n_a, len(a_ids)), (self.n_b, len(b_ids)), (self.n_groups, len(groups)),
-                              (self.n_links, n_links), (self.good, int(good))):
-            column.append(value)
-        self.groups.append(";".join(groups))
-        self.pair.extend(links)
-        self.times.extend(links.values())
-        self.first.append(len(self.pair))
+        new = list(dict.fromkeys([p for pieces in texts for p in pieces if p not in known]))
+        held, size = [], 0
+        for piece in new:
+            if not self.cuts or piece[-1].isspace() or piece[-1] == NO_CUT:
+                self._learn([piece])
+                continue
+            held.append(piece)
+            size += len(piece)
+            if size >= TOGETHER:
+                self._learn(held)
+                held, size = [], 0
+        if held:
+            self._learn(held)
+
+    def _learn(self, pieces: list[str]) -> None:
+        text = "".join(pieces)
+        raw = text.encode()
+        a_ids = self.a.encode(text, add_special_tokens=False).ids
+        b_ids = [self.b_space] if text == " " else self.b.encode(text[1:], num_threads=1)
+        ends = np.cumsum([len(p.encode()) for p in pieces])
+        same = b"".join([self.a_bytes[i] for i in a_ids]) == raw == b"".join([self.b_bytes[i] for i in b_ids])
+        if same:
+            a_ids, b_ids = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+            a_end, b_end = np.cumsum(self.a_size[a_ids]), np.cumsum(self.b_size[b_ids])
+            in_a, in_b = (np.zeros(len(raw) + 1, bool) for _ in range(2))
+            in_a[a_end], in_b[b_end] = True, True
+            both = in_a & in_b
+            same = bool(both[ends].all())
+        if not same:
+            if len(pieces) > 1:
+                for piece in pieces:
+                    self._learn([piece])
+            else:
+                self._keep(pieces, np.zeros((4, 1), np.int64), [""], np.empty(0, np.int64), False)
+            return
+        cut, shared = np.flatnonzero(in_a | in_b), np.flatnonzero(both)
+        code = b_ids[np.searchsorted(b_end, cut)] << 32 | a_ids[np.searchsorted(a_end, cut)]
+        counts = np.diff(np.stack([np.searchsorted(x, ends, "right") for x in (a_end, b_end, shared, cut)]), prepend=0, axis=1)
+        # the ids as text, group by group: A's, then B's
+        a_group, b_group = np.searchsorted(shared, a_end), np.searchsorted(shared, b_end)
+        closes = np.zeros(len(raw) + 1, bool)
+        closes[ends] = True
+        words = np.empty(len(a_ids) + len(b_ids), object)
+        words[np.arange(len(a_ids)) + np.searchsorted(b_group, a_group, "left")] = np.where(
+            both[a_end], self.a_last[a_ids], self.a_more[a_ids])
+        words[np.arange(len(b_ids)) + np.searchsorted(a_group, b_group, "right")] = np.where(
+            closes[b_end], self.b_end[b_ids], np.where(both[b_end], self.b_last[b_ids], self.b_more[b_ids]))
+        self._keep(pieces, counts, "".join(words.tolist()).split("\n")[:-1], code, True)
+
+    def _keep(self, pieces: list[str], counts: np.ndarray, groups: list[str], code: np.ndarray, good: bool) -> None:
+        start = len(self.good)
+        self.number.update(zip(pieces, range(start, start + len(pieces))))
+        self.chars += sum(map(len, pieces)) + ENTRY * len(pieces)
+        for column, values in ((self.n_a, counts[0]), (self.n_b, counts[1]), (self.n_groups, counts[2]),
+                               (self.good, np.full(len(pieces), int(good))), (self.pair, code),
+                               (self.first, self.first[-1] + np.cumsum(counts[3]))):
+            column.frombytes(np.ascontiguousarray(values, np.int64).tobytes())
+        self.groups += groups
 
 
 _held: dict[str, Aligner] = {}
@@ -235,41 +261,59 @@ class _Run:
     def __post_init__(self):
         self.docs: list[dict] = []
         self.flat, self.owner = array("q"), array("q")
+        self.waiting: list[tuple[int, str]] = []
+        self.unread = 0
 
     def add(self, doc_id, text: str) -> None:
-        row, zero = len(self.docs), {"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": ""}
+        self.docs.append({"doc_id": doc_id, "row": len(self.docs), "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0,
+                          "groups_sha256": ""})
         self.size += len(text)
-        self.docs.append({"doc_id": doc_id, "row": row} | zero)
-        if not text:
-            return
+        if text:
+            self.waiting.append((len(self.docs) - 1, text))
+            self.unread += len(text)
+            if self.unread >= AT_ONCE:
+                self.read()
+
+    def read(self) -> None:
+        """Align the waiting texts."""
         al = self.aligner
-        numbers = al.numbers(al.pieces(text))
-        if not all(map(al.good.__getitem__, numbers)):
-            return
-        total = lambda column: sum(map(column.__getitem__, numbers))
-        groups = ";".join(map(al.groups.__getitem__, numbers))
-        self.docs[-1] |= {"n_a": total(al.n_a), "n_b": total(al.n_b), "n_groups": total(al.n_groups),
-                          "n_links": total(al.n_links), "groups_sha256": hashlib.sha256(groups.encode()).hexdigest()}
-        self.flat.extend(numbers)
-        self.owner.extend([row] * len(numbers))
+        texts = [al.pieces(text) for _, text in self.waiting]
+        al.learn(texts)
+        known, word = al.number.__getitem__, al.groups.__getitem__
+        first, columns = np.array(al.first), {c: np.array(getattr(al, c)) for c in ("n_a", "n_b", "n_groups", "good")}
+        for (row, _), pieces in zip(self.waiting, texts):
+            numbers = list(map(known, pieces))
+            own = np.array(numbers)
+            if not columns["good"][own].all():
+                continue
+            groups = ";".join(map(word, numbers))
+            self.docs[row] |= {c: int(columns[c][own].sum()) for c in ("n_a", "n_b", "n_groups")} | {
+                "n_links": int((first[own + 1] - first[own]).sum()),
+                "groups_sha256": hashlib.sha256(groups.encode()).hexdigest()}
+            self.flat.frombytes(own.tobytes())
+            self.owner.frombytes(np.full(len(own), row).tobytes())
+        self.waiting, self.unread = [], 0
 
     def records(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(codes of distinct pairs, rows of each, row, links): sorted by code, then row."""
         rows = len(self.docs)
-        key, seen = np.unique(np.frombuffer(self.flat, np.int64) * rows + np.frombuffer(self.owner, np.int64), return_counts=True)
+        key, seen = np.unique(np.array(self.flat) * rows + np.array(self.owner), return_counts=True)
         piece, row = key // rows, key % rows
-        first = np.frombuffer(self.aligner.first, np.int64)
+        first = np.array(self.aligner.first)
         sizes = first[piece + 1] - first[piece]
-        at = _expanded(first[piece], sizes)
-        codes, own = np.unique(np.frombuffer(self.aligner.pair, np.int64)[at], return_inverse=True)
-        links = np.frombuffer(self.aligner.times, np.int64)[at] * np.repeat(seen, sizes)
-        key = own * rows + np.repeat(row, sizes)
-        order = np.argsort(key, kind="stable")
-        key, links = key[order], links[order]
+        # pairs get dense numbers in order of their codes, once for each piece of the run
+        used, own = np.unique(piece, return_inverse=True)
+        spans = first[used + 1] - first[used]
+        codes, dense = np.unique(np.array(self.aligner.pair)[_expanded(first[used], spans)], return_inverse=True)
+        starts = np.cumsum(spans) - spans
+        key = dense[_expanded(starts[own], sizes)] * rows + np.repeat(row, sizes)
+        order = np.argsort(key)
+        key, links = key[order], np.repeat(seen, sizes)[order]
         new = np.flatnonzero(np.diff(key, prepend=-1))
         return codes, np.bincount(key[new] // rows, minlength=len(codes)), key[new] % rows, np.add.reduceat(links, new)
 
     def batches(self, run: int) -> Iterator[pa.RecordBatch]:
+        self.read()
         base = {name: None for name in _SPILL.names}
         yield from pa.Table.from_pylist([base | d | {"run": run} for d in self.docs], _SPILL).to_batches()
         if not len(self.flat):

@@ -139,9 +139,10 @@ def test_files_without_safe_cuts(spark, encoders):
     aligner = alignment.Aligner(open(A_FILE, encoding="utf-8").read(), open(B_FILE, "rb").read())
     aligner.cuts = False
     assert aligner.pieces("a b  c") == [" a b  c"]
-    n = aligner.numbers([" a b  c"])[0]
+    aligner.learn([[" a b  c"]])
+    n = aligner.number[" a b  c"]
     whole = plain(encoders, [(1, "a b  c")])[0][0]
-    assert (aligner.n_a[n], aligner.n_b[n], aligner.n_groups[n], aligner.n_links[n]) == whole[1:5]
+    assert (aligner.n_a[n], aligner.n_b[n], aligner.n_groups[n], aligner.first[n + 1] - aligner.first[n]) == whole[1:5]
 
 
 def test_merge_is_streamed_and_sums():
