@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locuspark.functions.rng import hash60
-from locuspark.operators.asof import asof_join, running_sum
 from locuspark.session import cut_lineage
 
 
@@ -119,17 +120,119 @@ def mutations_to_haplotypes(mutations: DataFrame, descendants: DataFrame) -> Dat
 
 # ---------------------------------------------------------------- weighted draws
 
-def weighted_sample(items: DataFrame, draws: DataFrame, seed: int = 7) -> DataFrame:
+SENT_ITEMS = 1 << 20  # items below which all of them are sent to the tasks (16 MB)
+BLOCK_ITEMS, BLOCKS = 1 << 14, 50_000  # items in a block, at least; blocks, at most
+
+
+def _cut_items(size: int):
+    """Items in order -> blocks: their items and the weights summed up to each."""
+    def flush(item: list[int], w: list[int]) -> pa.RecordBatch:
+        both = np.stack([np.array(item, np.int64), np.cumsum(np.array(w, np.int64))])
+        return pa.RecordBatch.from_arrays([pa.array([int(both[1, -1])]), pa.array([both.tobytes()], pa.binary())], ["total", "items"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        item, w = [], []
+        for batch in batches:
+            item += batch.column(0).to_pylist()
+            w += batch.column(1).to_pylist()
+            while len(item) >= size:
+                yield flush(item[:size], w[:size])
+                item, w = item[size:], w[size:]
+        if item:
+            yield flush(item, w)
+    return run
+
+
+def _pick(blob: bytes, u: np.ndarray) -> np.ndarray:
+    """The first item of a block whose summed weight reaches ``u``."""
+    item, upto = np.frombuffer(blob, np.int64).reshape(2, -1)
+    return item[np.searchsorted(upto, u, "left")]
+
+
+def _drawn(draw: list, u: np.ndarray, item: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([draw if isinstance(draw, pa.Array) else pa.array(draw), pa.array(u), pa.array(item)],
+                                      ["draw_id", "u", "item"])
+
+
+def _pick_sent(sent):
+    """All blocks in the task: the block's place first, then the place inside it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, blobs = sent.value
+        items = [np.frombuffer(b, np.int64).reshape(2, -1) for b in blobs]
+        item, upto = (np.concatenate([b[0] for b in items]), np.concatenate([b[1] + o for b, o in zip(items, before)]))
+        for batch in batches:
+            u = batch.column(1).to_numpy()
+            yield _drawn(batch.column(0), u, item[np.searchsorted(upto, u, "left")])
+    return run
+
+
+def _to_blocks(sent):
+    """Draws with their block, what of u is left for it, and one of the block's shares."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, upto, shares = sent.value
+        for batch in batches:
+            u = batch.column(1).to_numpy()
+            block = np.searchsorted(upto, u, "left")
+            share = u % shares[block]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block), pa.array(share), batch.column(0), batch.column(1), pa.array(u - before[block]),
+                 pa.nulls(len(u), pa.binary())], ["block", "share", "draw_id", "u", "rest", "items"])
+    return run
+
+
+def _pick_streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A block's items first, then the draws that fall into it."""
+    blob = None
+    for batch in batches:
+        heads = np.flatnonzero(batch.column("items").is_valid().to_numpy(zero_copy_only=False)).tolist()
+        for start, end in zip([0, *[h + 1 for h in heads]], [*heads, batch.num_rows]):
+            if end > start:
+                part = batch.slice(start, end - start)
+                yield _drawn(part.column("draw_id"), part.column("u").to_numpy(), _pick(blob, part.column("rest").to_numpy()))
+            if end < batch.num_rows:
+                blob = batch.column("items")[end].as_py()
+
+
+def weighted_sample(items: DataFrame, draws: DataFrame, seed: int = 7, sent_items: int = SENT_ITEMS,
+                    block_items: int = BLOCK_ITEMS) -> DataFrame:
     """Sampling with replacement proportional to integer weights.
 
-    ``items``: item (numeric, unique), w (BIGINT >= 0); ``draws``: draw_id.
+    ``items``: item (integer, unique), w (BIGINT >= 0); ``draws``: draw_id.
     Each draw u = 1 + hash60(seed, draw_id) mod total picks the first item
     (in item order) whose cumulative weight reaches u.  All weights 0 ->
-    uniform.  Output: draw_id, u, item.
+    uniform; no items -> no rows.  Output: draw_id, u, item.
+
+    Items in order are cut into blocks with summed weights.  The sums of the blocks, at most 50,000 and
+    one for each partition, are searched first, then the block.  Up to ``sent_items`` items all blocks are sent to the
+    draws' tasks and nothing is shuffled; beyond, draws go to their block, and a block that draws
+    more than a task's share goes to several tasks.  All arithmetic is in 64-bit integers.
     """
-    raw_total = items.agg(F.sum("w")).first()[0] or 0        # one scalar
-    it = items.select("item", (F.col("w") if raw_total > 0 else F.lit(1)).cast("bigint").alias("w"))
-    total_w = raw_total if raw_total > 0 else it.count()
-    cum = running_sum(it, "item", "w", "cum").where(F.col("w") > 0)
-    d = draws.select("draw_id", (F.lit(1) + F.pmod(hash60(F.lit(seed), F.col("draw_id")), F.lit(total_w))).cast("bigint").alias("u"))
-    return asof_join(d, cum, "u", "cum", ["item"], (), "forward", True)
+    spark = items.sparkSession
+    raw_total, n = items.agg(F.sum("w"), F.count(F.lit(1))).first()  # two numbers
+    kind = items.schema["item"].dataType.simpleString()
+    schema = f"draw_id {draws.schema['draw_id'].dataType.simpleString()}, u long, item long"
+    if not n:
+        return spark.createDataFrame([], schema).withColumn("item", F.col("item").cast(kind))
+    it = items.select(F.col("item").cast("long"), (F.col("w") if raw_total else F.lit(1)).cast("long").alias("w")).where("w > 0")
+    cut = it.repartitionByRange("item").sortWithinPartitions("item").mapInArrow(
+        _cut_items(max(block_items, -(-n // BLOCKS))), "total long, items binary")
+    blocks = cut_lineage(cut.withColumn("id", F.monotonically_increasing_id()))
+    sums = blocks.select("id", "total").orderBy("id").collect()
+    upto = np.cumsum([r["total"] for r in sums], dtype=np.int64)
+    before = upto - np.array([r["total"] for r in sums], np.int64)
+    u = (F.lit(1) + F.pmod(hash60(F.lit(seed), F.col("draw_id")), F.lit(int(upto[-1])))).cast("bigint").alias("u")
+    drawn = draws.select("draw_id", u)
+    if n <= sent_items:
+        blobs = [r["items"] for r in blocks.orderBy("id").select("items").collect()]
+        out = drawn.mapInArrow(_pick_sent(spark.sparkContext.broadcast((before, blobs))), schema)
+        return out.withColumn("item", F.col("item").cast(kind))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shares = np.maximum(1, -(-(upto - before) * tasks // upto[-1])) if upto[-1] < (1 << 62) // tasks else np.array(
+        [max(1, -(-r["total"] * tasks // int(upto[-1]))) for r in sums], np.int64)
+    number = spark.createDataFrame([(r["id"], i, int(s)) for i, (r, s) in enumerate(zip(sums, shares))], "id long, block long, n long")
+    heads = blocks.join(F.broadcast(number), "id").select("block", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("share"), "items")
+    sent = drawn.mapInArrow(_to_blocks(spark.sparkContext.broadcast((before, upto, shares))),
+                            f"block long, share long, {schema.split(',')[0]}, u long, rest long, items binary")
+    dealt = heads.unionByName(sent, allowMissingColumns=True).repartition("block", "share").sortWithinPartitions(
+        "block", "share", F.col("items").isNull())
+    return dealt.mapInArrow(_pick_streamed, schema).withColumn("item", F.col("item").cast(kind))

@@ -38,11 +38,38 @@ def test_trees(spark):
 def test_weighted_sample_exact(spark):
     items = spark.createDataFrame([(1, 3), (2, 0), (3, 5), (4, 2)], "item long, w long")
     draws = spark.createDataFrame([(i,) for i in range(200)], "draw_id long")
-    got = pg.weighted_sample(items, draws, seed=7).collect()
     cum = [(1, 3), (3, 8), (4, 10)]
-    for r in got:
-        assert 1 <= r.u <= 10
-        assert r.item == next(i for i, c in cum if c >= r.u)
+    for sent, block in ((100, 100), (0, 100), (0, 1)):
+        got = pg.weighted_sample(items, draws, seed=7, sent_items=sent, block_items=block).collect()
+        assert sorted(r.draw_id for r in got) == list(range(200)) and {r.item for r in got} == {1, 3, 4}
+        for r in got:
+            assert 1 <= r.u <= 10
+            assert r.item == next(i for i, c in cum if c >= r.u)
+    zero = items.withColumn("w", F.lit(0).cast("long"))
+    assert {r.item for r in pg.weighted_sample(zero, draws).collect()} == {1, 2, 3, 4}
+    assert pg.weighted_sample(items.limit(0), draws).count() == 0
+
+
+def test_weighted_sample_large_weights(spark):
+    """Sums beyond 2^53, and an item with nearly all of the weight, which several tasks share."""
+    weights = [(i, 2 ** 53 + 1) for i in range(50)] + [(50, 2 ** 60), (51, 1), (52, 3)]
+    items = spark.createDataFrame(weights, "item long, w long").repartition(5)
+    draws = spark.range(3000).withColumnRenamed("id", "draw_id")
+    upto, total = {}, 0
+    for i, w in weights:
+        total += w
+        upto[i] = total
+    for sent in (1000, 0):
+        got = pg.weighted_sample(items, draws, sent_items=sent, block_items=4)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small partitions stay apart
+        try:
+            rows = got.withColumn("p", F.spark_partition_id()).collect()
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        assert len(rows) == 3000
+        for r in rows:
+            assert r.item == min(i for i, c in upto.items() if c >= r.u)
+    assert len({r.p for r in rows if r.item == 50}) > 2
 
 
 def test_asof_null_keys_and_crowded_keys(spark):
