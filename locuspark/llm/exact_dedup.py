@@ -15,7 +15,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,33 +27,37 @@ KEY = ["digest", "n_bytes", "check"]  # the digest, verified by length and a sec
 RUN_SCHEMA = "run long, digest string, n_bytes long, check long, best_id long, best_rid long, n long"
 
 
-def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Fold neighbouring rows of one (run, key) into the first of them, adding up ``n``.
 
     Input is sorted by run, key and then best identifier, so the first row of
     each stretch is the one to keep.  Only the open stretch crosses batches.
+    Columns stay Arrow columns, so a null id leaves the others exact.
     """
-    by, carry = ["run", *KEY], None
-    for pdf in batches:
+    carry = None
+    for batch in batches:
         if carry is not None:
-            pdf = pd.concat([carry, pdf], ignore_index=True)
-        if pdf.empty:
+            batch = pa.Table.from_batches([carry, batch]).combine_chunks().to_batches()[0]
+        if not batch.num_rows:
             continue
-        new = np.ones(len(pdf), dtype=bool)
-        if len(pdf) > 1:
-            new[1:] = np.logical_or.reduce([pdf[c].to_numpy()[1:] != pdf[c].to_numpy()[:-1] for c in by])
+        new = np.ones(batch.num_rows, dtype=bool)
+        for c in ("run", *KEY):
+            column = batch.column(c)
+            new[1:] &= pc.equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        new[1:] = ~new[1:]
         first = np.flatnonzero(new)
-        total = np.add.reduceat(pdf["n"].to_numpy(), first)
-        out = pdf.iloc[first].assign(n=total)
-        carry = out.iloc[-1:]
-        yield out.iloc[:-1]
+        total = np.add.reduceat(batch.column("n").to_numpy(), first)
+        out = batch.take(pa.array(first))
+        out = out.set_column(out.schema.get_field_index("n"), "n", pa.array(total))
+        carry = out.slice(len(first) - 1)
+        yield out.slice(0, len(first) - 1)
     if carry is not None:
         yield carry
 
 
 def _merge(entries: DataFrame) -> DataFrame:
     best = [F.col("best_id").asc_nulls_last(), F.col("best_rid")]
-    return entries.select(*RUN_COLUMNS).sortWithinPartitions("run", *KEY, *best).mapInPandas(_fold, RUN_SCHEMA)
+    return entries.select(*RUN_COLUMNS).sortWithinPartitions("run", *KEY, *best).mapInArrow(_fold, RUN_SCHEMA)
 
 
 RUN_COLUMNS = [part.split()[0] for part in RUN_SCHEMA.split(", ")]
@@ -73,11 +78,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         raise ValueError("keep must be 'min' or 'max'")
     if fan_in < 2:
         raise ValueError("fan_in must be at least 2")
-    sign = 1 if keep == "min" else -1
+    rank = (lambda c: c) if keep == "min" else F.bitwise_not  # ~x falls as x grows, over all 64-bit integers
     norm = docs.select(F.col(id_col).cast("long").alias("id"), ascii_lower(no_null(F.col(text_col))).alias("t"))
     rows = numbered(norm.select("id", F.sha2("t", 256).alias("digest"),
                                 F.octet_length("t").cast("long").alias("n_bytes"), F.xxhash64("t").alias("check")))
-    leaves = _merge(rows.select("run", *KEY, (F.col("id") * sign).alias("best_id"), F.col("rid").alias("best_rid"),
+    leaves = _merge(rows.select("run", *KEY, rank(F.col("id")).alias("best_id"), F.col("rid").alias("best_rid"),
                                 F.lit(1).cast("long").alias("n")))
     runs = (rows.agg(F.max("run")).first()[0] or 0) + 1
     root = leaves
@@ -85,7 +90,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         root = _merge(root.withColumn("run", F.expr(f"run div {fan_in}"))
                       .repartition(F.col("run"), F.substring("digest", 1, 4)))
         runs = -(-runs // fan_in)
-    root = root.select(*KEY, (F.col("best_id") * sign).alias("keep_id"), F.col("best_rid").alias("keep_rid"),
+    root = root.select(*KEY, rank(F.col("best_id")).alias("keep_id"), F.col("best_rid").alias("keep_rid"),
                        F.col("n").alias("group_size"))
     down = leaves.select("run", *KEY).join(root, KEY)
     return rows.join(down, ["run", *KEY]).select(

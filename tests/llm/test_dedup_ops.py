@@ -144,3 +144,14 @@ def test_components_random(spark):
     want = brute.labels_of(edges, 500)
     touched = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: int(want[x]) for x in touched}
+
+
+def test_exact_dedup_smallest_and_largest_ids(spark):
+    """The ends of the 64-bit range, kept by either rule."""
+    from locuspark.llm.exact_dedup import exact_dedup
+    low, high = -(2 ** 63), 2 ** 63 - 1
+    docs = spark.createDataFrame([(low, "A"), (high, "a"), (0, "a"), (low, "b"), (None, "b"), (None, "c")], "doc_id long, text string")
+    for keep, a in (("min", low), ("max", high)):
+        got = {(r.doc_id, r.text_sha256): (r.keep_id, r.group_size, r.kept) for r in exact_dedup(docs, keep=keep).collect()}
+        assert sorted(v[0] is None for v in got.values()) == [False] * 5 + [True]
+        assert {v[0] for v in got.values()} == {a, low, None} and sum(v[2] for v in got.values()) == 3
