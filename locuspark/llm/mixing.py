@@ -66,7 +66,9 @@ def _share(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
 
 def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """``domain, lang, source, docs, tokens, budget`` from one row per leaf with its docs and tokens."""
-    leaf = leaves.withColumn("cap", F.col("tokens") * mix.max_epochs)
+    # a node of weight 0 takes nothing, so what is below it is no capacity of its parents
+    drawn = (_weight("domain", mix.domains) > 0) & (_weight("lang", mix.langs) > 0) & (_weight("source", mix.sources) > 0)
+    leaf = leaves.withColumn("cap", F.when(drawn, F.col("tokens") * mix.max_epochs).otherwise(0))
     lang = leaf.groupBy("domain", "lang").agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("tokens"))
     domain = lang.groupBy("domain").agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("tokens"))
     total = F.sum("tokens").over(Window.partitionBy("root"))

@@ -130,3 +130,12 @@ def test_query_columns(spark):
     for r in rows:
         size[r.shard] += r.size
     assert max(size.values()) - min(size.values()) <= max(r.size for r in rows)
+
+
+def test_weight_zero_is_no_capacity(spark):
+    """A source of weight 0 does not hold its siblings' share: the shortage goes to the other language."""
+    from locuspark.llm.mixing import Mix, leaf_budgets
+    leaves = spark.createDataFrame([("d", "a", "x", 1, 100), ("d", "a", "y", 1, 10), ("d", "b", "z", 1, 200)],
+                                   "domain string, lang string, source string, docs long, tokens long")
+    got = {r.source: r.budget for r in leaf_budgets(leaves, Mix({}, {}, {"x": 0}, permille=500, max_epochs=1)).collect()}
+    assert {k: v for k, v in got.items() if v} == {"y": 10, "z": 145}
