@@ -146,8 +146,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Fit on documents with a non-null language; None if there is none.
 
     The sample takes, of each language, the documents whose hash lies below
-    ``most / languages / documents of the language``, so about ``most`` in all
-    and at most twice that.
+    ``most / languages / documents of the language``, so about ``most`` in all.
+    The hash is of id and text, and rows that are equal in both count once.
     """
     rows = docs.where(F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
@@ -163,7 +163,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     limits = docs.sparkSession.createDataFrame(
         [(x, min(1 << 60, int((1 << 60) * most / len(langs) / held[x]))) for x in langs], "lang string, upto long")
     picked = rows.withColumn("k", row_key(F.col("id"), F.col("text"))).join(F.broadcast(limits), "lang").where(
-        hash60(seed, F.col("k")) < F.col("upto")).select("k", "lang", "text").limit(2 * most)
+        hash60(seed, F.col("k")) < F.col("upto")).select("k", "lang", "text").dropDuplicates(["k", "lang"])
     got = picked.mapInArrow(_featurise, "k string, lang string, features binary, n binary").toArrow()
     model = Model(langs, idf, np.zeros((len(langs), FEATURES)))
     vectors, labels = [], []
