@@ -325,7 +325,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on at most ``most`` labelled rows, half of each class; None without labels of both classes.
 
     ``labels`` may hold repeated ids: an id is toxic if any of its rows says
-    so; null ids and null labels are left out.
+    so; null ids and null labels are left out.  Of several texts under one id one counts, that of the smallest digest.
     """
     marks = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
         F.col(id_col).cast("long").alias("_id")).agg((F.max(label_col) > 0).cast("int").alias("toxic"))
@@ -336,7 +336,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = marks.where("toxic = 1").orderBy(order, "_id").limit(most // 2).union(
         marks.where("toxic = 0").orderBy(order, "_id").limit(most // 2))
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).join(
-        F.broadcast(sample), "_id").select("_id", "toxic", F.md5(no_null(F.col("_text"))).alias("digest"), "_text")
+        F.broadcast(sample), "_id").groupBy("_id", "toxic").agg(
+            F.min(F.struct(F.md5(no_null(F.col("_text"))).alias("digest"), "_text")).alias("one")).select(
+                "_id", "toxic", "one.digest", "one._text")
     examples = numbered(texts.repartition(TASKS, "digest").mapInArrow(
         _examples, "doc_id long, toxic int, digest string, words array<binary>, n array<long>, marks array<long>"))
     got = examples.select("doc_id", "toxic", "digest", "rid", "marks").toArrow()

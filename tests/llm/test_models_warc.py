@@ -42,16 +42,34 @@ def test_rules_match_plain_scan():
         assert secret_scan.rule_spans(t)[0] == plain_base(t), t
 
 
+def findings(seed, n=240):
+    """Keys after a masked word against plain words: (text, start, end, whether a key)."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        key = i % 2 == 0
+        value = "".join(rng.choice("ABCDEFGHabcdefgh0123456789") if key else rng.choice("aeiounrstl")
+                        for _ in range(rng.randrange(8, 40)))
+        head = rng.choice(["my token = ", "some words "]) if key else "some words "
+        out.append((f"{head}{value} and more", len(head), len(head) + len(value), float(key)))
+    return out
+
+
+def fitted(seed=2):
+    rows = findings(seed)
+    found = [secret_scan.finding(*secret_scan.codes_of(t), a, b) for t, a, b, _ in rows]
+    return secret_scan.fit(found, np.array([y for *_, y in rows])), found, rows
+
+
 def test_network_gradients():
-    rng = np.random.default_rng(0)
-    net = secret_scan.fit(rng.integers(0, 128, (60, 88)).astype(np.uint8), (np.arange(60) % 2).astype(float))
-    codes, y = rng.integers(0, 128, (5, 88)).astype(np.uint8), np.array([0, 1, 1, 0, 1.0])
+    net, found, rows = fitted()
+    found, y = found[:5], np.array([r[3] for r in rows[:5]])
 
     def loss():
-        z = net.forward(codes)[0]
+        z = net.forward(found)[0]
         return float((np.log1p(np.exp(z)) - y * z).mean())
 
-    for p, g in zip(net.params(), net.gradients(codes, y)):
+    for p, g in zip(net.params(), net.gradients(found, y)):
         for at in list(np.ndindex(p.shape))[:: max(1, p.size // 40)]:
             old, step = p[at], 1e-6
             p[at] = old + step
@@ -63,26 +81,56 @@ def test_network_gradients():
 
 
 def test_network_learns_and_keeps_recall():
-    rng = random.Random(2)
-    rows, y = [], []
-    for i in range(600):
-        hexed = i % 2 == 0
-        value = "".join(rng.choice("0123456789abcdef" if hexed else "abcdefghijklmnopqrstuvwxyz.") for _ in range(24))
-        text = f"before {value} after"
-        rows.append(secret_scan.codes_of(text, 7, 31))
-        y.append(float(hexed))
-    net = secret_scan.fit(np.stack(rows), np.array(y))
-    p = net.proba(np.stack(rows))
-    assert ((p >= net.threshold) == (np.array(y) == 1)).mean() > 0.95
-    assert (p[np.array(y) == 1] >= net.threshold).mean() >= 0.95
-
-
-def test_secret_spans_odd(odd, none):
-    got = Counter((r.doc_id, tuple((s.kind, s.start, s.end) for s in r.spans)) for r in
+    net, found, rows = fitted()
+    p, y = net.chance(net.forward(found)[0]), np.array([r[3] for r in rows])
+    assert ((p >= net.threshold) == (y == 1)).mean() > 0.95
+    assert net.recall >= secret_scan.RECALL and net.precision > 0.9
+
+
+def test_texts_score_as_findings_do(monkeypatch):
+    """Candidates of a text, convolved slice by slice, score as if each were read alone; words of the rule are masked."""
+    net, _, rows = fitted()
+    text = " ".join(t for t, *_ in rows[:40]) + " token: " + "x1" * 300 + " é😀 lastcandidate9"
+    spans = [m.span() for m in secret_scan.RUN.finditer(text)]
+    codes, masked = secret_scan.codes_of(text)
+    alone = [net.chance(net.forward([secret_scan.finding(codes, masked, a, b)])[0])[0] for a, b in spans]
+    for size in (1 << 16, 100, 7):
+        monkeypatch.setattr(secret_scan, "SLICE", size)
+        assert np.allclose(net.scores(codes, masked, spans, net.tables()), alone, atol=1e-4)
+    one = [secret_scan.finding(*secret_scan.codes_of(f"{w} = abcd1234 x"), len(w) + 3, len(w) + 11) for w in ("tokenx", "secret")]
+    assert one[0][:secret_scan.AROUND].lstrip(b"\0")[:1] == b"x" and one[1][:secret_scan.AROUND].lstrip(b"\0") == b" = "
+    whole = secret_scan.codes_of("say token = abcd1234 x")
+    assert secret_scan.finding(*whole, 12, 20, 4) == secret_scan.finding(*secret_scan.codes_of("say abcd1234 x"), 4, 12)
+
+
+def test_keys_without_a_label_are_found(spark):
+    """Planted keys that no rule knows, in prose: found by the network, which learned from labelled ones."""
+    rng = random.Random(11)
+    prose = lambda n: " ".join("".join(rng.choice("aeiounrstlmd") for _ in range(rng.randrange(3, 13))) for _ in range(n))
+    key = lambda: "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz23456789") for _ in range(24))
+    docs, planted = [], {}
+    for i in range(300):
+        value, head = key(), prose(40)
+        text = f"{head} {'password = ' if i % 3 == 0 else ''}{value if i % 3 < 2 else prose(3)} {prose(40)}"
+        if i % 3 == 1:
+            planted[i] = (len(head) + 1, len(head) + 25)
+        docs.append((i, text))
+    rows = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in
+            secret_scan.secret_spans(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    hits = sum(("model", *planted[i]) in rows[i] for i in planted)
+    clean = sum(any(k == "model" for k, *_ in rows[i]) for i in range(300) if i % 3 != 1)
+    assert hits >= 0.9 * len(planted) and clean <= 20
+
+
+def test_secret_spans_odd(spark, odd, none):
+    """Base spans as the rules say, on one finding of each kind; other spans are the network's and touch no rule's."""
+    got = Counter((r.doc_id, tuple((s.kind, s.start, s.end) for s in r.spans if s.kind != "model")) for r in
                   secret_scan.secret_spans(odd).collect())
     want = Counter((d, tuple((secret_scan.KINDS[k], a, b) for a, k, b in plain_base(t))) for d, t, _, _ in odd_rows())
     assert got == want
     assert secret_scan.secret_spans(none).count() == 0
+    plain = spark.createDataFrame([(1, "nothing to find here, candidates notwithstanding"), (2, None)], "doc_id long, text string")
+    assert all(r.spans == [] for r in secret_scan.secret_spans(plain).collect())
 
 
 def test_secret_query(spark):
@@ -276,3 +324,14 @@ def test_held_out_rule(spark):
     got = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "doc_id long").select("doc_id", held_out().alias("x"))
     for r in got.collect():
         assert r.x == (zlib.crc32(b"" if r.doc_id is None else str(r.doc_id).encode()) % 5 == 0)
+
+
+def test_repeated_ids_do_not_grow_the_sample(spark, monkeypatch):
+    """Fifty labelled ids, each on hundreds of rows with other texts: one example for each id."""
+    docs = spark.range(20_000).select((F.col("id") % 50).alias("doc_id"), F.concat(
+        F.when(F.col("id") % 50 < 25, F.lit("you awful fool ")).otherwise(F.lit("a calm day ")), F.col("id").cast("string")).alias("text"))
+    labels = spark.range(50).select(F.col("id").alias("doc_id"), (F.col("id") < 25).cast("int").alias("toxic"))
+    index = toxicity.train(docs, labels, most=50)
+    assert sorted(index.ids) == list(range(50))
+    model = langid.train(docs.withColumn("lang", F.when(F.col("doc_id") < 25, "x").otherwise("y")), most=40)
+    assert model.langs == ["x", "y"]
