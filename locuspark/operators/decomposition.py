@@ -1,7 +1,7 @@
 """Covariance, PCA (fit / transform / inverse), row normalisation and NMF.
 
 The d x d covariance is accumulated on executors (one BLAS product per
-Arrow batch, summed by a grouped aggregate); only d x d numbers reach the
+Arrow batch, added up within the task, then summed by a grouped aggregate); only d x d numbers reach the
 driver, where the eigendecomposition runs.  Scores and reconstructions are
 JVM-side expressions over broadcast literals.
 """
@@ -9,10 +9,12 @@ JVM-side expressions over broadcast literals.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from locuspark.functions.sums import partitions, sum_vectors
+
 MAX_DIM = 4096   # refuse driver-side eigendecomposition above this width
 
 
@@ -40,28 +42,44 @@ def covariance(vectors: DataFrame, features: str = "features", mean=None) -> Dat
     if d > MAX_DIM:
         raise ValueError(f"width {d} too large for a dense covariance")
 
-    def gram(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.vstack(pdf[features].to_numpy()).astype(float) - mu
-            g = x.T @ x
-            ii, jj = np.indices((d, d))
-            yield pd.DataFrame({"i": ii.ravel(), "j": jj.ravel(), "s": g.ravel(),
-                                "n": np.full(d * d, len(pdf), dtype=np.int64)})
+    def gram(x: np.ndarray) -> np.ndarray:
+        c = x - mu
+        return np.append((c.T @ c).ravel(), len(c))
 
     from locuspark.session import spread
-    parts = spread(vectors.select(features)).mapInPandas(gram, "i int, j int, s double, n long")
-    g = parts.groupBy("i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-    return g.select("i", "j", (F.col("s") / (F.col("n") - 1)).alias("cov"))
+    cells = task_sums(spread(vectors.select(features)), features, gram).withColumn(
+        "n", F.max(F.when(F.col("pos") == d * d, F.col("s"))).over(Window.partitionBy()))  # d * d + 1 rows
+    return cells.where(F.col("pos") < d * d).select(
+        F.expr(f"CAST(pos div {d} AS INT)").alias("i"), F.expr(f"CAST(pos % {d} AS INT)").alias("j"),
+        (F.col("s") / (F.col("n") - 1)).alias("cov"))
+
+
+def _task_vectors(vectors: DataFrame, features: str, numbers) -> DataFrame:
+    """``v``: the vectors ``numbers(matrix)`` of a task's Arrow batches, added up; one row a task."""
+    def run(batches):
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                column = batch.column(0)
+                x = column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, -1)
+                part = numbers(x)
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["v"])
+    return vectors.select(features).mapInArrow(run, "v array<double>")
+
+
+def task_sums(vectors: DataFrame, features: str, numbers) -> DataFrame:
+    """``pos, s``: the vectors of all tasks, added up by position."""
+    sums = _task_vectors(vectors, features, numbers)
+    return sums.select(F.posexplode("v").alias("pos", "s")).groupBy("pos").agg(F.sum("s").alias("s"))
 
 
 def _to_matrix(cov: DataFrame) -> np.ndarray:
-    rows = cov.collect()
-    d = max(r["i"] for r in rows) + 1
-    m = np.zeros((d, d))
-    for r in rows:
-        m[r["i"], r["j"]] = r["cov"]
+    cells = cov.toArrow()  # d * d numbers as columns
+    i, j = (cells.column(c).to_numpy() for c in ("i", "j"))
+    m = np.zeros((int(i.max()) + 1,) * 2)
+    m[i, j] = cells.column("cov").to_numpy()
     return m
 
 
@@ -98,12 +116,10 @@ def _dot(x: Column, v) -> Column:
 
 def pca_transform(vectors: DataFrame, mean, comps, features: str = "features", prefix: str = "pc") -> DataFrame:
     """M5: centred projection on each component -> columns pc1..pck."""
-    mu = F.array(*[F.lit(float(x)) for x in mean])
-    xc = F.zip_with(F.col(features), mu, lambda a, b: a - b)
-    out = vectors
+    out = center(vectors, mean, features, "_centred")
     for i, v in enumerate(comps):
-        out = out.withColumn(f"{prefix}{i + 1}", _dot(xc, v))
-    return out
+        out = out.withColumn(f"{prefix}{i + 1}", _dot(F.col("_centred"), v))
+    return out.drop("_centred")
 
 
 def pca_inverse(scores: DataFrame, mean, comps, score_cols, out: str = "reconstruction") -> DataFrame:
@@ -127,139 +143,95 @@ def row_normalize(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 # ---------------------------------------------------------------- NMF
 
-def _gram_and_sums(vectors: DataFrame, features: str):
-    """X^T X (uncentred), sum of squares and entry mean, from one distributed pass."""
-    def part(batches):
-        for pdf in batches:
-            if pdf.empty:
+SWEEPS, INNER_TOL = 200, 1e-6
+
+
+def nonneg_rows(cross: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """Rows w >= 0 that minimise w gram w' / 2 - cross w' each, by cyclic coordinate descent over all rows at once."""
+    w = np.zeros_like(cross)
+    for _ in range(SWEEPS):
+        moved = 0.0
+        for t in range(len(gram)):
+            if gram[t, t] <= 0:
                 continue
-            x = np.vstack(pdf[features].to_numpy()).astype(float)
-            g = x.T @ x
-            d = g.shape[0]
-            ii, jj = np.indices((d, d))
-            yield pd.DataFrame({"i": ii.ravel(), "j": jj.ravel(), "s": g.ravel(),
-                                "tot": np.where(ii.ravel() == 0, x.sum(axis=0)[jj.ravel()], 0.0),
-                                "n": np.where((ii.ravel() == 0) & (jj.ravel() == 0), len(pdf), 0)})
-    agg = (vectors.select(features).mapInPandas(part, "i int, j int, s double, tot double, n long")
-           .groupBy("i", "j").agg(F.sum("s").alias("s"), F.sum("tot").alias("tot"), F.sum("n").alias("n"))
-           .collect())
-    d = max(r["i"] for r in agg) + 1
-    g = np.zeros((d, d))
-    colsum = np.zeros(d)
-    n = 0
-    for r in agg:
-        g[r["i"], r["j"]] = r["s"]
-        if r["i"] == 0:
-            colsum[r["j"]] = r["tot"]
-        n += r["n"]
-    return g, float(np.trace(g)), float(colsum.sum() / (n * d)), n
-
-
-def nmf(vectors: DataFrame, k: int, max_iter: int = 200, tol: float = 1e-4, features: str = "features",
-        id_col: str = "vec_id", checkpoint_every: int = 10, eps: float = 1e-10):
-    """M8: X ~ W H with W, H >= 0 (Frobenius loss, multiplicative updates).
-
-    Init is NNDSVD with zeros filled by the mean of X ("nndsvda"), from the
-    top-k eigenpairs of X^T X (d x d on the driver).  Each round: W rows are
-    updated on executors with broadcast H and H H^T; W^T X and W^T W (k x d,
-    k x k) are aggregated and H is updated on the driver.  Lineage is cut by
-    reliable checkpoints.  Returns (W DataFrame (id, w), H ndarray, rounds,
-    relative error).
+            new = np.maximum(w[:, t] - (w @ gram[:, t] - cross[:, t]) / gram[t, t], 0.0)
+            moved = max(moved, float(np.abs(new - w[:, t]).max(initial=0.0)))
+            w[:, t] = new
+        if moved <= INNER_TOL * max(1.0, float(np.abs(w).max(initial=0.0))):
+            break
+    return w
+
+
+def _first_components(summed, k: int, gram: np.ndarray, mean: float) -> np.ndarray:
+    """Start of H: of each leading singular pair the sign part that carries more, zeros filled with the mean.
+
+    The right vectors come from the d x d Gram matrix; the sizes of the left vectors' parts from one pass over the rows.
     """
-    from locuspark.session import cut_lineage
-    g, sq_norm, x_mean, _ = _gram_and_sums(vectors, features)
-    d = g.shape[0]
+    values, right = np.linalg.eigh(gram)
+    right = right[:, np.argsort(values)[::-1][:k]].T
+    parts = summed(lambda x: np.concatenate(
+        [(np.maximum(s * (x @ right.T), 0.0) ** 2).sum(axis=0) for s in (1, -1)]), 2 * k).reshape(2, -1)
+    sizes = np.sqrt(parts) * np.stack([np.linalg.norm(np.maximum(s * right, 0.0), axis=1) for s in (1, -1)])
+    sign = np.where(sizes[0] >= sizes[1], 1.0, -1.0)
+    h = np.maximum(sign[:, None] * right, 0.0)
+    h[0] = np.abs(right[0])
+    return np.where(h == 0, mean, h)
+
+
+def nmf(vectors: DataFrame, k: int, max_iter: int = 1000, tol: float = 1e-4, features: str = "features",
+        id_col: str = "vec_id"):
+    """M8: X ~ W H with W, H >= 0, least squares, by alternating coordinate descent.
+
+    Given H (k x d, sent along), a row of W depends on its own row of X only, so tasks solve for their rows from H H^T
+    and return the sums W^T W, W^T X alone: one pass a round, no state on executors, and a lost task is
+    simply run again.  H is then swept on the driver, and goes on a little in the direction of its last change; where
+    that raises the error it is taken back.  Rounds end when H's projected gradient, taken before its sweep,
+    has fallen to ``tol`` of the first round's, or after ``max_iter``.
+    Returns (W as a DataFrame of id and w, H, rounds, relative error).
+    """
+    from locuspark.session import cut_lineage, spread
+    data = cut_lineage(spread(vectors.select(id_col, features), id_col))
+    tasks, d = partitions(data), len(data.select(features).first()[0])
     if d > MAX_DIM:
         raise ValueError(f"width {d} too large")
-    evals, evecs = np.linalg.eigh(g)
-    order = np.argsort(evals)[::-1][:k]
-    s = np.sqrt(np.clip(evals[order], 0.0, None))
-    v = evecs[:, order].T                       # k x d (right singular vectors)
-    # left singular vectors per row: u_j = x . v_j / s_j ; positive/negative part norms
-    proj = vectors.select(id_col, features)
-    us = F.array(*[(_dot(F.col(features), v[j]) / F.lit(float(s[j]) if s[j] > 0 else 1.0)) for j in range(k)])
-    proj = proj.withColumn("_u", us)
-    nr = proj.select(*[F.sum(F.greatest(F.col("_u")[j], F.lit(0.0)) ** 2).alias(f"p{j}") for j in range(k)],
-                     *[F.sum(F.least(F.col("_u")[j], F.lit(0.0)) ** 2).alias(f"n{j}") for j in range(k)]).first()
-    h0 = np.zeros((k, d))
-    coef, use_pos = [], []
-    for j in range(k):
-        if j == 0:
-            vj = v[0]
-            sign = 1.0 if vj.sum() >= 0 else -1.0
-            h0[0] = np.sqrt(s[0]) * np.abs(vj)
-            coef.append(np.sqrt(s[0]))
-            use_pos.append(None if sign > 0 else None)
-            continue
-        vp, vn = np.maximum(v[j], 0), np.abs(np.minimum(v[j], 0))
-        up, un = np.sqrt(nr[f"p{j}"]), np.sqrt(nr[f"n{j}"])
-        vpn, vnn = np.linalg.norm(vp), np.linalg.norm(vn)
-        mp, mn = up * vpn, un * vnn
-        if mp > mn:
-            sigma, hv, un_norm, pos = mp, (vp / vpn if vpn > 0 else vp), up, True
-        else:
-            sigma, hv, un_norm, pos = mn, (vn / vnn if vnn > 0 else vn), un, False
-        lbd = np.sqrt(s[j] * sigma)
-        h0[j] = lbd * hv
-        coef.append(lbd / un_norm if un_norm > 0 else 0.0)
-        use_pos.append(pos)
-    h0[h0 == 0] = x_mean
-    wexpr = []
-    for j in range(k):
-        u = F.col("_u")[j]
-        if j == 0:
-            e = F.abs(u) * F.lit(float(coef[0]))
-        elif use_pos[j]:
-            e = F.greatest(u, F.lit(0.0)) * F.lit(float(coef[j]))
-        else:
-            e = F.abs(F.least(u, F.lit(0.0))) * F.lit(float(coef[j]))
-        wexpr.append(F.when(e == 0, F.lit(x_mean)).otherwise(e))
-    cur = cut_lineage(proj.select(id_col, features, F.array(*wexpr).alias("w")))
-    h = h0
-    prev_err = None
-    err = None
-    it = 0
-    for it in range(1, max_iter + 1):
-        hb, hht = h.copy(), h @ h.T
-
-        def upd(batches, hb=hb, hht=hht):
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                x = np.vstack(pdf[features].to_numpy()).astype(float)
-                w = np.vstack(pdf["w"].to_numpy()).astype(float)
-                w = w * (x @ hb.T) / np.maximum(w @ hht, eps)
-                yield pd.DataFrame({id_col: pdf[id_col], features: list(x), "w": list(w)})
-
-        nxt = cur.mapInPandas(upd, cur.schema)
-        nxt = cut_lineage(nxt) if it % checkpoint_every == 0 else nxt.persist()
-
-        def stats(batches):
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                x = np.vstack(pdf[features].to_numpy()).astype(float)
-                w = np.vstack(pdf["w"].to_numpy()).astype(float)
-                m = np.hstack([w.T @ x, w.T @ w])          # k x (d + k)
-                ii, jj = np.indices(m.shape)
-                yield pd.DataFrame({"i": ii.ravel(), "j": jj.ravel(), "s": m.ravel()})
-
-        st = nxt.select("features" if features == "features" else features, "w") \
-            .mapInPandas(stats, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
-        m = np.zeros((k, d + k))
-        for r in st:
-            m[r["i"], r["j"]] = r["s"]
-        wtx, wtw = m[:, :d], m[:, d:]
-        h = h * wtx / np.maximum(wtw @ h, eps)
-        err = max(sq_norm - 2.0 * float(np.sum(h * wtx)) + float(np.sum((wtw @ h) * h)), 0.0)
-        if cur is not nxt:
-            cur.unpersist()
-        cur = nxt
-        if prev_err is not None and prev_err > 0 and (prev_err - err) / prev_err < tol:
+    summed = lambda numbers, width: sum_vectors(_task_vectors(data, features, numbers), tasks, width)
+    sums = summed(lambda x: np.concatenate([(x.T @ x).ravel(), x.sum(axis=0), [len(x)]]), d * d + d + 1)
+    gram = sums[:d * d].reshape(d, d)
+    square = float(np.trace(gram))
+    h = _first_components(summed, k, gram, float(sums[d * d:-1].sum() / (sums[-1] * d)))
+    unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+    h = unit(h)
+    swept, first, before, ahead, most, rounds, error = h, None, np.inf, 0.5, 1.0, 0, 0.0
+    for rounds in range(1, max_iter + 1):
+        own, hh = h, h @ h.T
+
+        def both(x: np.ndarray, own=own, hh=hh) -> np.ndarray:
+            w = nonneg_rows(x @ own.T, hh)
+            return np.concatenate([(w.T @ w).ravel(), (w.T @ x).ravel()])
+        got = summed(both, k * (k + d))
+        ww, wx = got[:k * k].reshape(k, k), got[k * k:].reshape(k, d)
+        slope = ww @ h - wx
+        slope = float(np.abs(np.where(h > 0, slope, np.minimum(slope, 0.0))).sum())
+        error = max(square - 2.0 * float((h * wx).sum()) + float(((ww @ h) * h).sum()), 0.0)
+        first = slope if first is None else first
+        if slope <= tol * first or rounds == max_iter:
             break
-        prev_err = err
-    rel = float(np.sqrt(err) / np.sqrt(sq_norm)) if err is not None and sq_norm > 0 else 0.0
-    return cur.select(id_col, "w"), h, it, rel
+        if error > before:  # went too far: back to the last swept H, and shorter steps
+            h, before, most, ahead = swept, np.inf, max(0.95 * ahead, 0.1), ahead / 1.5
+            continue
+        new, before = unit(nonneg_rows(wx.T, ww).T), error
+        h, swept = unit(np.maximum(new + ahead * (new - swept), 0.0)), new
+        most = min(1.0, 1.01 * most)
+        ahead = min(most, 1.05 * ahead)
+
+    def rows(batches):
+        for batch in batches:
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, -1)
+            w = nonneg_rows(x @ own.T, hh) if len(x) else np.zeros((0, k))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(w), pa.list_(pa.float64()))], ["id", "w"])
+    kind = data.schema[id_col].dataType.simpleString()
+    w = data.mapInArrow(rows, f"id {kind}, w array<double>").withColumnRenamed("id", id_col)
+    return w, own, rounds, float(np.sqrt(error / square)) if square > 0 else 0.0
 
 
 def ancestry_summary(w: DataFrame, groups: DataFrame, id_col: str, group_col: str, k: int,

@@ -777,6 +777,32 @@ def q_scores(spark, d):
     return back.select("id", F.col("quality").between(0.0, 1.0).alias("in_range"))
 
 
+def _checks_sql(*names: str) -> str:
+    """What a query of checks must give: every one of them holds."""
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{n}', true)" for n in names) + ") t(\"check\", ok)"
+
+
+def _checks(spark, **found: bool):
+    return spark.createDataFrame([(n, bool(ok)) for n, ok in found.items()], "check string, ok boolean")
+
+
+@query("model_sgd_checks", _checks_sql("loss_falls", "stops_early", "auc_near_lbfgs", "every_row_scored"))
+def q_sgd(spark, d):
+    """Whether a document has 200 spaces or more, from its other features: stochastic gradient descent against L-BFGS
+    on the same split of all documents."""
+    from locuspark.session import cut_lineage
+    rows = fx.features(spark, d).withColumn("y", (F.col("n_spaces") >= 200).cast("int"))
+    split = cut_lineage(pr.stratified_split(rows, "y", "doc_id", 0.2, 42))
+    tr, va = split.where("NOT is_val").drop("is_val"), split.where("is_val").drop("is_val")
+    num, cats = ["n_chars", "n_digits"], ["lang", "source"]
+    sgd = pr.fit_sgd(tr, num, cats, "y", 2, 1e-3, "doc_id")
+    model, factors, _ = pr.fit_logistic(tr.drop("doc_id"), num, cats, "y", 2, 1e-3)
+    scored = pr.predict_sgd(sgd, va)
+    auc = [pr.roc_auc(x, "score", "y").first()["auc"] for x in (scored, pr.predict_proba(model, factors, va))]
+    return _checks(spark, loss_falls=min(h[0] for h in sgd.history[1:]) < sgd.history[0][0], stops_early=sgd.rounds < 2000,
+                   auc_near_lbfgs=abs(auc[0] - auc[1]) <= 0.01, every_row_scored=scored.where("score BETWEEN 0 AND 1").count() == va.count())
+
+
 @query("label_codes", """
 SELECT doc_id, lang, CAST(dense_rank() OVER (ORDER BY lang) - 1 AS INTEGER) AS code FROM documents""")
 def q_label_codes(spark, d):
@@ -843,9 +869,9 @@ def q_mgm(spark, d):
     return spark.createDataFrame(rows, "component int, prevalence double, rank int")
 
 
-def _nmf(spark, d, max_iter=60):
+def _nmf(spark, d):
     v = fx.vectors(spark, d).withColumn("features", F.transform("features", lambda x: F.abs(x)))
-    return v, dc.nmf(v, 5, max_iter=max_iter, tol=1e-5)
+    return v, dc.nmf(v, 5)
 
 
 @query("nmf_factors")
@@ -974,3 +1000,52 @@ WHERE UP.step >= n - {TREE_K} AND UP.node < n + (n - {TREE_K})""")
 def q_tree_truncated(spark, d):
     merges, n = fx.merges(spark, d)
     return mt.truncate_tree(merges, n, TREE_K)
+
+
+@query("nmf_checks", _checks_sql("converged", "w_not_negative", "h_not_negative", "rows_optimal", "error_as_reported"))
+def q_nmf_checks(spark, d):
+    """Invariants of the factors on all rows: each row of W is optimal for H, and the error is that of the product."""
+    import numpy as np
+    v, (w, h, rounds, rel) = _nmf(spark, d)
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    lit = lambda m: F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in m])
+    j = v.join(w, "vec_id").withColumn("fit", F.transform(lit(h.T), lambda c: dot(c, F.col("w")))).withColumn(
+        "gap", F.zip_with("fit", "features", lambda a, b: a - b))
+    j = j.withColumn("slope", F.transform(lit(h), lambda r: dot(r, F.col("gap"))))
+    worst = F.array_max(F.zip_with("w", "slope", lambda x, g: F.when(x > 1e-9, F.abs(g)).otherwise(F.greatest(-g, F.lit(0.0)))))
+    r = j.agg(F.max(worst).alias("slope"), F.min(F.array_min("w")).alias("least"), F.sum(dot(F.col("gap"), F.col("gap"))).alias("e"),
+              F.sum(dot(F.col("features"), F.col("features"))).alias("x")).first()
+    return _checks(spark, converged=rounds < 1000, w_not_negative=r["least"] >= 0, h_not_negative=bool(np.all(h >= 0)),
+                   rows_optimal=r["slope"] < 1e-3, error_as_reported=abs(math.sqrt(r["e"] / r["x"]) - rel) < 1e-6)
+
+
+@query("ancestry_checks", """
+SELECT label, true AS sums_to_one, true AS largest_first FROM embeddings GROUP BY label""")
+def q_ancestry_checks(spark, d):
+    """Per label the shares add up to 1 (each is rounded to 2 places); over labels the first share is the largest on average."""
+    v, (w, *_) = _nmf(spark, d)
+    shares = dc.ancestry_summary(w, v, "vec_id", "label", 5, digits=2)
+    cols = [f"ancestry{i}" for i in range(1, 6)]
+    means = shares.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    falls = all(means[a] >= means[b] - 0.01 for a, b in zip(cols, cols[1:]))
+    return shares.select("label", (F.abs(sum(F.col(c) for c in cols) - 1) < 0.026).alias("sums_to_one"),
+                         F.lit(falls).alias("largest_first"))
+
+
+@query("pca_space_checks", _checks_sql("scores_centred", "scores_uncorrelated", "variances_are_eigenvalues",
+                                       "left_out_variance"))
+def q_pca_space(spark, d):
+    """Scores on 8 components and the reconstruction from them, in all 64 dimensions and on all rows."""
+    v = fx.vectors(spark, d)
+    n, dim, k = v.count(), len(v.first()["features"]), 8
+    mu, comps, evals, _ = dc.pca_fit(v, dim)
+    cols = [f"pc{i + 1}" for i in range(k)]
+    both = dc.pca_inverse(dc.pca_transform(v, mu, comps[:k]), mu, comps[:k], cols, "part")
+    gap = F.aggregate(F.zip_with("features", "part", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    r = both.agg(F.sum(gap).alias("e"), *[F.avg(c).alias(f"m_{c}") for c in cols], *[F.var_samp(c).alias(f"v_{c}") for c in cols],
+                 *[F.corr(cols[i], cols[j]).alias(f"r_{i}_{j}") for i in range(k) for j in range(i)]).first()
+    return _checks(
+        spark, scores_centred=max(abs(r[f"m_{c}"]) for c in cols) < 1e-9,
+        scores_uncorrelated=max(abs(r[f"r_{i}_{j}"]) for i in range(k) for j in range(i)) < 1e-6,
+        variances_are_eigenvalues=max(abs(r[f"v_{c}"] - e) / e for c, e in zip(cols, evals)) < 1e-9,
+        left_out_variance=abs(r["e"] / (n - 1) - evals[k:].sum()) < 1e-6 * evals.sum())

@@ -254,6 +254,11 @@ def _text_features(docs: DataFrame, *more) -> DataFrame:
         "lang", "source", *more)
 
 
+def features(spark, sf_dir) -> DataFrame:
+    """Features of all documents."""
+    return _text_features(spread(table(spark, sf_dir, "documents"), "doc_id"))
+
+
 def labelled(spark, sf_dir) -> DataFrame:
     """Features of the documents with a quality label, and the label as ``y``."""
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))

@@ -34,6 +34,63 @@ def test_nmf_nonnegative(spark):
     assert w.where(F.exists("w", lambda x: x < 0)).count() == 0
 
 
+def test_nonneg_rows_against_all_supports():
+    """Each row against the least squares of every support."""
+    from itertools import combinations
+    rng = np.random.default_rng(1)
+    h, x = rng.random((3, 6)), rng.normal(0.3, 1, (40, 6))
+    got = dc.nonneg_rows(x @ h.T, h @ h.T)
+    for row, w in zip(x, got):
+        best = float(row @ row)
+        for n in (1, 2, 3):
+            for pick in combinations(range(3), n):
+                sol = np.linalg.lstsq(h[list(pick)].T, row, rcond=None)[0]
+                if (sol >= 0).all():
+                    best = min(best, float(((row - sol @ h[list(pick)]) ** 2).sum()))
+        assert (w >= 0).all() and abs(((row - w @ h) ** 2).sum() - best) < 1e-6
+
+
+def test_nmf_finds_exact_factors(spark):
+    """Rows that are mixtures of two known parts: the error goes to nothing, and so does a zero matrix's."""
+    rng = np.random.default_rng(5)
+    x = rng.random((60, 2)) @ np.array([[1, 2, 0, 0, 1.0], [0, 0, 3, 1, 1.0]])
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, features array<double>").repartition(4)
+    w, h, rounds, rel = dc.nmf(df, 2, max_iter=40, tol=1e-6)
+    assert rel < 0.05 and rounds <= 40
+    got = np.array([r.w for r in w.orderBy("vec_id").collect()]) @ h
+    assert np.abs(got - x).max() < 0.3
+    zero = df.withColumn("features", F.transform("features", lambda v: F.lit(0.0)))
+    assert dc.nmf(zero, 2)[3] == 0.0
+
+
+def test_sgd_step_against_plain():
+    """One mini-batch step against the derivative taken number by number."""
+    rng = np.random.default_rng(2)
+    x, y, weight, w, alpha = rng.normal(size=(7, 3)), rng.integers(0, 2, 7).astype(float), rng.random(7) + 0.5, rng.normal(size=4), 0.01
+
+    def loss(c):
+        z = x @ c[:-1] + c[-1]
+        return float(((np.logaddexp(0, z) - y * z) * weight).mean() + alpha / 2 * (c[:-1] ** 2).sum())
+    slope = np.array([(loss(w + e) - loss(w - e)) / 2e-6 for e in np.eye(4) * 1e-6])
+    first = 1 / (1 + alpha ** 0.5)
+    for step in (0, 10):
+        rate = 1 / (1 / first + alpha * step)
+        assert np.allclose(pr.sgd_step(w, x, y, weight, alpha, step), w - rate * slope, atol=1e-6)
+
+
+def test_sgd_model(spark):
+    """Separable classes of unequal size: near the L-BFGS model, early stop, and the same result when run again."""
+    rng = np.random.default_rng(3)
+    rows = [(i, float(a), float(b), "u" if i % 2 else "v", int(a + 0.5 * b + 0.3 * n > 0.8))
+            for i, (a, b, n) in enumerate(rng.normal(size=(1500, 3)))]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c string, y int").repartition(4)
+    model = pr.fit_sgd(df, ["a", "b"], ["c"], "y", 2, 1e-3, "id")
+    assert 5 <= model.rounds < 200 and min(h[0] for h in model.history[1:]) < 0.5 * model.history[0][0]
+    other, factors, _ = pr.fit_logistic(df.drop("id"), ["a", "b"], ["c"], "y", 2, 1e-3)
+    auc = [pr.roc_auc(x, "score", "y").first().auc for x in (pr.predict_sgd(model, df), pr.predict_proba(other, factors, df))]
+    assert abs(auc[0] - auc[1]) < 0.01 and auc[0] > 0.95
+
+
 def test_cut_tree_keeps_ties_together(spark):
     """Two merges of equal height: asking for 3 of 4 leaves gives 2 clusters."""
     merges = spark.createDataFrame([(0, 0, 1, 1.0), (1, 2, 3, 1.0), (2, 4, 5, 2.0)],
