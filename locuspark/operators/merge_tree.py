@@ -2,7 +2,8 @@
 
 ``merges``: step (0-based, in order of height), left, right, height.  Leaves are
 nodes 0..n-1, and step i makes node n+i.  Work goes by pointer doubling, so the
-number of rounds is the logarithm of the depth, each cut by a checkpoint.
+number of rounds is the logarithm of the depth (for sizes, of the number of nodes), each
+cut by a checkpoint, and no ancestor pairs are formed.
 """
 
 from __future__ import annotations
@@ -49,17 +50,36 @@ def cut_tree(merges: DataFrame, n: int, k: int) -> DataFrame:
 
 
 def subtree_sizes(merges: DataFrame, n: int) -> DataFrame:
-    """(node, size) of every made node: its leaves, counted along doubled ancestor paths."""
-    step = _parents(merges, n)
-    reach = cut_lineage(step)  # (node, ancestor) at distances up to 2^i
-    frontier, length = step, 1
-    while not frontier.isEmpty():
-        hop = frontier.select(F.col("node").alias("up"), F.col("up").alias("higher"))
-        longer = reach.join(hop, "up").select("node", F.col("higher").alias("up"))
-        frontier = cut_lineage(frontier.join(hop, "up").select("node", F.col("higher").alias("up")))  # exactly 2*length
-        reach = cut_lineage(reach.union(longer))
-        length *= 2
-    return reach.where(F.col("node") < n).groupBy(F.col("up").alias("node")).agg(F.count(F.lit(1)).alias("size"))
+    """(node, size) of every made node: its leaves, from an Euler tour ranked by pointer doubling.
+
+    The tour enters and leaves every node but the root once.  Each of its steps knows the next one; doubling the
+    jumps gives the number of leaves entered from a step to the end, and a node's size is the difference between
+    entering and leaving it.  There are two rows a node at all times, however deep the tree.
+    """
+    enter, leave = (lambda x: 2 * x), (lambda x: 2 * x + 1)
+    made = F.col("step") + n
+    left, right = F.col("left"), F.col("right")
+    root = 2 * n - 2
+    row = lambda e, to, leaves: F.struct(e.cast("long").alias("e"), to.cast("long").alias("to"), leaves.cast("long").alias("s"))
+    entered = lambda x: (x < n).cast("long")
+    tour = merges.select(F.explode(F.array(
+        row(leave(left), enter(right), F.lit(0)),
+        row(leave(right), F.when(made != root, leave(made)), F.lit(0)),
+        row(enter(made), enter(left), F.lit(0)),
+        row(enter(left), F.when(left < n, leave(left)), entered(left)),
+        row(enter(right), F.when(right < n, leave(right)), entered(right)))).alias("x")).select("x.*")
+    # a made node is named as a child (next step unknown there) and by its own merge: one row of both
+    tour = cut_lineage(tour.groupBy("e").agg(F.max("to").alias("to"), F.max("s").alias("s")))
+    while True:
+        open_ = tour.where("to IS NOT NULL")
+        if open_.isEmpty():
+            break
+        ahead = tour.select(F.col("e").alias("to"), F.col("to").alias("far"), F.col("s").alias("more"))
+        tour = cut_lineage(tour.where("to IS NULL").unionByName(open_.join(ahead, "to").select(
+            "e", F.col("far").alias("to"), (F.col("s") + F.col("more")).alias("s"))))
+    node = F.expr("e div 2")
+    size = F.sum(F.when(F.col("e") % 2 == 0, F.col("s")).otherwise(-F.col("s")))
+    return tour.groupBy(node.alias("node")).agg(size.alias("size")).where(F.col("node") >= n)
 
 
 def truncate_tree(merges: DataFrame, n: int, p: int) -> DataFrame:

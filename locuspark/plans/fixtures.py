@@ -282,13 +282,30 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
 # ---------------------------------------------------------------- merge trees
 
 def merges(spark, sf_dir):
-    """A merge table over the parts, and their number: step i joins nodes 2i and 2i+1; three steps share a height."""
-    n = table(spark, sf_dir, "part").count()
-    i = F.col("id")
-    steps = spark.range(max(n - 1, 0)).select(i.alias("step"), (2 * i).alias("left"), (2 * i + 1).alias("right"),
-                                              F.floor(i / 3).cast("double").alias("height"))
+    """A merge table over the parts, and their number: parts join one cluster in order of price, the dearer the higher.
+
+    Leaves are numbered by part key; a merge's height is the price in cents, so parts of one price merge at one height.
+    """
+    from locuspark.operators.asof import running_sum
+    from locuspark.session import cut_lineage
+    p = table(spark, sf_dir, "part").select(
+        "p_partkey", F.round(F.col("p_retailprice") * 100).cast("bigint").alias("cents"), F.lit(1).alias("one"))
+    p = cut_lineage(p.withColumn("by_price", F.col("cents") * (1 << 31) + F.col("p_partkey")))
+    p = running_sum(running_sum(p, "p_partkey", "one", "leaf"), "by_price", "one", "place")  # from 1
+    p = cut_lineage(p.select((F.col("leaf") - 1).alias("leaf"), (F.col("place") - 1).alias("place"), "cents"))
+    n = p.count()
+    step = F.col("place") - 1
+    first = p.where("place = 0").agg(F.coalesce(F.max("leaf"), F.lit(0))).first()[0]  # one number
+    steps = p.where("place > 0").select(
+        step.alias("step"), F.when(step == 0, F.lit(first)).otherwise(n + step - 1).alias("left"),
+        F.col("leaf").alias("right"), F.col("cents").cast("double").alias("height"))
     return steps, n
 
 
-MERGES_SQL = """SELECT i AS step, 2 * i AS "left", 2 * i + 1 AS "right", CAST(i // 3 AS DOUBLE) AS height
-FROM (SELECT unnest(range(count(*) - 1)) AS i FROM part) t"""
+MERGES_SQL = """SELECT place - 1 AS step, CASE WHEN place = 1 THEN first ELSE n + place - 2 END AS "left", leaf AS "right",
+       CAST(cents AS DOUBLE) AS height
+FROM (SELECT leaf, place, cents, count(*) OVER () AS n, min(CASE WHEN place = 0 THEN leaf END) OVER () AS first
+      FROM (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS leaf, cents,
+                   row_number() OVER (ORDER BY cents, p_partkey) - 1 AS place
+            FROM (SELECT p_partkey, CAST(round(p_retailprice * 100) AS BIGINT) AS cents FROM part) x) y) z
+WHERE place > 0"""

@@ -103,7 +103,7 @@ def test_cut_tree_keeps_ties_together(spark):
 
 
 def test_deep_tree(spark):
-    n = 40  # a chain: step i joins leaf i + 1 to all before
+    n = 700  # a chain: step i joins leaf i + 1 to all before
     rows = [(i, 0 if i == 0 else n + i - 1, i + 1, float(i)) for i in range(n - 1)]
     merges = spark.createDataFrame(rows, "step long, left long, right long, height double")
     assert {r.node: r["size"] for r in mt.subtree_sizes(merges, n).collect()} == {n + i: i + 2 for i in range(n - 1)}
@@ -164,3 +164,19 @@ def test_auc_and_anova(spark):
     ssb = len(a) * (a.mean() - allx.mean()) ** 2 + len(b) * (b.mean() - allx.mean()) ** 2
     ssw = ((a - a.mean()) ** 2).sum() + ((b - b.mean()) ** 2).sum()
     assert abs(f - (ssb / 1) / (ssw / 3)) < 1e-9
+
+
+def test_random_trees(spark):
+    """Sizes of every node against counting, for trees of any shape and the smallest ones."""
+    import random
+    rng = random.Random(8)
+    for n in (2, 3, 50):
+        alive, rows, leaves = list(range(n)), [], {i: 1 for i in range(n)}
+        for step in range(n - 1):
+            a, b = (alive.pop(rng.randrange(len(alive))) for _ in range(2))
+            rows.append((step, a, b, float(step)))
+            alive.append(n + step)
+            leaves[n + step] = leaves[a] + leaves[b]
+        merges = spark.createDataFrame(rows, "step long, left long, right long, height double")
+        got = {r.node: r["size"] for r in mt.subtree_sizes(merges, n).collect()}
+        assert got == {k: v for k, v in leaves.items() if k >= n}
