@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from locuspark.session import cut_lineage
+from locuspark.session import cut_lineage, saved
 
 
 def _parents(merges: DataFrame, n: int) -> DataFrame:
@@ -49,6 +49,23 @@ def cut_tree(merges: DataFrame, n: int, k: int) -> DataFrame:
     return homes.join(F.broadcast(names), "top").select("leaf", "cluster")
 
 
+def suffix_sums(steps: DataFrame) -> DataFrame:
+    """Lists ranked by pointer doubling: ``s`` of each step becomes the sum from it to the end of its list.
+
+    ``steps``: e (unique, of any type), to (the next step; null at an end), s.  Each round doubles the jumps, so there are
+    as many rounds as the length of the longest list has bits; steps in a circle are an error.
+    """
+    steps = saved(steps)
+    for _ in range(steps.count().bit_length() + 1):
+        open_ = steps.where("to IS NOT NULL")
+        if open_.isEmpty():
+            return steps
+        ahead = steps.select(F.col("e").alias("to"), F.col("to").alias("far"), F.col("s").alias("more"))
+        steps = saved(steps.where("to IS NULL").unionByName(open_.join(ahead, "to").select(
+            "e", F.col("far").alias("to"), (F.col("s") + F.col("more")).alias("s"))))
+    raise ValueError("the steps run in a circle")
+
+
 def subtree_sizes(merges: DataFrame, n: int) -> DataFrame:
     """(node, size) of every made node: its leaves, from an Euler tour ranked by pointer doubling.
 
@@ -69,14 +86,7 @@ def subtree_sizes(merges: DataFrame, n: int) -> DataFrame:
         row(enter(left), F.when(left < n, leave(left)), entered(left)),
         row(enter(right), F.when(right < n, leave(right)), entered(right)))).alias("x")).select("x.*")
     # a made node is named as a child (next step unknown there) and by its own merge: one row of both
-    tour = cut_lineage(tour.groupBy("e").agg(F.max("to").alias("to"), F.max("s").alias("s")))
-    while True:
-        open_ = tour.where("to IS NOT NULL")
-        if open_.isEmpty():
-            break
-        ahead = tour.select(F.col("e").alias("to"), F.col("to").alias("far"), F.col("s").alias("more"))
-        tour = cut_lineage(tour.where("to IS NULL").unionByName(open_.join(ahead, "to").select(
-            "e", F.col("far").alias("to"), (F.col("s") + F.col("more")).alias("s"))))
+    tour = suffix_sums(tour.groupBy("e").agg(F.max("to").alias("to"), F.max("s").alias("s")))
     node = F.expr("e div 2")
     size = F.sum(F.when(F.col("e") % 2 == 0, F.col("s")).otherwise(-F.col("s")))
     return tour.groupBy(node.alias("node")).agg(size.alias("size")).where(F.col("node") >= n)

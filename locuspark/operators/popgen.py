@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locuspark.functions.rng import hash60
-from locuspark.session import cut_lineage
+from locuspark.operators.intervals import interval_overlap_pairs
+from locuspark.operators.merge_tree import suffix_sums
+from locuspark.session import cut_lineage, saved
 
 
 def harmonic(n: Column) -> Column:
@@ -94,28 +94,76 @@ def leaf_nodes(nodes: DataFrame) -> DataFrame:
     return nodes.select("tree_id", "node").join(kids, ["tree_id", "node"], "left_anti")
 
 
+SIBLING_BUCKETS = 64  # shares that the children of one node are ordered in
+
+
+def _siblings(nodes: DataFrame) -> DataFrame:
+    """Nodes with their next sibling, in the order of (share, node); the children of a large node are ordered in shares."""
+    family = ["tree_id", "parent"]
+    dealt = nodes.withColumn("share", F.pmod(F.xxhash64("node"), F.lit(SIBLING_BUCKETS)))
+    own = dealt.withColumn("sib", F.lead("node").over(Window.partitionBy(*family, "share").orderBy("node")))
+    heads = dealt.groupBy(*family, "share").agg(F.min("node").alias("head"))  # at most 64 rows a node
+    heads = heads.withColumn("head", F.lead("head").over(Window.partitionBy(*family).orderBy("share"))).where("head IS NOT NULL")
+    o, h = own.alias("o"), heads.alias("h")
+    return o.join(h, F.expr("o.tree_id = h.tree_id AND o.parent <=> h.parent AND o.share = h.share AND o.sib IS NULL"), "left").select(
+        "o.tree_id", "o.node", "o.parent", "o.share", F.coalesce("o.sib", "h.head").alias("sib"))
+
+
+def leaf_ranges(nodes: DataFrame) -> DataFrame:
+    """Preorder numbers of the leaves: (tree_id, node, lo, hi, leaf), where a node's leaves are those numbered lo to hi - 1.
+
+    ``nodes``: tree_id, node (unique in its tree), parent (a node of the tree, or null); several roots are allowed, rows with a
+    null tree_id or node are left out, and a circle of parents is an error.  All trees' Euler tours are ranked at once by
+    pointer doubling, two rows a node, in as many rounds as the largest tree's number of nodes has bits.
+    """
+    nodes = saved(nodes.where("tree_id IS NOT NULL AND node IS NOT NULL").select("tree_id", "node", "parent"))
+    sib = saved(_siblings(nodes))
+    first = sib.where("parent IS NOT NULL").groupBy("tree_id", F.col("parent").alias("node")).agg(
+        F.min(F.struct("share", "node"))["node"].alias("child"))
+    step = lambda node, out: F.struct("tree_id", F.col(node).alias("node"), F.lit(out).alias("out"))
+    row = lambda e, to, s: F.struct(e.alias("e"), to.alias("to"), s.cast("long").alias("s"))
+    tour = sib.join(first, ["tree_id", "node"], "left").select(F.explode(F.array(
+        row(step("node", False), F.when(F.col("child").isNull(), step("node", True)).otherwise(step("child", False)),
+            F.col("child").isNull()),
+        row(step("node", True), F.when(F.col("sib").isNotNull(), step("sib", False)).when(
+            F.col("parent").isNotNull(), step("parent", True)), F.lit(0)))).alias("x")).select(
+                "x.*", (F.col("x.s") == 1).alias("leaf"))
+    tour = saved(tour)
+    ranked = suffix_sums(tour.drop("leaf"))
+    bounds = ranked.groupBy("e.tree_id", "e.node").agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
+    leaves = tour.where("leaf").select("e.tree_id", "e.node", F.lit(True).alias("leaf"))
+    return bounds.join(leaves, ["tree_id", "node"], "left").select(
+        "tree_id", "node", "lo", "hi", F.coalesce("leaf", F.lit(False)).alias("leaf"))
+
+
+def _leaves_in(ranges: DataFrame, wanted: DataFrame, *payload: str) -> DataFrame:
+    """(tree_id, payload..., hap) for every leaf in the range lo to hi - 1 of a ``wanted`` row."""
+    pairs = interval_overlap_pairs(
+        wanted.select(F.struct(*payload).alias("region_id"), F.col("tree_id").alias("chrom"), F.col("lo").alias("start"),
+                      F.col("hi").alias("end")),
+        ranges.where("leaf").select(F.col("node").alias("region_id"), F.col("tree_id").alias("chrom"),
+                                    F.col("lo").alias("start"), F.col("hi").alias("end")))
+    return pairs.select(F.col("chrom").alias("tree_id"), "a_id.*", F.col("b_id").alias("hap"))
+
+
 def leaf_descendants(nodes: DataFrame) -> DataFrame:
     """(tree_id, node, leaf) for every node and every leaf below it (a leaf
-    is its own descendant).  Walks every leaf upward one parent per round (one
-    join per round, all trees at once); each round's front is written to the
-    checkpoint folder, so no round is computed twice.
+    is its own descendant): a range join of the nodes with the numbered leaves (see :func:`leaf_ranges`).
     """
-    par = nodes.where(F.col("parent").isNotNull()).select("tree_id", "node", "parent")
-    front = cut_lineage(leaf_nodes(nodes).select("tree_id", "node", F.col("node").alias("leaf")))
-    fronts = [front]
-    while True:
-        front = cut_lineage(front.join(par, ["tree_id", "node"]).select(
-            "tree_id", F.col("parent").alias("node"), "leaf"))
-        if front.isEmpty():
-            return reduce(DataFrame.unionByName, fronts)
-        fronts.append(front)
-
-
-def mutations_to_haplotypes(mutations: DataFrame, descendants: DataFrame) -> DataFrame:
+    ranges = saved(leaf_ranges(nodes))
+    return _leaves_in(ranges, ranges, "node").withColumnRenamed("hap", "leaf")
+
+
+def mutations_to_haplotypes(mutations: DataFrame, ranges: DataFrame) -> DataFrame:
     """Each mutation (tree_id, node, site) gives the derived allele to all
-    leaves under the node; repeat hits stay 1."""
-    j = mutations.join(descendants, ["tree_id", "node"])
-    return j.select("tree_id", F.col("leaf").alias("hap"), "site").distinct().withColumn("allele", F.lit(1))
+    leaves under the node; repeat hits stay 1.
+
+    ``ranges`` are those of :func:`leaf_ranges`: a mutation takes its node's range and meets
+    its leaves in a range join, so (node, leaf) pairs are made for mutated nodes only.
+    """
+    hit = mutations.select("tree_id", "node", "site").distinct().join(ranges.select("tree_id", "node", "lo", "hi"), ["tree_id", "node"])
+    wanted = saved(hit.select("tree_id", "site", "lo", "hi"))
+    return _leaves_in(ranges, wanted, "site").select("tree_id", "hap", "site").distinct().withColumn("allele", F.lit(1))
 
 
 # ---------------------------------------------------------------- weighted draws

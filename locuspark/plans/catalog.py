@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from locuspark.functions.rng import hash60_sql
 from locuspark.plans import fixtures as fx
+from locuspark.session import saved
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -469,10 +470,10 @@ SELECT ag.tree_id, CAST(CASE WHEN n < 2 THEN 0 ELSE s END AS BIGINT) AS segregat
 FROM AG ag LEFT JOIN MC mc USING (tree_id)""")
 def q_tree_div(spark, d):
     nodes = fx.tree_nodes(spark, d)
-    desc = pg.leaf_descendants(nodes)
+    ranges = saved(pg.leaf_ranges(nodes))
     muts = fx.mutations(spark, d, nodes)
-    haps = pg.mutations_to_haplotypes(muts, desc)
-    sizes = pg.leaf_nodes(nodes).groupBy("tree_id").agg(F.count(F.lit(1)).alias("n"))
+    haps = pg.mutations_to_haplotypes(muts, ranges)
+    sizes = ranges.where("leaf").groupBy("tree_id").agg(F.count(F.lit(1)).alias("n"))
     div = pg.diversity(haps, ["tree_id"], "n", fx.SEQ_LEN, group_sizes=sizes)
     mc = muts.groupBy("tree_id").agg(F.count(F.lit(1)).alias("mutation_count"))
     r = div.join(mc, "tree_id", "left")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +69,17 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def saved(df):
+    """The rows as a Parquet table in the checkpoint folder, read again.
+
+    For loops of joins: a checkpoint keeps the estimated size of its plan, which a join multiplies, so after
+    some rounds the estimates alone take minutes; a table has its real size.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df, *cols):
     """Deal rows anew before per-row heavy work (Python batches, md5 draws, codon scans).
 

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from locuspark.operators import asof, popgen as pg
@@ -35,6 +38,49 @@ def test_trees(spark):
     assert d == [(1, 3), (1, 4), (1, 5), (2, 4), (2, 5), (3, 3), (4, 4), (5, 5)]
 
 
+def _leaves_below(nodes):
+    """(tree, node) -> its leaves, from the rows (tree, node, parent)."""
+    kids = {}
+    for t, x, p in nodes:
+        kids.setdefault((t, p), []).append(x)
+    out = {}
+    for t, x, _ in reversed(nodes):  # parents come before their children
+        below = kids.get((t, x))
+        out[t, x] = set().union(*(out[t, c] for c in below)) if below else {x}
+    return out
+
+
+def test_leaf_ranges_and_haplotypes(spark):
+    """Random trees, a star, a forest with several roots and a chain, against sets."""
+    draw = random.Random(5)
+    nodes = [(1, i, draw.randrange(i) if i else None) for i in range(60)]
+    nodes += [(2, i, 0 if i else None) for i in range(150)] + [(3, i, None if i < 4 else draw.randrange(i)) for i in range(40)]
+    nodes += [(4, i, i - 1 if i else None) for i in range(30)] + [(5, 7, None)]
+    below = _leaves_below(nodes)
+    df = spark.createDataFrame(nodes + [(None, 1, None), (1, None, 3)], "tree_id long, node long, parent long")
+    got = {(r.tree_id, r.node): r for r in pg.leaf_ranges(df).collect()}
+    assert set(got) == set(below)
+    place = {(t, x): r.lo for (t, x), r in got.items() if r.leaf}
+    for (t, x), leaves in below.items():
+        r = got[t, x]
+        assert r.leaf == (leaves == {x}) and {place[t, y] for y in leaves} == set(range(r.lo, r.hi))
+    pairs = sorted(map(tuple, pg.leaf_descendants(df).select("tree_id", "node", "leaf").collect()))
+    assert pairs == sorted((t, x, y) for (t, x), leaves in below.items() for y in leaves)
+    muts = [(t, x, draw.randrange(3)) for t, x, _ in draw.choices(nodes, k=60)] * 2 + [(9, 1, 1), (1, 999, 0)]
+    haps = pg.mutations_to_haplotypes(spark.createDataFrame(muts, "tree_id long, node long, site long"), pg.leaf_ranges(df))
+    want = {(t, y, s) for t, x, s in muts for y in below.get((t, x), ())}
+    assert sorted(map(tuple, haps.select("tree_id", "hap", "site").collect())) == sorted(want)
+
+
+def test_chain_of_10_000_nodes(spark):
+    chain = spark.range(10_000).select(F.lit(1).alias("tree_id"), F.col("id").alias("node"),
+                                       F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"))
+    ranges = pg.leaf_ranges(chain)
+    assert ranges.where("lo = 0 AND hi = 1").count() == 10_000 and ranges.where("leaf").first().node == 9_999
+    with pytest.raises(ValueError):
+        pg.leaf_ranges(spark.createDataFrame([(1, 0, 1), (1, 1, 0)], "tree_id long, node long, parent long"))
+
+
 def test_weighted_sample_exact(spark):
     items = spark.createDataFrame([(1, 3), (2, 0), (3, 5), (4, 2)], "item long, w long")
     draws = spark.createDataFrame([(i,) for i in range(200)], "draw_id long")
