@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from locuspark.functions.sums import partitions, sum_vectors
 
-MAX_DIM = 4096   # refuse driver-side eigendecomposition above this width
+MAX_DIM = 4096   # widest dense d x d matrix; beyond, pca_fit works on d x (k + EXTRA) numbers
+EXTRA, MAX_PASSES, RITZ_TOL = 10, 300, 1e-10  # wide vectors: extra directions, passes at most, change of the eigenvalues at the end
 
 
 def column_means(vectors: DataFrame, features: str = "features") -> np.ndarray:
@@ -40,7 +41,7 @@ def covariance(vectors: DataFrame, features: str = "features", mean=None) -> Dat
     mu = column_means(vectors, features) if mean is None else np.asarray(mean, dtype=float)
     d = len(mu)
     if d > MAX_DIM:
-        raise ValueError(f"width {d} too large for a dense covariance")
+        raise ValueError(f"width {d}: the covariance table would have {d * d} cells; pca_fit works without it")
 
     def gram(x: np.ndarray) -> np.ndarray:
         c = x - mu
@@ -88,20 +89,59 @@ def pca_fit(vectors: DataFrame, k: int, features: str = "features"):
 
     Eigenpairs sorted by eigenvalue descending; each component's sign is
     fixed so its largest-magnitude loading is positive.  Ratio = lambda_i /
-    sum of all eigenvalues.
+    sum of all eigenvalues.  Vectors wider than ``MAX_DIM`` go to :func:`pca_fit_wide`.
     """
     mu = column_means(vectors, features)
+    if len(mu) > MAX_DIM:
+        return pca_fit_wide(vectors, k, features, mean=mu)
     c = _to_matrix(covariance(vectors, features, mu))
     evals, evecs = np.linalg.eigh(c)
     order = np.argsort(evals)[::-1]
     evals, evecs = evals[order], evecs[:, order]
-    comps = evecs[:, :k].T.copy()
-    for i in range(comps.shape[0]):
-        if comps[i, np.argmax(np.abs(comps[i]))] < 0:
-            comps[i] = -comps[i]
     total = float(evals.sum())
     ratios = evals[:k] / total if total > 0 else np.zeros(k)
-    return mu, comps, evals[:k], ratios
+    return mu, _signed(evecs[:, :k].T), evals[:k], ratios
+
+
+def _signed(comps: np.ndarray) -> np.ndarray:
+    """Each component with its largest-magnitude loading positive."""
+    largest = np.take_along_axis(comps, np.abs(comps).argmax(axis=1)[:, None], axis=1)
+    return np.where(largest < 0, -comps, comps)
+
+
+def pca_fit_wide(vectors: DataFrame, k: int, features: str = "features", seed: int = 1, mean=None, tol: float = RITZ_TOL,
+                 max_passes: int = MAX_PASSES):
+    """M4 for wide vectors, as :func:`pca_fit`, without a d x d matrix anywhere.
+
+    A randomised range finder: k + ``EXTRA`` seeded random directions are multiplied by the covariance C, made
+    orthonormal (QR of a d x (k + EXTRA) matrix), and so on.  Products with C are sums over the rows, so a pass sends the
+    directions along and each task returns d x (k + EXTRA) sums.  Each pass gives the eigenvalues of C within
+    the directions; passes end when the first k change by no more than ``tol`` of the largest, or after ``max_passes``.
+    """
+    from locuspark.session import cut_lineage, spread
+    mu = column_means(vectors, features) if mean is None else np.asarray(mean, dtype=float)
+    data, d = cut_lineage(spread(vectors.select(features))), len(mu)
+    tasks, width = partitions(data), min(k + EXTRA, len(mu))
+    square, n = sum_vectors(_task_vectors(data, features, lambda x: np.array([((x - mu) ** 2).sum(), len(x)])), tasks, 2)
+    total, q = square / (n - 1), np.linalg.qr(np.random.default_rng(seed).standard_normal((d, width)))[0]
+    values = np.full(width, np.inf)
+    for _ in range(max_passes):
+        sent = data.sparkSession.sparkContext.broadcast(q)  # d x (k + EXTRA) numbers
+
+        def product(x: np.ndarray, sent=sent) -> np.ndarray:
+            c = x - mu
+            return (c.T @ (c @ sent.value)).ravel()
+        cq = sum_vectors(_task_vectors(data, features, product), tasks, d * width).reshape(d, width) / (n - 1)
+        inside = q.T @ cq
+        before, (values, turn) = values, np.linalg.eigh((inside + inside.T) / 2)
+        values, turn = values[::-1], turn[:, ::-1]
+        comps = (q @ turn[:, :k]).T
+        sent.unpersist()
+        if np.abs(values[:k] - before[:k]).max(initial=0.0) <= tol * max(values[0], 1e-300):
+            break
+        q = np.linalg.qr(cq @ turn)[0]
+    ratios = values[:k] / total if total > 0 else np.zeros(k)
+    return mu, _signed(comps), values[:k], ratios
 
 
 def components_df(spark, comps, evals, ratios) -> DataFrame:

@@ -588,62 +588,75 @@ def q_cov(spark, d):
     return dc.covariance(fx.vectors(spark, d)).withColumn("cov", F.round("cov", 6) + F.lit(0.0))
 
 
-def _vec2(spark, d):
-    return fx.vectors(spark, d).withColumn("features", F.slice("features", 1, 2))
-
-
-P2_CTE = """X AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1 FROM embeddings),
-M AS (SELECT avg(x0) AS m0, avg(x1) AS m1, covar_samp(x0, x0) AS a, covar_samp(x0, x1) AS b, covar_samp(x1, x1) AS c FROM X),
-EV AS (SELECT *, (a + c) / 2 + sqrt(((a - c) / 2) ^ 2 + b * b) AS l1, (a + c) / 2 - sqrt(((a - c) / 2) ^ 2 + b * b) AS l2 FROM M),
-V1 AS (SELECT *, CASE WHEN a >= c THEN l1 - c ELSE b END AS u0, CASE WHEN a >= c THEN b ELSE l1 - a END AS u1 FROM EV),
-V2 AS (SELECT *, u0 / sqrt(u0 * u0 + u1 * u1) AS w0, u1 / sqrt(u0 * u0 + u1 * u1) AS w1 FROM V1),
-PC AS (SELECT *, CASE WHEN (CASE WHEN abs(w0) >= abs(w1) THEN w0 ELSE w1 END) < 0 THEN -1.0 ELSE 1.0 END AS sg1,
-              CASE WHEN (CASE WHEN abs(w1) >= abs(w0) THEN -w1 ELSE w0 END) < 0 THEN -1.0 ELSE 1.0 END AS sg2 FROM V2),
-PCV AS (SELECT *, sg1 * w0 AS v10, sg1 * w1 AS v11, sg2 * (-w1) AS v20, sg2 * w0 AS v21 FROM PC)"""
-
-
-@query("pca_2d", f"""WITH {P2_CTE}
-SELECT 1 AS pc, round(l1, 6) AS eigenvalue, round(l1 / (l1 + l2), 6) AS ratio FROM EV
-UNION ALL SELECT 2, round(l2, 6), round(l2 / (l1 + l2), 6) FROM EV""")
+SQUARINGS = 14  # powers of the covariance up to 2^14: the leading eigenvector to the last digits even at a gap of 1 %
+
+
+def _leading_sql(c: str, name: str) -> str:
+    """CTEs for the leading eigenpair of the symmetric table ``c`` (i, j, c): ``{name}`` (j, x) and ``{name}E`` (ev)."""
+    parts = [f"{name}0 AS MATERIALIZED (SELECT i, j, c / (SELECT sum(c) FROM {c} WHERE i = j) AS c FROM {c})"]
+    for n in range(1, SQUARINGS + 1):
+        was = f"{name}{n - 1}"
+        parts.append(f"""{name}{n} AS MATERIALIZED (SELECT a.i, b.j, sum(a.c * b.c) / (SELECT sum(c * c) FROM {was}) AS c
+  FROM {was} a JOIN {was} b ON a.j = b.i GROUP BY a.i, b.j)""")
+    last = f"{name}{SQUARINGS}"
+    return ",\n".join([*parts, f"""{name}U AS MATERIALIZED (SELECT i AS j, c FROM {last}
+  WHERE j = (SELECT i FROM {last} WHERE i = j ORDER BY c DESC, i LIMIT 1))""", f"""{name} AS MATERIALIZED (SELECT j,
+  c / (SELECT sqrt(sum(c * c)) FROM {name}U) * (SELECT sign(arg_max(c, abs(c))) FROM {name}U) AS x FROM {name}U)""",
+                       f"{name}E AS MATERIALIZED (SELECT sum(m.c * p.x * q.x) AS ev FROM {c} m JOIN {name} p ON p.j = m.i JOIN {name} q ON q.j = m.j)"])
+
+
+# the two leading components of all dimensions, by squaring the covariance and by deflation
+P2_CTE = f"""{VLONG_CTE},
+MU AS MATERIALIZED (SELECT j, avg(v) AS m FROM V GROUP BY j),
+CV AS MATERIALIZED (SELECT a.j AS i, b.j, covar_samp(a.v, b.v) AS c FROM V a JOIN V b USING (vec_id) GROUP BY a.j, b.j),
+{_leading_sql("CV", "P")},
+CW AS MATERIALIZED (SELECT i, m.j, c - (SELECT ev FROM PE) * p.x * q.x AS c FROM CV m JOIN P p ON p.j = m.i JOIN P q ON q.j = m.j),
+{_leading_sql("CW", "Q")},
+SC AS MATERIALIZED (SELECT vec_id, label, sum((v - m) * p.x) AS pc1, sum((v - m) * q.x) AS pc2
+  FROM V JOIN MU USING (j) JOIN P p USING (j) JOIN Q q USING (j) GROUP BY vec_id, label)"""
+
+
+@query("pca_2d", f"""WITH {P2_CTE}, T AS (SELECT sum(c) AS total FROM CV WHERE i = j)
+SELECT 1 AS pc, round(ev, 6) AS eigenvalue, round(ev / total, 6) AS ratio FROM PE, T
+UNION ALL SELECT 2, round(ev, 6), round(ev / total, 6) FROM QE, T""")
 def q_pca2d(spark, d):
-    _, comps, ev, ratio = dc.pca_fit(_vec2(spark, d), 2)
+    """The two leading components of all dimensions."""
+    _, comps, ev, ratio = dc.pca_fit(fx.vectors(spark, d), 2)
     rows = [(i + 1, round(float(ev[i]), 6), round(float(ratio[i]), 6)) for i in range(2)]
     return spark.createDataFrame(rows, "pc int, eigenvalue double, ratio double")
 
 
 @query("pca_scores_2d", f"""WITH {P2_CTE}
-SELECT x.vec_id, round((x.x0 - m0) * v10 + (x.x1 - m1) * v11, 6) AS pc1,
-       round((x.x0 - m0) * v20 + (x.x1 - m1) * v21, 6) AS pc2 FROM X x CROSS JOIN PCV""")
+SELECT vec_id, round(pc1, 6) + 0.0 AS pc1, round(pc2, 6) + 0.0 AS pc2 FROM SC""")
 def q_pca_scores(spark, d):
-    v = _vec2(spark, d)
+    v = fx.vectors(spark, d)
     mu, comps, _, _ = dc.pca_fit(v, 2)
     s = dc.pca_transform(v, mu, comps)
-    return s.select("vec_id", F.round("pc1", 6).alias("pc1"), F.round("pc2", 6).alias("pc2"))
+    return s.select("vec_id", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in ("pc1", "pc2")])
 
 
 @query("pca_reconstruct_2d", f"""WITH {P2_CTE}
-SELECT x.vec_id, round(m0 + ((x.x0 - m0) * v10 + (x.x1 - m1) * v11) * v10, 6) AS r0,
-       round(m1 + ((x.x0 - m0) * v10 + (x.x1 - m1) * v11) * v11, 6) AS r1 FROM X x CROSS JOIN PCV""")
+SELECT vec_id, CAST(j AS INTEGER) AS j, round(m + pc1 * p.x + pc2 * q.x, 5) + 0.0 AS r
+FROM SC CROSS JOIN MU JOIN P p USING (j) JOIN Q q USING (j)""")
 def q_pca_recon(spark, d):
-    v = _vec2(spark, d)
-    mu, comps, _, _ = dc.pca_fit(v, 1)
-    s = dc.pca_inverse(dc.pca_transform(v, mu, comps), mu, comps, ["pc1"])
-    return s.select("vec_id", F.round(F.col("reconstruction")[0], 6).alias("r0"),
-                    F.round(F.col("reconstruction")[1], 6).alias("r1"))
+    """Every coordinate of every vector, rebuilt from its two scores."""
+    v = fx.vectors(spark, d)
+    mu, comps, _, _ = dc.pca_fit(v, 2)
+    s = dc.pca_inverse(dc.pca_transform(v, mu, comps), mu, comps, ["pc1", "pc2"])
+    return s.select("vec_id", F.posexplode("reconstruction").alias("j", "r")).withColumn("r", F.round("r", 5) + F.lit(0.0))
 
 
 @query("class_centroid_point", f"""WITH {P2_CTE},
-S AS (SELECT x.label, (x.x0 - m0) * v10 + (x.x1 - m1) * v11 AS z1, (x.x0 - m0) * v20 + (x.x1 - m1) * v21 AS z2
-      FROM X x CROSS JOIN PCV),
-Z AS (SELECT avg(z1) + 0.5 AS z1, avg(z2) - 0.5 AS z2 FROM S WHERE label = 1)
-SELECT round(m0 + z1 * v10 + z2 * v20, 6) AS x0, round(m1 + z1 * v11 + z2 * v21, 6) AS x1 FROM Z CROSS JOIN PCV""")
+Z AS (SELECT avg(pc1) + 0.5 AS z1, avg(pc2) - 0.5 AS z2 FROM SC WHERE label = 1)
+SELECT CAST(j AS INTEGER) AS j, round(m + z1 * p.x + z2 * q.x, 6) + 0.0 AS x FROM Z CROSS JOIN MU JOIN P p USING (j) JOIN Q q USING (j)""")
 def q_class_point(spark, d):
-    v = _vec2(spark, d)
+    """A point beside the centre of class 1 in the space of the two scores, back in all dimensions."""
+    v = fx.vectors(spark, d)
     mu, comps, _, _ = dc.pca_fit(v, 2)
     s = dc.pca_transform(v, mu, comps)
     z = s.where("label = 1").agg((F.avg("pc1") + 0.5).alias("pc1"), (F.avg("pc2") - 0.5).alias("pc2"))
     r = dc.pca_inverse(z, mu, comps, ["pc1", "pc2"])
-    return r.select(F.round(F.col("reconstruction")[0], 6).alias("x0"), F.round(F.col("reconstruction")[1], 6).alias("x1"))
+    return r.select(F.posexplode("reconstruction").alias("j", "x")).withColumn("x", F.round("x", 6) + F.lit(0.0))
 
 
 @query("pca_fit_checks", f"""WITH {VLONG_CTE}

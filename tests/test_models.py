@@ -180,3 +180,19 @@ def test_random_trees(spark):
         merges = spark.createDataFrame(rows, "step long, left long, right long, height double")
         got = {r.node: r["size"] for r in mt.subtree_sizes(merges, n).collect()}
         assert got == {k: v for k, v in leaves.items() if k >= n}
+
+
+def test_pca_of_10_000_wide_vectors(spark):
+    """Three strong directions in noise, against the SVD; pca_fit takes this way by itself beyond MAX_DIM."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((200, 3)) * [9.0, 6.0, 4.0] @ rng.standard_normal((3, 10_000)) / 100 + 0.01 * rng.standard_normal((200, 10_000)) + 2.0
+    df = spark.createDataFrame([(i, [float(a) for a in row]) for i, row in enumerate(x)], "vec_id long, features array<double>")
+    mu, comps, evals, ratios = dc.pca_fit(df, 3)
+    c = x - x.mean(axis=0)
+    _, size, right = np.linalg.svd(c, full_matrices=False)
+    assert np.allclose(mu, x.mean(axis=0)) and np.allclose(evals, size[:3] ** 2 / 199, rtol=1e-8)
+    assert np.allclose(np.abs((comps * right[:3]).sum(axis=1)), 1.0, atol=1e-7)
+    assert np.allclose(ratios, size[:3] ** 2 / (size ** 2).sum(), rtol=1e-8)
+    narrow = spark.createDataFrame([(i, [float(a) for a in row[:12]]) for i, row in enumerate(x)], "vec_id long, features array<double>")
+    one, two = dc.pca_fit(narrow, 2), dc.pca_fit_wide(narrow, 2)
+    assert all(np.allclose(a, b, atol=1e-7) for a, b in zip(one, two))
