@@ -2,10 +2,11 @@
 
 Scan 1 (Arrow batches) rolls a polynomial hash over the word hashes of each
 text and packs the hashes of a batch of documents by their top bits: one row per
-(bucket, batch), 8 bytes of hash and 2 bytes of position step per window.  The
-bits of the bucket number are not stored, so 64 stored bits and the bucket
-together are a hash of 74 to 80 bits.  Each bucket counts its hashes; windows
-that occur more than once return as positions to the documents of their batch,
+(bucket, batch), 8 bytes of hash and 2 bytes of position step per window; of
+windows that the batch holds several times, whose fate is settled, only the hash
+once.  The bits of the bucket number are not stored, so 64 stored bits and the bucket
+together are a hash of 74 to 84 bits.  Each bucket counts its hashes; windows
+that other batches hold too return as positions to the documents of their batch,
 where they merge into maximal intervals of words.  Scan 2 joins the intervals
 to the texts and removes the words.
 """
@@ -27,9 +28,10 @@ from locuspark.llm.common import row_key
 WINDOW = 35
 BATCH_WORDS = 2_000_000  # words packed together; bounds the memory of a task
 BUCKET_WINDOWS = 1_000_000  # windows aimed at in one bucket
-MIN_BUCKET_BITS, MAX_BUCKET_BITS = 10, 16
+MIN_BUCKET_BITS, MAX_BUCKET_BITS = 10, 20  # the latter reached at some 6 TB of text; beyond, buckets grow
+ROW_WINDOWS = 16  # windows of a batch in a bucket, on average, at least: larger batches where buckets are many
 BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers, invertible modulo 2**64
-PACK_SCHEMA = "bucket int, batch string, hashes binary, steps binary"
+PACK_SCHEMA = "bucket int, batch string, hashes binary, steps binary, seen binary"
 KEY_CACHE = 1_000_000
 
 
@@ -76,26 +78,41 @@ class RollingHash:
         return out[0], out[1]
 
 
-def _pack(batch: str, first: np.ndarray, second: np.ndarray, bits: int) -> pa.RecordBatch:
-    """Sort one batch's windows into buckets; positions become 2-byte steps (a wide gap takes several)."""
-    bucket = (second >> np.uint64(64 - bits)).astype(np.uint16)
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
-    rows = ([], [], [], [])
-    for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
-        at = order[cuts[b]:cuts[b + 1]]
+def _pack(batch: str, first: np.ndarray, second: np.ndarray, bits: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """Sort one batch's windows into buckets, each distinct one once; and the positions that the batch itself decides.
+
+    A window that the batch holds more than once is decided here: only its hash goes on (``seen``), for other batches to
+    meet.  The others go with their positions as 2-byte steps (a wide gap takes several).
+    """
+    bucket = (second >> np.uint64(64 - bits)).astype(np.uint32)
+    ranked = np.lexsort((first, bucket))
+    key, home = first[ranked], bucket[ranked]
+    same = (key[1:] == key[:-1]) & (home[1:] == home[:-1])
+    again = np.zeros(len(first), bool)
+    again[1:] |= same
+    again[:-1] |= same
+    heads = np.flatnonzero(again & np.concatenate(([True], ~same))[:len(again)])
+    seen, seen_home = key[heads], home[heads]
+    once = np.sort(ranked[~again])
+    once = once[np.argsort(bucket[once], kind="stable")]
+    used = np.unique(bucket)
+    cuts, seen_cuts = ([np.searchsorted(x, used, side) for side in ("left", "right")] for x in (bucket[once], seen_home))
+    rows = ([], [], [], [], [])
+    for b, lo, hi, seen_lo, seen_hi in zip(used.tolist(), *cuts, *seen_cuts):
+        at = once[lo:hi]
         steps = np.diff(at, prepend=0)
-        if steps.max() < 0xFFFF:
+        if steps.max(initial=0) < 0xFFFF:
             codes = steps.astype(np.uint16)
         else:  # a wide step is one 0xFFFF for each full 65,535, then the rest
             full, rest = np.divmod(steps, 0xFFFF)
             codes = np.full(int(full.sum()) + len(steps), 0xFFFF, np.uint16)
             codes[np.cumsum(full + 1) - 1] = rest
-        for column, value in zip(rows, (b, batch, first[at].tobytes(), codes.tobytes())):
+        for column, value in zip(rows, (b, batch, first[at].tobytes(), codes.tobytes(), seen[seen_lo:seen_hi].tobytes())):
             column.append(value)
-    return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.string()),
-                                       pa.array(rows[2], pa.binary()), pa.array(rows[3], pa.binary())],
-                                      ["bucket", "batch", "hashes", "steps"])
+    packed = pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.string()),
+                                         *[pa.array(x, pa.binary()) for x in rows[2:]]],
+                                        ["bucket", "batch", "hashes", "steps", "seen"])
+    return packed, np.sort(ranked[again]).astype(np.uint32)
 
 
 def _positions(codes: bytes) -> np.ndarray:
@@ -105,7 +122,7 @@ def _positions(codes: bytes) -> np.ndarray:
 
 
 def _scan(width: int, bits: int, batch_words: int):
-    """Pack windows; the directory of a batch (row keys and window counts) goes out under a negative bucket."""
+    """Pack windows; the directory of a batch (row keys, window counts, decided positions) goes out under a negative bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_hash, roll = _WordHash(), RollingHash(width)
         keys, counts, firsts, seconds, held = [], [], [], [], 0
@@ -115,10 +132,11 @@ def _scan(width: int, bits: int, batch_words: int):
                 return
             joined, sizes = "".join(keys).encode(), np.array(counts, np.int64).tobytes()
             name = hashlib.md5(joined + sizes + str(part).encode()).hexdigest()
+            packed, decided = _pack(name, np.concatenate(firsts), np.concatenate(seconds), bits)
             yield pa.RecordBatch.from_arrays([pa.array([-1 - int(name[:3], 16)], pa.int32()), pa.array([name]),
-                                              pa.array([joined], pa.binary()), pa.array([sizes], pa.binary())],
-                                             ["bucket", "batch", "hashes", "steps"])
-            yield _pack(name, np.concatenate(firsts), np.concatenate(seconds), bits)
+                                              *[pa.array([x], pa.binary()) for x in (joined, sizes, decided.tobytes())]],
+                                             packed.schema.names)
+            yield packed
 
         part = None
         for batch in batches:
@@ -146,14 +164,17 @@ FOUND_SCHEMA = "batch string, data binary, sizes binary"
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """Of one bucket: for each batch, the positions whose hash occurs more than once in the bucket.
+    """Of one bucket: for each batch, the positions sent along whose hash another batch has too.
 
-    Directories (negative buckets) pass through; only they have ``sizes``.
+    A batch sends a hash once at most, so a hash that is in every text costs 8 bytes a batch.
+    Directories (negative buckets) pass through, with the positions that their batch decided; only they have ``sizes``.
     """
     if table.column("bucket")[0].as_py() < 0:
-        return table.select(["batch", "hashes", "steps"]).rename_columns(["batch", "data", "sizes"])
+        heads = table.select(["batch", "hashes", "steps"]).rename_columns(["batch", "data", "sizes"])
+        own = pa.table({"batch": table.column("batch"), "data": table.column("seen"), "sizes": pa.nulls(table.num_rows, pa.binary())})
+        return pa.concat_tables([heads, own])
     names, packs = table.column("batch").to_pylist(), table.column("hashes").to_pylist()
-    hashes = np.concatenate([np.frombuffer(p, np.uint64) for p in packs])
+    hashes = np.concatenate([np.frombuffer(p, np.uint64) for p in [*packs, *table.column("seen").to_pylist()]])
     order = np.argsort(hashes, kind="stable")
     ranked = hashes[order]
     same = ranked[1:] == ranked[:-1]
@@ -183,7 +204,7 @@ def _to_documents(width: int):
         data, sizes = table.column("data").to_pylist(), table.column("sizes").to_pylist()
         head = next(i for i, x in enumerate(sizes) if x is not None)
         keys, sizes = data.pop(head), np.frombuffer(sizes[head], np.int64)
-        hits = [np.frombuffer(x, np.uint32) for x in data]
+        hits = [np.frombuffer(x, np.uint32) for x in data if x]
         out = ([], [])
         if hits:
             starts = np.sort(np.concatenate(hits)).astype(np.int64)
@@ -204,8 +225,10 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``row_key, cut``: for each row with something to remove, its maximal word intervals [s, e)."""
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     bits = min(max(math.ceil(math.log2(max(size / 6 / bucket_windows, 1))), MIN_BUCKET_BITS), MAX_BUCKET_BITS)
+    batch_words = batch_words if bits <= 16 else max(batch_words, ROW_WINDOWS << bits)
+    # in the order of the keys, so that a task that is run again after a shuffle makes the same batches
     slim = docs.select(F.spark_partition_id().alias("part"), row_key(F.col(id_col), F.col(text_col)).alias("k"),
-                       F.col(text_col).cast("string").alias("text"))
+                       F.col(text_col).cast("string").alias("text")).sortWithinPartitions("k")
     packed = slim.mapInArrow(_scan(width, bits, batch_words), PACK_SCHEMA)
     found = packed.groupBy("bucket").applyInArrow(_repeated, FOUND_SCHEMA)
     return found.groupBy("batch").applyInArrow(

@@ -116,12 +116,43 @@ def test_positions_round_trip_with_wide_steps():
     n = 400_000
     first, second = np.arange(n, dtype=np.uint64), np.zeros(n, np.uint64)
     second[[0, 65_535, 65_536, 200_000, 399_999]] = np.uint64(1) << np.uint64(63)
-    packed = _pack("b", first, second, 1)
+    packed, decided = _pack("b", first, second, 1)
+    assert len(decided) == 0
     for row in range(len(packed)):
         at = _positions(packed.column("steps")[row].as_py())
         assert (np.frombuffer(packed.column("hashes")[row].as_py(), np.uint64) == at).all()
 
 
+def test_repeats_within_a_batch_are_sent_once():
+    """Equal windows of one batch: all positions decided there, one hash sent on; equal stored bits in two buckets are no repeat."""
+    first = np.array([7, 5, 7, 9, 7, 5, 8, 9], np.uint64)
+    second = np.array([0, 0, 0, 0, 0, 0, 0, 1 << 63], np.uint64)
+    packed, decided = _pack("b", first, second, 1)
+    assert decided.tolist() == [0, 1, 2, 4, 5]
+    got = {b: [np.frombuffer(x, np.uint64).tolist() for x in (h, s)] + [_positions(c).tolist()] for b, h, s, c in zip(
+        *(packed.column(n).to_pylist() for n in ("bucket", "hashes", "seen", "steps")))}
+    assert got == {0: [[9, 8], [5, 7], [3, 6]], 1: [[9], [], [7]]}
+    rng = np.random.default_rng(2)
+    first, second = rng.integers(0, 40, 5000).astype(np.uint64), rng.integers(0, 8, 5000).astype(np.uint64) << np.uint64(61)
+    packed, decided = _pack("b", first, second, 3)
+    count = Counter(zip(first.tolist(), second.tolist()))
+    assert decided.tolist() == [i for i, w in enumerate(zip(first.tolist(), second.tolist())) if count[w] > 1]
+    assert sum(len(x) for c in ("hashes", "seen") for x in packed.column(c).to_pylist()) == 8 * len(count)
+
+
+def test_batches_do_not_depend_on_the_order_of_rows(spark):
+    """What a task packs is the same when its rows come in another order, as they may when it is run again."""
+    from locuspark.llm.common import row_key
+    from locuspark.llm.substring_dedup import PACK_SCHEMA, _scan
+    rows = [(i, " ".join(f"w{(i * 7 + j) % 90}" for j in range(20 + i % 9))) for i in range(60)]
+
+    def packed(some):
+        df = spark.createDataFrame(some, "doc_id long, text string").coalesce(1)
+        slim = df.select(F.spark_partition_id().alias("part"), row_key(F.col("doc_id"), F.col("text")).alias("k"), "text")
+        return sorted(map(tuple, slim.sortWithinPartitions("k").mapInArrow(_scan(5, 3, 200), PACK_SCHEMA).collect()))
+    assert packed(rows) == packed(rows[::-1])
+
+
 def test_rolling_hash_equal_iff_equal_windows():
     rng = np.random.default_rng(1)
     words = rng.integers(0, 3, 5000)
