@@ -78,22 +78,34 @@ class RollingHash:
         return out[0], out[1]
 
 
+def _member(values: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which values are among the sorted ``some``."""
+    if not len(some):
+        return np.zeros(len(values), bool)
+    return some[np.minimum(np.searchsorted(some, values), len(some) - 1)] == values
+
+
 def _pack(batch: str, first: np.ndarray, second: np.ndarray, bits: int) -> tuple[pa.RecordBatch, np.ndarray]:
     """Sort one batch's windows into buckets, each distinct one once; and the positions that the batch itself decides.
 
     A window that the batch holds more than once is decided here: only its hash goes on (``seen``), for other batches to
     meet.  The others go with their positions as 2-byte steps (a wide gap takes several).
     """
-    bucket = (second >> np.uint64(64 - bits)).astype(np.uint32)
-    ranked = np.lexsort((first, bucket))
+    bucket = (second >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)  # 2 bytes sort by radix
+    values = np.sort(first)
+    twice = np.unique(values[1:][values[1:] == values[:-1]])  # the only ones that can be repeats: few, as a rule
+    maybe = np.flatnonzero(_member(first, twice))
+    ranked = maybe[np.lexsort((first[maybe], bucket[maybe]))]
     key, home = first[ranked], bucket[ranked]
     same = (key[1:] == key[:-1]) & (home[1:] == home[:-1])
-    again = np.zeros(len(first), bool)
+    again = np.zeros(len(ranked), bool)
     again[1:] |= same
     again[:-1] |= same
     heads = np.flatnonzero(again & np.concatenate(([True], ~same))[:len(again)])
+    single = np.ones(len(first), bool)
+    single[ranked[again]] = False
     seen, seen_home = key[heads], home[heads]
-    once = np.sort(ranked[~again])
+    once = np.flatnonzero(single)
     once = once[np.argsort(bucket[once], kind="stable")]
     used = np.unique(bucket)
     cuts, seen_cuts = ([np.searchsorted(x, used, side) for side in ("left", "right")] for x in (bucket[once], seen_home))
@@ -112,7 +124,7 @@ def _pack(batch: str, first: np.ndarray, second: np.ndarray, bits: int) -> tuple
     packed = pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.string()),
                                          *[pa.array(x, pa.binary()) for x in rows[2:]]],
                                         ["bucket", "batch", "hashes", "steps", "seen"])
-    return packed, np.sort(ranked[again]).astype(np.uint32)
+    return packed, np.flatnonzero(~single).astype(np.uint32)
 
 
 def _positions(codes: bytes) -> np.ndarray:
