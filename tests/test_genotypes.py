@@ -3,6 +3,7 @@ import itertools
 import numpy as np
 from pyspark.sql import functions as F
 
+from locuspark import session
 from locuspark.operators import genotypes as gt
 
 
@@ -87,3 +88,23 @@ def test_dense_positions_do_not_share_a_chunk(spark):
     assert sum(sizes) == 3000 and max(sizes) <= 100 + 1024 // 7 + 1
     one = gt.viterbi_states(df)
     assert {(r.pos, r.state) for r in states.collect()} == {(r.pos, r.state) for r in one.collect()}
+
+
+def test_input_is_read_once(spark):
+    """The rows are computed once, however many steps need them; groups of one chunk and of several in one table."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(gt_):
+        seen.add(1)
+        return gt_
+    rows = [(f"s{i % 400}", "c", i // 400 * 9_000, "AF=0.3", ["0/0", "0/1", "./."][i * 7919 % 3]) for i in range(20_000)]
+    rows += [(None, "c", 9_000, "AF=0.3", "0/0"), ("s1", None, 5, "AF=0.3", "0/0"), ("s1", "c", None, "AF=0.3", "0/0")]
+    df = spark.createDataFrame(rows, "sample string, chrom string, pos long, info string, gt string")
+    df = df.withColumn("gt", F.udf(counted)("gt"))
+    states = gt.viterbi_states(df, bin_sites=500)
+    assert states.count() == 20_000
+    assert seen.value <= len(rows)  # rows whose site is null need not be read
+    mixed = gt.viterbi_states(df.where("sample = 's1' OR pos < 90000"), chunk_sites=20)  # one group in chunks, others whole
+    plain = gt.viterbi_states(df.where("sample = 's1' OR pos < 90000"))
+    key = lambda d: sorted((r.sample, r.pos, r.state) for r in d.collect())
+    assert key(mixed) == key(plain)
