@@ -108,3 +108,15 @@ def test_input_is_read_once(spark):
     plain = gt.viterbi_states(df.where("sample = 's1' OR pos < 90000"))
     key = lambda d: sorted((r.sample, r.pos, r.state) for r in d.collect())
     assert key(mixed) == key(plain)
+
+
+def test_segments_are_dealt_by_rows(spark, monkeypatch):
+    """Runs inside a group of one chunk stay in the tasks that hold its sites; there are more of them than partitions of the session."""
+    monkeypatch.setattr(session, "ROWS_A_TASK", 200, raising=False)
+    rows = [(f"s{i % 200}", "c", i // 200 * 2_000_000 + (i // 200) ** 2 * 1_000, "AF=0.3", "0/1" if i // 200 % 7 == 3 else "0/0") for i in range(6_000)]
+    df = spark.createDataFrame(rows, "sample string, chrom string, pos long, info string, gt string")
+    got = gt.inbred_segments(df).select("*", F.spark_partition_id().alias("task")).collect()
+    assert len({r.task for r in got}) > 10 and {r.individual for r in got} == {f"s{i}" for i in range(200)}
+    pieces = gt.state_runs(gt.viterbi_states(df, chunk_bp=6_000_000)).collect()
+    key = lambda r: (r.chrom, r.start_position, r.stop_position)
+    assert sorted((r.individual, *key(r)) for r in got) == sorted((r.sample, *key(r)) for r in pieces)
