@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from locuspark.functions.rng import hash60
 from locuspark.operators.intervals import interval_overlap_pairs
 from locuspark.operators.merge_tree import suffix_sums
-from locuspark.session import cut_lineage, saved
+from locuspark.session import by_size, cut_lineage, saved
 
 
 def harmonic(n: Column) -> Column:
@@ -109,14 +109,73 @@ def _siblings(nodes: DataFrame) -> DataFrame:
         "o.tree_id", "o.node", "o.parent", "o.share", F.coalesce("o.sib", "h.head").alias("sib"))
 
 
+SMALL_TREE = 1 << 14  # nodes up to which a tree is numbered in one task
+BIN_NODES = 1 << 16  # nodes of small trees that are numbered together
+
+
+def _number(table: pa.Table) -> pa.Table:
+    """Preorder numbers of the leaves of some whole trees, as NumPy arrays; a node of a circle has none (null)."""
+    n, names = len(table), pa.chunked_array([*table["node"].chunks, *table["parent"].chunks])
+    tree = table["tree_id"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    codes = names.combine_chunks().dictionary_encode().indices
+    known = codes.is_valid().to_numpy(zero_copy_only=False)[n:]
+    codes = codes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    key, up = tree * 2 * (n + 1) + codes[:n], tree * 2 * (n + 1) + codes[n:]
+    by_key = np.argsort(key, kind="stable")
+    at = by_key[np.minimum(np.searchsorted(key, up, sorter=by_key), n - 1)]
+    parent = np.where(known, np.where(key[at] == up, at, -2), -1)  # -1: none, -2: no such node
+    depth, end = (parent >= 0).astype(np.int64), parent.copy()
+    for _ in range(n.bit_length()):
+        depth, end = depth + np.where(end >= 0, depth[end], 0), np.where(end >= 0, end[end], end)
+    kept = end == -1
+    inner = kept & (parent >= 0)
+    leaf = np.ones(n, bool)
+    leaf[parent[inner]] = False
+    rows = np.flatnonzero(kept)
+    rows = rows[np.argsort(depth[rows], kind="stable")]
+    levels = np.split(rows, np.flatnonzero(np.diff(depth[rows])) + 1)
+    size = leaf.astype(np.int64)
+    for level in levels[:0:-1]:
+        np.add.at(size, parent[level], size[level])
+    family = np.where(inner, parent, n + tree)
+    order = rows[np.argsort(family[rows], kind="stable")]
+    before = np.cumsum(size[order]) - size[order]
+    first = np.ones(len(order), bool)
+    first[1:] = np.diff(family[order]) != 0
+    lo = np.zeros(n, np.int64)
+    lo[order] = before - before[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
+    for level in levels[1:]:
+        lo[level] += lo[parent[level]]
+    out = kept | (end >= 0)
+    return pa.table({"tree_id": table["tree_id"], "node": table["node"], "lo": pa.array(lo, mask=end >= 0),
+                     "hi": pa.array(lo + size, mask=end >= 0), "leaf": leaf}).filter(pa.array(out))
+
+
 def leaf_ranges(nodes: DataFrame) -> DataFrame:
     """Preorder numbers of the leaves: (tree_id, node, lo, hi, leaf), where a node's leaves are those numbered lo to hi - 1.
 
     ``nodes``: tree_id, node (unique in its tree), parent (a node of the tree, or null); several roots are allowed, rows with a
-    null tree_id or node are left out, and a circle of parents is an error.  All trees' Euler tours are ranked at once by
-    pointer doubling, two rows a node, in as many rounds as the largest tree's number of nodes has bits.
+    null tree_id or node are left out, and a circle of parents is an error.  Trees of up to ``SMALL_TREE`` nodes are dealt
+    into bins and numbered there; the Euler tours of all larger ones are ranked at once by pointer doubling, two rows a node,
+    in as many rounds as the largest tree's number of nodes has bits.
     """
     nodes = saved(nodes.where("tree_id IS NOT NULL AND node IS NOT NULL").select("tree_id", "node", "parent"))
+    large = cut_lineage(nodes.groupBy("tree_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SMALL_TREE))
+    total, n_large = nodes.count(), large.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    some = nodes.join(F.broadcast(large), "tree_id", "left_anti") if n_large else nodes
+    bins = -(-max(total - n_large, 1) // BIN_NODES)
+    some = by_size(some.withColumn("bin", F.pmod(F.xxhash64("tree_id"), F.lit(bins))), total - n_large, "bin")
+    kinds = {c: nodes.schema[c].dataType.simpleString() for c in ("tree_id", "node")}
+    found = saved(some.groupBy("bin").applyInArrow(
+        _number, f"tree_id {kinds['tree_id']}, node {kinds['node']}, lo long, hi long, leaf boolean"))
+    if not found.where("lo IS NULL").isEmpty():
+        raise ValueError("the steps run in a circle")
+    return found.unionByName(_toured(nodes.join(F.broadcast(large), "tree_id", "left_semi"))) if n_large else found
+
+
+def _toured(nodes: DataFrame) -> DataFrame:
+    """:func:`leaf_ranges` of large trees."""
+    nodes = saved(nodes)
     sib = saved(_siblings(nodes))
     first = sib.where("parent IS NOT NULL").groupBy("tree_id", F.col("parent").alias("node")).agg(
         F.min(F.struct("share", "node"))["node"].alias("child"))

@@ -183,3 +183,21 @@ def test_asof_equal_and_null_keys_are_spread(spark):
     assert rows == {70: n, None: n}
     sizes = [r["n"] for r in got.groupBy("p").agg(F.count("*").alias("n")).collect()]
     assert len(sizes) >= 8 and max(sizes) <= 3 * 2 * n / 16
+
+
+def test_small_trees_are_numbered_without_rounds(spark, monkeypatch):
+    """Trees in bins and large ones by their tours have the same leaves; small ones alone take no round of joins."""
+    rows = [(t, 10 * i, None if i == 0 else 10 * ((i - 1) // (t + 1))) for t in range(4) for i in range(3 + 5 * t)]
+    rows += [(2, 5000, None), (3, 6000, 7000), (3, 6001, 6000)]  # a second root; nodes under a node that is not there
+    df = spark.createDataFrame(rows, "tree_id long, node long, parent long")
+
+    def below(small):
+        monkeypatch.setattr(pg, "SMALL_TREE", small, raising=False)
+        got = pg.leaf_ranges(df).collect()
+        name = {(r.tree_id, r.lo): r.node for r in got if r.leaf}
+        assert len(name) == sum(r.leaf for r in got)
+        return {(r.tree_id, r.node): {name[r.tree_id, i] for i in range(r.lo, r.hi)} for r in got}
+
+    toured = below(10)
+    monkeypatch.setattr(pg, "suffix_sums", None)
+    assert below(1 << 14) == toured and len(toured) == len(rows) - 2
