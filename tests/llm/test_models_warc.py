@@ -122,6 +122,48 @@ def test_keys_without_a_label_are_found(spark):
     assert hits >= 0.9 * len(planted) and clean <= 20
 
 
+def test_gradients_of_joined_texts():
+    """Texts convolved together give the gradients of findings read one by one; also where a candidate is cut into slices."""
+    net = fitted()[0]
+    rng = random.Random(5)
+    value = lambda n: "".join(rng.choice("ABCabc0123") for _ in range(n))
+    texts = [f"some words candidate{i} token = {value(rng.choice([9, 40, 300, 40_000]))} and secret words {value(12)}" for i in range(12)]
+    now, alone = secret_scan.Joined(), []
+    for t in texts:
+        spans, others = secret_scan.rule_spans(t)
+        codes = secret_scan.codes_of(t)
+        alone += [secret_scan.finding(*codes, a, b) for a, b in others]
+        alone += [secret_scan.finding(*codes, *v) for v in secret_scan.values_of(t, spans)]
+        now.text(t)
+    y, weight = np.array(now.marks, float), np.ones(len(alone)) / len(alone)
+    assert y.sum() == len(texts)
+    for got, want in zip(net.slopes(*now.pooled(net, net.tables(), True), y, weight), net.gradients(alone, y)):
+        assert np.allclose(got, want, atol=1e-5)
+
+
+def test_model_is_fitted_on_all_documents(spark):
+    """A hundred of 600 documents give the first weights; all findings train, and all that are kept out set the threshold."""
+    rng = random.Random(12)
+    prose = lambda n: " ".join("".join(rng.choice("aeiounrstlmd") for _ in range(rng.randrange(3, 13))) for _ in range(n))
+    key = lambda n: "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz23456789") for _ in range(n))
+    docs = [(i, f"{prose(30)} {f'password = {key(rng.choice([9, 24, 700]))} ' if i % 3 == 0 else ''}{prose(30)}") for i in range(600)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    net = secret_scan.train(df, sample_docs=100)
+    logit, mark, trained = [], [], 0
+    for _, t in docs:
+        now = secret_scan.Joined()
+        now.text(t)
+        if zlib.crc32(t.encode()) % secret_scan.FOLDS:
+            trained += len(now.marks)
+        else:
+            logit += net.logits(now.pooled(net, net.tables())[0]).tolist()
+            mark += now.marks
+    p, y = net.chance(np.floor(np.array(logit) * secret_scan.BINS) / secret_scan.BINS), np.array(mark)
+    assert y.sum() > 20 and net.seen == trained
+    assert net.threshold == np.sort(p[y == 1])[int((1 - secret_scan.RECALL) * y.sum())]
+    assert net.recall == (p[y == 1] >= net.threshold).mean() and abs(net.precision - y[p >= net.threshold].mean()) < 1e-9
+
+
 def test_secret_spans_odd(spark, odd, none):
     """Base spans as the rules say, on one finding of each kind; other spans are the network's and touch no rule's."""
     got = Counter((r.doc_id, tuple((s.kind, s.start, s.end) for s in r.spans if s.kind != "model")) for r in
