@@ -48,7 +48,8 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(new)
         total = np.add.reduceat(batch.column("n").to_numpy(), first)
         out = batch.take(pa.array(first))
-        out = out.set_column(out.schema.get_field_index("n"), "n", pa.array(total))
+        at = out.schema.get_field_index("n")
+        out = out.set_column(at, out.schema.field(at), pa.array(total))  # the field as it came: the next batch has it, nullable or not
         carry = out.slice(len(first) - 1)
         yield out.slice(0, len(first) - 1)
     if carry is not None:

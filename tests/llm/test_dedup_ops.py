@@ -48,6 +48,15 @@ def test_exact_dedup_many_runs(spark):
     assert got.count() == 3000
 
 
+def test_exact_dedup_partitions_of_many_batches(spark):
+    """Runs of more rows than an Arrow batch has; groups lie across batches and runs."""
+    df = spark.range(0, 50_000, 1, 2).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), (F.col("id") % 12_000).cast("string")).alias("text"))
+    got = exact_dedup(df, keep="max")
+    want = df.groupBy("text").agg(F.max("doc_id").alias("m"), F.count("*").alias("n"))
+    assert tuples(got.where("kept"), "doc_id", "group_size") == tuples(want, "m", "n")
+    assert got.count() == 50_000
+
+
 def test_empty_tables(none):
     assert exact_dedup(none).count() == 0
     assert simhash_near_dedup(none).count() == 0
